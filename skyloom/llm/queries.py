@@ -11,12 +11,42 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyloom.llm.packing import best_fit_packing
+
+    return best_fit_packing(_table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyloom.llm.toxicity import toxicity
+
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyloom.llm.html_extract import main_text
+
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skyloom.llm.near_dedup import near_duplicates
 
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyloom.llm.embedding_dedup import embedding_duplicates
+
+    return embedding_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyloom.llm.warc import round_trip
+
+    return round_trip(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
