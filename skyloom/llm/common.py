@@ -90,16 +90,20 @@ def verify_pairs(pairs: DataFrame, sets_of, percent: int) -> DataFrame:
     return both.where(similar_enough(inter, F.size("sa"), F.size("sb"), percent)).select("a", "b")
 
 
+def with_largest(members: DataFrame) -> DataFrame:
+    """The members (key, id, c) with their key's largest component."""
+    sizes = members.groupBy("key", "c").agg(F.count("*").alias("n"))
+    return members.join(sizes.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("big")), "key")
+
+
 def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of one key's members (key, id, c) in different components c.
+    """Pairs of one key's members (key, id, c, big) in different components c.
 
     Everything outside the key's largest component meets all members of that key, so the
     work is in proportion to the pairs that are still open, not to the square of the key.
     """
-    sizes = members.groupBy("key", "c").agg(F.count("*").alias("n"))
-    big = sizes.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("big"))
-    small = members.join(big, "key").where("c <> big").select("key", F.col("id").alias("x"), F.col("c").alias("cx"))
-    met = small.join(members, "key").where("cx <> c")
+    small = members.where("c <> big").select("key", F.col("id").alias("x"), F.col("c").alias("cx"))
+    met = small.join(members.select("key", "id", "c"), "key").where("cx <> c")
     return met.select(F.greatest("x", "id").alias("a"), F.least("x", "id").alias("b")).distinct()
 
 
@@ -118,39 +122,57 @@ def _prefix_keys(members: DataFrame, sets_of, percent: int) -> DataFrame:
     return prefix.select("key", "id").join(people, "id").select("key", "id", "c")
 
 
-def link_components(keyed: DataFrame, sets_of, percent: int, open_limit: int = 20_000) -> DataFrame:
+def _several(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The members (key, id, c) of keys that hold several components, with their key's largest one."""
+    if found is None:
+        held = members.select("key", "id", F.col("id").alias("c"))
+    else:
+        held = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+    sizes = held.groupBy("key", "c").agg(F.count("*").alias("n"))
+    big = sizes.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("big"), F.sum("n").alias("m"), F.max("n").alias("top"), F.count("*").alias("parts"))
+    big = big.where("parts > 1").select("key", "big", ((F.col("m") - F.col("top")) * F.col("m")).alias("open"))
+    return durable(held.join(big, "key"), "held")
+
+
+def link_components(keyed: DataFrame, sets_of, percent: int, open_limit: int = 500, verify=None, rounds: int = 3) -> DataFrame:
     """Components (id, component) of items linked by exact set similarity; items without links have no row.
 
-    ``keyed``: (id, bands array<long>) of distinct sets.  Two rounds:
+    ``keyed``: (id, bands array<long>) of distinct sets.
 
-    1. every band key links its members to its smallest one (a star, never all pairs of a
-       group), verified on full sets; near-copies collapse here.
-    2. only keys that still hold several components go on; there every pair across
+    1. Rounds of stars: within each band key the members outside the key's largest component
+       meet one pivot of that component, another one each round (never all pairs of a
+       group), verified on full sets.  Near-copies collapse here, also large loose groups.
+    2. Only keys that still hold several components go on; there every pair across
        components is verified.  Keys with more than ``open_limit`` open pairs are not
        enumerated: their members meet under their rarest shingles instead (exact).
+
+    ``verify(pairs)`` gives the linked ones of the pairs (a, b); by default it compares ``sets_of``.
     """
+    verify = verify or (lambda pairs: verify_pairs(pairs, sets_of, percent))
     keys = keyed.select("id", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("id").alias("p"), F.count("*").alias("c")).where("c > 1 and p is not null")
-    members = durable(keys.join(shared.select("key", "p"), "key"), "members")
-    stars = durable(members.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b")).distinct(), "stars")
-    links = durable(verify_pairs(stars, sets_of, percent), "links")
-    first = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-
-    held = members.join(first, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-    held = durable(held, "held")
-    several = held.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    held = durable(held.join(several, "key", "left_semi"), "held")
-    sizes = held.groupBy("key", "c").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("key").agg(F.sum("n").alias("m"), F.max("n").alias("top"))
-    sizes = sizes.select("key", ((F.col("m") - F.col("top")) * F.col("m") > open_limit).alias("wide"))
-    held = durable(held.join(sizes, "key"), "held")
-    pairs = _cross_pairs(held.where("not wide").drop("wide"))
-    wide = held.where("wide").drop("wide")
+    members = durable(keys.join(shared.select("key"), "key", "left_semi"), "members")
+    found = tested = None
+    for k in range(rounds):
+        held = _several(members, found)
+        pivot = held.where("c = big").groupBy("key").agg(F.min_by("id", F.xxhash64("id", F.lit(k))).alias("p"))
+        met = held.where("c <> big").join(pivot, "key").select(F.greatest("id", "p").alias("a"), F.least("id", "p").alias("b")).distinct()
+        stars = durable(met if tested is None else met.join(tested, ["a", "b"], "left_anti"), "stars")
+        if stars.isEmpty():
+            if found is None:
+                return components(stars.select(F.col("a").alias("u"), F.col("b").alias("v")))
+            break
+        edges = verify(stars).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        found = components(edges if found is None else edges.union(found.select("id", "component")))
+        tested = stars if tested is None else tested.union(stars)
+
+    held = _several(members, found)
+    pairs = _cross_pairs(held.where(F.col("open") <= open_limit))
+    wide = held.where(F.col("open") > open_limit).select("key", "id", "c")
     if not wide.isEmpty():
-        pairs = pairs.union(_cross_pairs(durable(_prefix_keys(wide, sets_of, percent), "prefixes"))).distinct()
-    pairs = durable(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
+        pairs = pairs.union(_cross_pairs(with_largest(durable(_prefix_keys(wide, sets_of, percent), "prefixes")))).distinct()
+    pairs = durable(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
     if pairs.isEmpty():
-        return first
-    more = verify_pairs(pairs, sets_of, percent)
-    edges = more.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    return components(edges.union(first.select("id", "component")))
+        return found
+    edges = verify(pairs).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return components(edges.union(found.select("id", "component")))

@@ -116,7 +116,7 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(s, pa.list_(pa.int64()))], names=["id", "s"])
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", open_limit: int = 20_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", open_limit: int = 500) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     Documents are linked when 100 * intersection >= percent * union of their distinct
