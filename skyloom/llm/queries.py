@@ -11,6 +11,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyloom.llm.line_dedup import line_components
+
+    return line_components(_table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skyloom.llm.packing import best_fit_packing
 
@@ -29,6 +35,12 @@ def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(_table(spark, sf_dir, "pages"))
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyloom.llm.fingerprints import fingerprints
+
+    return fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skyloom.llm.near_dedup import near_duplicates
 
