@@ -35,6 +35,12 @@ def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(_table(spark, sf_dir, "pages"))
 
 
+def op5_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyloom.llm.mixing import mixture
+
+    return mixture(_table(spark, sf_dir, "documents"))
+
+
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skyloom.llm.fingerprints import fingerprints
 
@@ -47,6 +53,12 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyloom.llm.secrets import scan
+
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skyloom.llm.embedding_dedup import embedding_duplicates
 
