@@ -37,6 +37,7 @@ _CANDIDATE = re.compile(
     r"|(?:(?i:password|passwd|pwd|secret|token|api[_-]?key|credential|access[_-]?key)[\"']?\s*[=:]\s*[\"']?)(?P<set>[^\s\"',;]{6,200})"
     r"|(?<![A-Za-z0-9+/_=.-])(?P<long>[A-Za-z0-9+/_=.-]{20,400})(?![A-Za-z0-9+/_=.-])"
 )
+_ADDRESS = re.compile(r"\S*[@.]\w\S*")
 _WORDS = re.compile(r"[a-z][a-z0-9_-]*")
 _KINDS = {c: k for k, cs in enumerate((string.ascii_lowercase, string.ascii_uppercase, string.digits)) for c in cs}
 
@@ -66,7 +67,7 @@ def describe(value: str, before: str, after: str, path: str, how: str) -> list[f
             covered[at : at + len(word)] = b"\1" * len(word)
             at = low.find(word, at + 1)
     vowels = sum(c in "aeiou" for c in low) / n
-    left, right = _WORDS.findall(before.lower())[-4:], _WORDS.findall(after.lower())[:4]
+    left, right = _WORDS.findall(_ADDRESS.sub(" ", before.lower()))[-4:], _WORDS.findall(_ADDRESS.sub(" ", after.lower()))[:4]
     near = lambda words, names: float(any(w in names or any(p in names for p in re.split("[_-]", w)) for w in words))
     where = path.lower()
     return [
