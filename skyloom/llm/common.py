@@ -90,88 +90,99 @@ def verify_pairs(pairs: DataFrame, sets_of, percent: int) -> DataFrame:
     return both.where(similar_enough(inter, F.size("sa"), F.size("sb"), percent)).select("a", "b")
 
 
-def with_largest(members: DataFrame) -> DataFrame:
-    """The members (key, id, c) with their key's largest component."""
-    sizes = members.groupBy("key", "c").agg(F.count("*").alias("n"))
-    return members.join(sizes.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("big")), "key")
+def _open_keys(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of keys that hold several components, with their component c and the number of open pairs."""
+    held = members.join(found, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+    sizes = held.groupBy("key", "c").agg(F.count("*").alias("k"))
+    sizes = sizes.groupBy("key").agg(F.max_by("c", F.struct("k", "c")).alias("big"), F.sum("k").alias("m"), F.max("k").alias("top"), F.count("*").alias("parts"))
+    return durable(held.join(sizes.where("parts > 1").select("key", "big", ((F.col("m") - F.col("top")) * F.col("m")).alias("open")), "key"), "held")
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of one key's members (key, id, c, big) in different components c.
+def _linkable(held: DataFrame, sets_of, percent: int) -> DataFrame:
+    """The members (key, id) that can still be linked within their key, with n and common.
+
+    n is the size of the set, common how many of its elements any other member has.  Two sets
+    share at most the smaller common, so a similarity of percent / 100 needs
+    common * (100 + percent) >= percent * (n + n of the other); with the key's smallest n this
+    rules members out exactly, without looking at pairs.
+    """
+    rows = durable(sets_of(held.select("id").distinct()).select("id", F.size("s").alias("n"), F.explode("s").alias("x")), "elements")
+    twice = rows.groupBy("x").agg(F.count("*").alias("df")).where("df > 1").select("x")
+    common = rows.join(twice, "x").groupBy("id").agg(F.count("*").alias("common"))
+    sizes = rows.groupBy("id").agg(F.min("n").alias("n")).join(common, "id", "left").select("id", "n", F.coalesce("common", F.lit(0)).alias("common"))
+    known = durable(held.select("key", "id").join(sizes, "id"), "known")
+    least = known.groupBy("key").agg(F.min("n").alias("least"))
+    fits = F.col("common") * (100 + percent) >= (F.col("n") + F.col("least")) * percent
+    return durable(known.join(least, "key").where(fits).drop("least"), "linkable")
+
+
+def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one key's members (key, id, c, n, common, big) in different components c that can be linked.
 
     Everything outside the key's largest component meets all members of that key, so the
     work is in proportion to the pairs that are still open, not to the square of the key.
     """
-    small = members.where("c <> big").select("key", F.col("id").alias("x"), F.col("c").alias("cx"))
-    met = small.join(members.select("key", "id", "c"), "key").where("cx <> c")
-    return met.select(F.greatest("x", "id").alias("a"), F.least("x", "id").alias("b")).distinct()
+    small = members.where("c <> big").select("key", *[F.col(c).alias(f"_{c}") for c in ("id", "c", "n", "common")])
+    near = F.least("common", "_common") * (100 + percent) >= (F.col("n") + F.col("_n")) * percent
+    met = small.join(members.select("key", "id", "c", "n", "common"), "key").where((F.col("_c") != F.col("c")) & near)
+    return met.select(F.greatest("_id", "id").alias("a"), F.least("_id", "id").alias("b")).distinct()
 
 
 def _prefix_keys(members: DataFrame, sets_of, percent: int) -> DataFrame:
-    """The members (id, c) under the rarest shingles of their sets.
+    """The members (id, c, n, common) under the rarest shingles of their sets.
 
     Exact: two sets of n elements that are similar enough share one of each one's
     ``n - ceil(n * percent / 100) + 1`` rarest elements (prefix filter).
     """
-    people = members.select("id", "c").distinct()
-    rows = durable(sets_of(people.select("id")).select("id", F.size("s").alias("n"), F.explode("s").alias("key")), "rows")
+    people = members.select("id", "c", "n", "common").distinct()
+    rows = durable(sets_of(people.select("id")).select("id", F.size("s").alias("size"), F.explode("s").alias("key")), "rows")
     rarity = rows.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
     rank = F.expr("row_number() over (partition by id order by coalesce(df, 1), key)")
     prefix = rows.join(rarity, "key", "left").withColumn("r", rank)
-    prefix = prefix.where(F.col("df").isNotNull() & (F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
-    return prefix.select("key", "id").join(people, "id").select("key", "id", "c")
+    prefix = prefix.where(F.col("df").isNotNull() & (F.col("r") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1))
+    return prefix.select("key", "id").join(people, "id").select("key", "id", "c", "n", "common")
 
 
-def _several(members: DataFrame, found: DataFrame | None) -> DataFrame:
-    """The members (key, id, c) of keys that hold several components, with their key's largest one."""
-    if found is None:
-        held = members.select("key", "id", F.col("id").alias("c"))
-    else:
-        held = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-    sizes = held.groupBy("key", "c").agg(F.count("*").alias("n"))
-    big = sizes.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("big"), F.sum("n").alias("m"), F.max("n").alias("top"), F.count("*").alias("parts"))
-    big = big.where("parts > 1").select("key", "big", ((F.col("m") - F.col("top")) * F.col("m")).alias("open"))
-    return durable(held.join(big, "key"), "held")
-
-
-def link_components(keyed: DataFrame, sets_of, percent: int, open_limit: int = 500, verify=None, rounds: int = 3) -> DataFrame:
+def link_components(keyed: DataFrame, sets_of, percent: int, open_limit: int = 500, verify=None) -> DataFrame:
     """Components (id, component) of items linked by exact set similarity; items without links have no row.
 
     ``keyed``: (id, bands array<long>) of distinct sets.
 
-    1. Rounds of stars: within each band key the members outside the key's largest component
-       meet one pivot of that component, another one each round (never all pairs of a
-       group), verified on full sets.  Near-copies collapse here, also large loose groups.
-    2. Only keys that still hold several components go on; there every pair across
-       components is verified.  Keys with more than ``open_limit`` open pairs are not
-       enumerated: their members meet under their rarest shingles instead (exact).
+    1. Every band key links its members to its smallest one (a star, never all pairs of a group).
+    2. Of keys that still hold several components, members that can't be linked within their
+       key are ruled out by counts (``_linkable``); the others meet the key's most central
+       member, the one with the largest common share.
+    3. Only what is still open goes on: pairs across components, bounded by the same counts.  Keys
+       with more than ``open_limit`` open pairs are not enumerated: their members meet
+       under their rarest shingles instead (exact).
 
     ``verify(pairs)`` gives the linked ones of the pairs (a, b); by default it compares ``sets_of``.
     """
     verify = verify or (lambda pairs: verify_pairs(pairs, sets_of, percent))
     keys = keyed.select("id", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("id").alias("p"), F.count("*").alias("c")).where("c > 1 and p is not null")
-    members = durable(keys.join(shared.select("key"), "key", "left_semi"), "members")
-    found = tested = None
-    for k in range(rounds):
-        held = _several(members, found)
-        pivot = held.where("c = big").groupBy("key").agg(F.min_by("id", F.xxhash64("id", F.lit(k))).alias("p"))
-        met = held.where("c <> big").join(pivot, "key").select(F.greatest("id", "p").alias("a"), F.least("id", "p").alias("b")).distinct()
-        stars = durable(met if tested is None else met.join(tested, ["a", "b"], "left_anti"), "stars")
-        if stars.isEmpty():
-            if found is None:
-                return components(stars.select(F.col("a").alias("u"), F.col("b").alias("v")))
-            break
-        edges = verify(stars).select(F.col("a").alias("u"), F.col("b").alias("v"))
-        found = components(edges if found is None else edges.union(found.select("id", "component")))
-        tested = stars if tested is None else tested.union(stars)
+    shared = keys.groupBy("key").agg(F.min("id").alias("p"), F.count("*").alias("k")).where("k > 1 and p is not null")
+    members = durable(keys.join(shared.select("key", "p"), "key"), "members")
+    stars = durable(members.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b")).distinct(), "stars")
+    found = components(verify(stars).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    held = _open_keys(members.select("key", "id"), found)
+    if held.isEmpty():
+        return found
 
-    held = _several(members, found)
-    pairs = _cross_pairs(held.where(F.col("open") <= open_limit))
-    wide = held.where(F.col("open") > open_limit).select("key", "id", "c")
+    left = _linkable(held, sets_of, percent)
+    held = _open_keys(left, found)
+    centre = held.groupBy("key").agg(F.max_by(F.struct("id", "c"), F.struct(F.col("common") / F.col("n"), "id")).alias("p"))
+    met = held.join(centre, "key").where("c <> p.c").select(F.greatest("id", "p.id").alias("a"), F.least("id", "p.id").alias("b")).distinct()
+    more = durable(met.join(stars, ["a", "b"], "left_anti"), "stars")
+    edges = verify(more).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    found = components(edges.union(found.select("id", "component")))
+
+    held = _open_keys(left, found)
+    pairs = _cross_pairs(held.where(F.col("open") <= open_limit), percent)
+    wide = held.where(F.col("open") > open_limit)
     if not wide.isEmpty():
-        pairs = pairs.union(_cross_pairs(with_largest(durable(_prefix_keys(wide, sets_of, percent), "prefixes")))).distinct()
-    pairs = durable(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        rare = _prefix_keys(wide, sets_of, percent)
+        pairs = pairs.union(_cross_pairs(_open_keys(rare.drop("c"), found), percent)).distinct()
+    pairs = durable(pairs.join(stars.union(more), ["a", "b"], "left_anti"), "pairs")
     if pairs.isEmpty():
         return found
     edges = verify(pairs).select(F.col("a").alias("u"), F.col("b").alias("v"))
