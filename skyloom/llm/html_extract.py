@@ -110,16 +110,17 @@ def labelled_pages(n: int = 240, seed: int = 11) -> list[tuple[str, str]]:
     """(page, main text) made by rule: several layouts of menus, adverts, notices, articles, comments and footers."""
     rnd = random.Random(seed)
     words = lambda k: " ".join("".join(rnd.choice("aeioubcdfglmnprst") for _ in range(rnd.randint(2, 9))) for _ in range(k))
+    forms = ["<p>{}</p>"] * 8 + ["<p><b>{}<br>", "<ul><li>{}</li></ul>", "<blockquote>{}</blockquote>", "<section><h2>{}</h2></section>", "<table><tr><td>{}</td></tr></table>", "<div>{}</div>", "<figure><figcaption>{}</figcaption></figure>", "<h3>{}</h3>"]
     out = []
     for k in range(n):
         title, paras = words(rnd.randint(1, 9)), [words(rnd.randint(1, 80)) for _ in range(rnd.randint(1, 9))]
         menu = "".join(f'<li><a href="/{i}">{words(rnd.randint(1, 2))}</a></li>' for i in range(rnd.randint(3, 9)))
         side = f'<div class="{rnd.choice(["ad", "sidebar", "cookie-notice", "share"])}">{words(rnd.randint(3, 25))}</div>'
         foot = f"<footer>&copy; {words(rnd.randint(2, 20))}</footer>"
-        inner = f"<h1>{title}</h1>" + "".join(f"<p>{p}</p>" if rnd.random() < 0.8 else f"<p><b>{p}<br>" for p in paras)
+        head, inner = f"<h1>{title}</h1>", "".join(rnd.choice(forms).format(p) for p in paras)
         comment = f'<section class="comments"><p>{words(rnd.randint(5, 60))}</p></section>' * (k % 3 == 0)
         loose = f"<div><a href='/x'>{words(2)}</a> <a href='/y'>{words(2)}</a></div>"
-        body = {0: f"<article>{inner}</article>", 1: f"<main>{inner}{comment}</main>", 2: f'<div class="post">{inner}</div>', 3: f"<article>{inner}{side}</article>"}[k % 4]
+        body = {0: f"<article>{head}{inner}</article>", 1: f"<main>{head}{side}{inner}{comment}</main>", 2: f'<div class="post">{head}{inner}</div>', 3: f"<article>{head}{side}{side}{inner}</article>"}[k % 4]
         out.append((f"<html><head><title>{title}</title></head><body><nav><ul>{menu}</ul></nav>{side}{loose}{body}{loose}{comment}{foot}</body></html>", " ".join([title, *paras])))
     return out
 
