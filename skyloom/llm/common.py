@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = durable(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
@@ -70,6 +71,23 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
 
 
+def spanning_edges(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that connect what a boolean matrix connects, one fewer than nodes; columns count on from the rows."""
+    rows, columns = linked.any(axis=1), linked.any(axis=0)
+    n, edges = len(rows), []
+    while rows.any():
+        root = int(np.flatnonzero(rows)[0])
+        front, rows[root] = np.array([root]), False
+        while len(front):
+            near = np.flatnonzero(linked[front].any(axis=0) & columns)
+            columns[near] = False
+            edges += [(root, n + int(j)) for j in near]
+            front = np.flatnonzero(linked[:, near].any(axis=1) & rows) if len(near) else near
+            rows[front] = False
+            edges += [(root, int(i)) for i in front]
+    return edges
+
+
 def similar_enough(inter: Column, a: Column, b: Column, percent: int) -> Column:
     """Jaccard similarity of at least ``percent`` / 100, in whole numbers."""
     return inter * 100 >= (a + b - inter) * percent
@@ -95,7 +113,8 @@ def _open_keys(members: DataFrame, found: DataFrame) -> DataFrame:
     held = members.join(found, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
     sizes = held.groupBy("key", "c").agg(F.count("*").alias("k"))
     sizes = sizes.groupBy("key").agg(F.max_by("c", F.struct("k", "c")).alias("big"), F.sum("k").alias("m"), F.max("k").alias("top"), F.count("*").alias("parts"))
-    return durable(held.join(sizes.where("parts > 1").select("key", "big", ((F.col("m") - F.col("top")) * F.col("m")).alias("open")), "key"), "held")
+    sizes = sizes.where("parts > 1").select("key", "big", "m", (F.col("m") - F.col("top")).alias("outside"), ((F.col("m") - F.col("top")) * F.col("m")).alias("open"))
+    return durable(held.join(sizes, "key"), "held")
 
 
 def _linkable(held: DataFrame, sets_of, percent: int) -> DataFrame:
@@ -143,7 +162,7 @@ def _prefix_keys(members: DataFrame, sets_of, percent: int) -> DataFrame:
     return prefix.select("key", "id").join(people, "id").select("key", "id", "c", "n", "common")
 
 
-def link_components(keyed: DataFrame, sets_of, percent: int, open_limit: int = 500, verify=None) -> DataFrame:
+def link_components(keyed: DataFrame, sets_of, percent: int, open_limit: int = 500, verify=None, wide_edges=None) -> DataFrame:
     """Components (id, component) of items linked by exact set similarity; items without links have no row.
 
     ``keyed``: (id, bands array<long>) of distinct sets.
@@ -157,6 +176,8 @@ def link_components(keyed: DataFrame, sets_of, percent: int, open_limit: int = 5
        under their rarest shingles instead (exact).
 
     ``verify(pairs)`` gives the linked ones of the pairs (a, b); by default it compares ``sets_of``.
+    ``wide_edges(members)``, if given, takes the place of the rarest shingles: edges (u, v) that connect
+    what is linked among the members of the wide keys.
     """
     verify = verify or (lambda pairs: verify_pairs(pairs, sets_of, percent))
     keys = keyed.select("id", F.explode("bands").alias("key"))
@@ -178,12 +199,12 @@ def link_components(keyed: DataFrame, sets_of, percent: int, open_limit: int = 5
 
     held = _open_keys(left, found)
     pairs = _cross_pairs(held.where(F.col("open") <= open_limit), percent)
-    wide = held.where(F.col("open") > open_limit)
+    wide, edges = held.where(F.col("open") > open_limit), found.select(F.col("id").alias("u"), F.col("component").alias("v"))
     if not wide.isEmpty():
-        rare = _prefix_keys(wide, sets_of, percent)
-        pairs = pairs.union(_cross_pairs(_open_keys(rare.drop("c"), found), percent)).distinct()
+        if wide_edges:
+            edges = edges.union(durable(wide_edges(wide), "edges"))
+        else:
+            rare = _prefix_keys(wide, sets_of, percent)
+            pairs = pairs.union(_cross_pairs(_open_keys(rare.drop("c"), found), percent)).distinct()
     pairs = durable(pairs.join(stars.union(more), ["a", "b"], "left_anti"), "pairs")
-    if pairs.isEmpty():
-        return found
-    edges = verify(pairs).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    return components(edges.union(found.select("id", "component")))
+    return components(edges.union(verify(pairs).select("a", "b")))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import components, durable
+from skyloom.llm.common import components, durable, spanning_edges
 
 THRESHOLD = 0.95
 BLOCK = 2048
@@ -50,23 +50,6 @@ def close_pairs(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
     return linked
 
 
-def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
-    """Edges that connect what the matrix connects, one fewer than nodes; columns count on from the rows."""
-    rows, columns = linked.any(axis=1), linked.any(axis=0)
-    n, edges = len(rows), []
-    while rows.any():
-        root = int(np.flatnonzero(rows)[0])
-        front, rows[root] = np.array([root]), False
-        while len(front):
-            near = np.flatnonzero(linked[front].any(axis=0) & columns)
-            columns[near] = False
-            edges += [(root, n + int(j)) for j in near]
-            front = np.flatnonzero(linked[:, near].any(axis=1) & rows) if len(near) else near
-            rows[front] = False
-            edges += [(root, int(i)) for i in front]
-    return edges
-
-
 def _read(batches):
     for batch in batches:
         ids, valid, digest, dims = batch.column("vec_id").to_pylist(), [], [], []
@@ -140,7 +123,7 @@ def _tile(threshold: float):
             if not same:
                 count = linked.T @ left.copies.to_numpy()
                 out += [(int(i), None, int(c)) for i, c in zip(right.id, count, strict=True) if c]
-            out += [(int(ids[a]), int(ids[b]), 0) for a, b in _forest(linked) if ids[a] != ids[b]]
+            out += [(int(ids[a]), int(ids[b]), 0) for a, b in spanning_edges(linked) if ids[a] != ids[b]]
         return pd.DataFrame(out, columns=["u", "v", "links"]).astype({"u": "int64", "v": "Int64", "links": "int64"})
 
     return run

@@ -12,17 +12,19 @@ import hashlib
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import durable, link_components
+from skyloom.llm.common import durable, link_components, spanning_edges
 
 UNIVERSE = 1 << 20
 BANDS, ROWS = 32, 4
 WORDS = 5
 PERCENT = 75
 SEED = 20_260_101
+TILE_ROWS, TILE_ELEMENTS = 512, 1_000_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _LANES = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
@@ -116,6 +118,64 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(s, pa.list_(pa.int64()))], names=["id", "s"])
 
 
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all sets of two lists, by products of incidence matrices."""
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    a, b = (np.concatenate(x) if len(x) else np.empty(0, np.int64) for x in (left, right))
+    names = np.intersect1d(a, b)
+    sides = []
+    for flat, sets in ((a, left), (b, right)):
+        at = np.searchsorted(names, flat)
+        hit = (at < len(names)) & (names[np.minimum(at, len(names) - 1)] == flat) if len(names) else np.zeros(len(flat), bool)
+        sides.append((np.repeat(np.arange(len(sets)), [len(x) for x in sets])[hit], at[hit]))
+    for k in range(0, len(names), columns):
+        parts = []
+        for (rows, at), sets in zip(sides, (left, right), strict=True):
+            here = (at >= k) & (at < k + columns)
+            m = np.zeros((len(sets), min(columns, len(names) - k)), dtype=np.float32)
+            m[rows[here], at[here] - k] = 1
+            parts.append(m)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _tile(percent: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = pdf[pdf.side == 0], pdf[pdf.side == 1]
+        edges = []
+        if len(left) and len(right):
+            x, y = ([np.asarray(v) for v in p.s] for p in (left, right))
+            n = np.array([len(v) for v in x])[:, None] + np.array([len(v) for v in y])[None]
+            both = shared_counts(x, y)
+            linked = (both * 100 >= (n - both) * percent) & (left.c.to_numpy()[:, None] != right.c.to_numpy()[None])
+            ids = np.concatenate((left.id.to_numpy(), right.id.to_numpy()))
+            edges = [(ids[a], ids[b]) for a, b in spanning_edges(linked)]
+        return pd.DataFrame(edges, columns=["u", "v"]).astype("int64")
+
+    return run
+
+
+def _tiles(members: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Edges (u, v) among the members of wide keys: tiles of bounded size, compared inside tasks.
+
+    Keys with the same largest component are one group, so a document moves once and not once a
+    key. A group's members outside that component (side 0) meet all its members (side 1); both
+    are dealt to blocks by hash, so a hot group makes many tiles, and only connecting edges
+    leave a tile.
+    """
+    once = members.select(F.col("big").alias("key"), "id", "c", "n").distinct().withColumn("out", F.col("c") != F.col("key"))
+    sizes = once.groupBy("key").agg(F.count("*").alias("m"), F.count_if("out").alias("outside"), F.sum("n").alias("elements"), F.sum(F.when(F.col("out"), F.col("n")).otherwise(0)).alias("outer"))
+    enough = lambda rows, elements: F.greatest(F.ceil(F.col(rows) / TILE_ROWS), F.ceil(F.col(elements) / TILE_ELEMENTS))
+    blocks = once.join(sizes, "key").withColumns({"rows": enough("m", "elements"), "parts": enough("outside", "outer")})
+    place = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    span = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    small = blocks.where("out").select("key", "id", "c", F.lit(0).alias("side"), place("parts").alias("i"), span("rows").alias("j"))
+    every = blocks.select("key", "id", "c", F.lit(1).alias("side"), span("parts").alias("i"), place("rows").alias("j"))
+    sets = sets_of(members.select("id").distinct())
+    dealt = small.unionByName(every).join(sets, "id")
+    return dealt.groupBy("key", "i", "j").applyInPandas(_tile(percent), "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", open_limit: int = 500) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -137,7 +197,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
         wanted = rows.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
         return wanted.select(F.col("doc_id").alias("id"), "text").mapInArrow(_sets, "id long, s array<long>")
 
-    found = link_components(keyed, sets_of, percent, open_limit)
+    found = link_components(keyed, sets_of, percent, open_limit, wide_edges=lambda wide: _tiles(wide, sets_of, percent))
     labelled = classes.join(found, "id", "left").select("hi", "lo", F.coalesce("component", "id").alias("component"))
     out = features.select("doc_id", "n_shingles", "hi", "lo").join(labelled, ["hi", "lo"], "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.col("component")))
