@@ -1,0 +1,25 @@
+from skyloom.llm import secrets as sc
+
+
+def test_held_out_findings(spark):
+    test = sc.labelled_findings(400, seed=77)
+    model = sc.train(spark)
+    from pyspark.ml.functions import array_to_vector
+
+    rows = [(sc.describe(*f[:5]), float(f[5])) for f in test]
+    out = model.transform(spark.createDataFrame(rows, "x array<double>, label double").select(array_to_vector("x").alias("features"), "label")).collect()
+    assert sum(r.prediction == r.label for r in out) / len(out) > 0.93
+
+
+def test_scan(spark):
+    rows = [
+        (1, 'some prose token = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f" more prose', "src1"),
+        (2, "see commit 9c8b45435718dcc700c184a7e303cdc64c6a8f7f for the change", "src1"),
+        (3, "password = changeme please", "src1"),
+        (4, None, None), (5, "", "src1"), (None, "é token=ghp_abcDEF123456ghiJKL789mnoPQR012stuVWX", "src1"), (1, "plain words only " * 5000, "src1"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {(r.doc_id, r.start): r for r in sc.scan(df).collect()}
+    assert got[1, 20].secret and rows[0][1][20 : got[1, 20].end] == "9c8b45435718dcc700c184a7e303cdc64c6a8f7f"
+    assert not got[2, 11].secret and not got[3, 11].secret and got[None, 8].secret
+    assert len(got) == 4 and sc.scan(df.limit(0)).count() == 0
