@@ -47,11 +47,10 @@ def fit(texts: list[str], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, fl
     if len(set(toxic.tolist())) < 2:
         return *none, float(np.log(share / (1 - share)))
     sets = [np.unique(features(t)).astype(np.int32) for t in texts]
-    sizes = np.array([len(s) for s in sets])
-    ids = np.concatenate(sets)
     n1, n0 = toxic.sum(), (1 - toxic).sum()
-    p = np.bincount(ids, weights=np.repeat(toxic, sizes), minlength=DIMENSIONS)
-    q = np.bincount(ids, minlength=DIMENSIONS) - p
+    p, q = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
+    for s, y in zip(sets, toxic, strict=True):
+        (p if y else q)[s] += 1
     ratio = np.log((p + SMOOTHING) / (n1 + SMOOTHING)) - np.log((q + SMOOTHING) / (n0 + SMOOTHING))
     # Features that tell nothing are left out: chi-square of presence against the label.
     expected = (p + q) * n1 / (n1 + n0)
@@ -61,9 +60,9 @@ def fit(texts: list[str], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, fl
         return *none, float(np.log(share / (1 - share)))
     place = np.full(DIMENSIONS, -1, np.int32)
     place[kept] = np.arange(len(kept))
-    columns = place[ids]
-    rows = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[columns >= 0]
-    columns = columns[columns >= 0]
+    live = [c[c >= 0] for c in (place[s] for s in sets)]
+    rows = np.repeat(np.arange(len(sets), dtype=np.int32), [len(c) for c in live])
+    columns = np.concatenate(live)
     x = ratio[kept][columns]
     weight, bias = np.zeros(len(kept)), float(np.log(share / (1 - share)))
     m, v = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
