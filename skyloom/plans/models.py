@@ -28,15 +28,21 @@ def region_hourly(aggregates: DataFrame, registry: DataFrame, contract: Contract
 def region_anomalies(hourly: DataFrame, contract: Contract, current: DataFrame | None = None) -> DataFrame:
     """Each region-hour against the ready hours of the same local hour in the days before.
 
-    One range window per (region, local hour) instead of a self-join; a group holds one value
-    a day at most twice.  ``current`` restricts the result to the keys of affected rows.
+    All rows: one range window per (region, local hour) instead of a self-join; a group holds
+    one value a day, two at most.  With ``current`` only the rows of its keys are computed, by joining them
+    to their own baselines, so the work follows the change and not the history.
     """
     days = contract.anomaly_baseline_days
-    frame = f"partition by canonical_region_id, _hour order by _at range between {days * 86400} preceding and 1 preceding"
     rows = hourly.withColumns({"_hour": F.hour("local_observation_hour"), "_at": F.unix_seconds(F.col("observation_hour").cast("timestamp"))})
-    rows = rows.withColumn("_prior", F.expr(f"collect_list(case when is_analysis_ready then no2_mean end) over ({frame})"))
-    if current is not None:
+    if current is None:
+        frame = f"partition by canonical_region_id, _hour order by _at range between {days * 86400} preceding and 1 preceding"
+        rows = rows.withColumn("_prior", F.expr(f"collect_list(case when is_analysis_ready then no2_mean end) over ({frame})"))
+    else:
+        prior = rows.where("is_analysis_ready and no2_mean is not null").select("canonical_region_id", "_hour", F.col("_at").alias("_then"), F.col("no2_mean").alias("_value"))
         rows = rows.join(current.select(*KEY), KEY, "left_semi")
+        near = rows.select(*KEY, "_hour", "_at").join(prior, ["canonical_region_id", "_hour"]).where(f"_then < _at and _then >= _at - {days * 86400}")
+        rows = rows.join(near.groupBy(*KEY).agg(F.collect_list("_value").alias("_prior")), KEY, "left")
+        rows = rows.withColumn("_prior", F.coalesce("_prior", F.array().cast("array<double>")))
     rows = rows.withColumn("baseline_median", array_median(F.col("_prior"))).withColumn("baseline_sample_count", F.size("_prior").cast("long"))
     rows = rows.withColumn("baseline_mad", array_mad(F.col("_prior"), F.col("baseline_median")))
     z = robust_z(F.col("no2_mean"), F.col("is_analysis_ready"), F.col("baseline_sample_count"), F.col("baseline_median"), F.col("baseline_mad"), contract.anomaly_min_baseline_samples)
@@ -58,6 +64,12 @@ def region_anomalies(hourly: DataFrame, contract: Contract, current: DataFrame |
 
 def affected(hourly: DataFrame, changed: DataFrame, contract: Contract) -> DataFrame:
     """The region-hours whose baseline or own value a changed region-hour can touch."""
+    first, last = changed.agg(F.min("observation_hour"), F.max("observation_hour")).first()
+    if first is None:
+        return hourly.limit(0)
+    # Literal bounds reach the scan, so untouched hours (partitions) are never read.
+    span = [F.lit(t).cast("timestamp_ntz") for t in (first, last + dt.timedelta(days=contract.anomaly_baseline_days))]
+    hourly = hourly.where(F.col("observation_hour").between(*span))
     c = changed.select(F.col("canonical_region_id").alias("_region"), F.col("observation_hour").alias("_from"))
     until = F.col("_from") + F.expr(f"interval {contract.anomaly_baseline_days} days")
     near = (F.col("canonical_region_id") == F.col("_region")) & (F.col("observation_hour") >= F.col("_from")) & (F.col("observation_hour") <= until)
