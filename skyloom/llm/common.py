@@ -33,7 +33,7 @@ def durable(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -135,15 +135,19 @@ def _linkable(held: DataFrame, sets_of, percent: int) -> DataFrame:
     return durable(known.join(least, "key").where(fits).drop("least"), "linkable")
 
 
-def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one key's members (key, id, c, n, common, big) in different components c that can be linked.
+def _cross_pairs(members: DataFrame, percent: int | None = None) -> DataFrame:
+    """Pairs of one key's members (key, id, c, big) in different components c.
 
     Everything outside the key's largest component meets all members of that key, so the
-    work is in proportion to the pairs that are still open, not to the square of the key.
+    work is in proportion to the pairs that are still open, not to the square of the key.  With
+    ``percent`` (and columns n, common) pairs that can't be linked by their counts are left out.
     """
-    small = members.where("c <> big").select("key", *[F.col(c).alias(f"_{c}") for c in ("id", "c", "n", "common")])
-    near = F.least("common", "_common") * (100 + percent) >= (F.col("n") + F.col("_n")) * percent
-    met = small.join(members.select("key", "id", "c", "n", "common"), "key").where((F.col("_c") != F.col("c")) & near)
+    columns = ["id", "c"] + ["n", "common"] * (percent is not None)
+    small = members.where("c <> big").select("key", *[F.col(c).alias(f"_{c}") for c in columns])
+    fits = F.col("_c") != F.col("c")
+    if percent is not None:
+        fits = fits & (F.least("common", "_common") * (100 + percent) >= (F.col("n") + F.col("_n")) * percent)
+    met = small.join(members.select("key", *columns), "key").where(fits)
     return met.select(F.greatest("_id", "id").alias("a"), F.least("_id", "id").alias("b")).distinct()
 
 
@@ -168,12 +172,11 @@ def link_components(keyed: DataFrame, sets_of, percent: int, open_limit: int = 5
     ``keyed``: (id, bands array<long>) of distinct sets.
 
     1. Every band key links its members to its smallest one (a star, never all pairs of a group).
-    2. Of keys that still hold several components, members that can't be linked within their
-       key are ruled out by counts (``_linkable``); the others meet the key's most central
-       member, the one with the largest common share.
-    3. Only what is still open goes on: pairs across components, bounded by the same counts.  Keys
-       with more than ``open_limit`` open pairs are not enumerated: their members meet
-       under their rarest shingles instead (exact).
+    2. Keys that still hold several components, with up to ``open_limit`` open pairs, give those pairs.
+    3. In wider keys, members that can't be linked within their key are ruled out by counts
+       (``_linkable``); the others meet the key's most central member, the one with the largest
+       common share. What is open then is enumerated up to ``open_limit`` again; beyond it members
+       meet under their rarest shingles instead (exact).
 
     ``verify(pairs)`` gives the linked ones of the pairs (a, b); by default it compares ``sets_of``.
     ``wide_edges(members)``, if given, takes the place of the rarest shingles: edges (u, v) that connect
@@ -186,25 +189,28 @@ def link_components(keyed: DataFrame, sets_of, percent: int, open_limit: int = 5
     stars = durable(members.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b")).distinct(), "stars")
     found = components(verify(stars).select(F.col("a").alias("u"), F.col("b").alias("v")))
     held = _open_keys(members.select("key", "id"), found)
-    if held.isEmpty():
-        return found
-
-    left = _linkable(held, sets_of, percent)
-    held = _open_keys(left, found)
-    centre = held.groupBy("key").agg(F.max_by(F.struct("id", "c"), F.struct(F.col("common") / F.col("n"), "id")).alias("p"))
-    met = held.join(centre, "key").where("c <> p.c").select(F.greatest("id", "p.id").alias("a"), F.least("id", "p.id").alias("b")).distinct()
-    more = durable(met.join(stars, ["a", "b"], "left_anti"), "stars")
-    edges = verify(more).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    found = components(edges.union(found.select("id", "component")))
-
-    held = _open_keys(left, found)
-    pairs = _cross_pairs(held.where(F.col("open") <= open_limit), percent)
-    wide, edges = held.where(F.col("open") > open_limit), found.select(F.col("id").alias("u"), F.col("component").alias("v"))
+    pairs, tested, tiled = _cross_pairs(held.where(F.col("open") <= open_limit)), stars, False
+    edges = found.select(F.col("id").alias("u"), F.col("component").alias("v"))
+    wide = held.where(F.col("open") > open_limit)
     if not wide.isEmpty():
-        if wide_edges:
-            edges = edges.union(durable(wide_edges(wide), "edges"))
-        else:
-            rare = _prefix_keys(wide, sets_of, percent)
-            pairs = pairs.union(_cross_pairs(_open_keys(rare.drop("c"), found), percent)).distinct()
-    pairs = durable(pairs.join(stars.union(more), ["a", "b"], "left_anti"), "pairs")
+        left = _linkable(wide, sets_of, percent)
+        held = _open_keys(left, found)
+        centre = held.groupBy("key").agg(F.max_by(F.struct("id", "c"), F.struct(F.col("common") / F.col("n"), "id")).alias("p"))
+        met = held.join(centre, "key").where("c <> p.c").select(F.greatest("id", "p.id").alias("a"), F.least("id", "p.id").alias("b")).distinct()
+        more = durable(met.join(stars, ["a", "b"], "left_anti"), "stars")
+        tested = stars.union(more)
+        found = components(edges.union(verify(more).select("a", "b")))
+        edges = found.select(F.col("id").alias("u"), F.col("component").alias("v"))
+        held = _open_keys(left, found)
+        pairs = pairs.union(_cross_pairs(held.where(F.col("open") <= open_limit), percent))
+        wide = held.where(F.col("open") > open_limit)
+        if not wide.isEmpty():
+            if wide_edges:
+                edges, tiled = edges.union(durable(wide_edges(wide), "edges")), True
+            else:
+                rare = _prefix_keys(wide, sets_of, percent)
+                pairs = pairs.union(_cross_pairs(_open_keys(rare.drop("c"), found), percent))
+    pairs = durable(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+    if not tiled and pairs.isEmpty():
+        return found
     return components(edges.union(verify(pairs).select("a", "b")))

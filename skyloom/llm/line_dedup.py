@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from skyloom.llm.common import MAX_LONG, durable, link_components
 
 SHINGLE = 8
-BANDS, ROWS = 12, 4
+BANDS, ROWS = 10, 4
 PERCENT = 80
 LEVEL = 128  # shingles up to which a line's signature uses all of them
 STEP = 4096
