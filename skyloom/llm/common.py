@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_LONG = 2**63 - 1
+BROADCAST_IDS = 2_000_000  # 16 MB of longs
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,6 +38,17 @@ def durable(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def rows_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose ``id`` is among ``ids`` (id long, distinct).
+
+    The ids are counted first: up to ``BROADCAST_IDS`` they are broadcast, so that rows with long
+    texts stay where they are read; more of them meet the rows in a shuffle.
+    """
+    ids = durable(ids, "ids")
+    few = ids.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if few else ids.hint("merge"), "id", "left_semi")
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 

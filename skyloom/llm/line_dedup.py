@@ -13,7 +13,7 @@ import random
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import MAX_LONG, durable, link_components
+from skyloom.llm.common import MAX_LONG, durable, link_components, rows_of
 
 SHINGLE = 8
 BANDS, ROWS = 10, 4
@@ -74,7 +74,7 @@ def line_components(docs: DataFrame, percent: int = PERCENT, open_limit: int = 5
     keyed = durable(_signatures(distinct), "signatures")
 
     def texts(ids: DataFrame) -> DataFrame:
-        return lines.select("id", "line").join(ids, "id", "left_semi").dropDuplicates(["id"])
+        return rows_of(lines.select("id", "line"), ids).dropDuplicates(["id"])
 
     def verify(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()

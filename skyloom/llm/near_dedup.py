@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import durable, link_components, spanning_edges
+from skyloom.llm.common import durable, link_components, rows_of, spanning_edges
 
 UNIVERSE = 1 << 20
 BANDS, ROWS = 32, 4
@@ -194,8 +194,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     keyed = features.join(classes.select(F.col("id").alias("doc_id"), "hi", "lo"), ["doc_id", "hi", "lo"]).select(F.col("doc_id").alias("id"), "bands")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = rows.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-        return wanted.select(F.col("doc_id").alias("id"), "text").mapInArrow(_sets, "id long, s array<long>")
+        return rows_of(rows.select(F.col("doc_id").alias("id"), "text"), ids).mapInArrow(_sets, "id long, s array<long>")
 
     found = link_components(keyed, sets_of, percent, open_limit, wide_edges=lambda wide: _tiles(wide, sets_of, percent))
     labelled = classes.join(found, "id", "left").select("hi", "lo", F.coalesce("component", "id").alias("component"))
