@@ -18,7 +18,6 @@ from skyloom.llm.common import MAX_LONG, durable, link_components, rows_of
 SHINGLE = 8
 BANDS, ROWS = 10, 4
 PERCENT = 80
-LEVEL = 128  # shingles up to which a line's signature uses all of them
 STEP = 4096
 SEED = 7
 
@@ -34,24 +33,19 @@ def _signatures(lines: DataFrame) -> DataFrame:
     """id and band keys of distinct lines (id, line).
 
     The base hash of a shingle meets random points by exclusive or; the nearest shingle to a
-    point is a min-hash coordinate.  Long lines use the shingles of one hash residue in
-    4 ** level; a line near a level's end has a signature on both levels, so that any two
-    lines similar enough share one level.
+    point is a min-hash coordinate.  Every line uses all of its shingles, so that equal sets
+    have equal signatures whatever the lengths of their lines.
     """
     rnd = random.Random(SEED)
     points = [rnd.getrandbits(64) - 2**63 for _ in range(BANDS * ROWS)]
-    n = f"greatest(length(line) - {SHINGLE - 1}, 1)"
-    level = f"cast(greatest(ceil(log(4, {n} / {LEVEL})), 0) as int)"
-    near = f"case when {n} * 100 >= {PERCENT} * {LEVEL} * power(4, {level}) then array({level}, {level} + 1) else array({level}) end"
     # UTF-16 makes every position reachable in constant time; long lines go in blocks of places.
-    coded = lines.select("id", F.expr("encode(line, 'UTF-16BE')").alias("b"), F.expr("octet_length(encode(line, 'UTF-16BE')) div 2").alias("units"), F.explode(F.expr(near)).alias("level"))
+    coded = lines.select("id", F.expr("encode(line, 'UTF-16BE')").alias("b"), F.expr("octet_length(encode(line, 'UTF-16BE')) div 2").alias("units"))
     last = f"greatest(units - {SHINGLE}, 0)"
-    blocks = coded.select("id", "b", "level", F.expr(last).alias("last"), F.explode(F.expr(f"sequence(0, {last}, {STEP})")).alias("block"))
-    places = blocks.select("id", "b", "level", F.explode(F.expr(f"sequence(block, least(block + {STEP - 1}, last))")).alias("at"))
-    hashed = places.select("id", "level", F.xxhash64(F.expr(f"substring(b, 2 * at + 1, {2 * SHINGLE})")).alias("h"))
-    hashed = hashed.where(F.expr("h & (shiftleft(1L, 2 * level) - 1) = 0"))
-    low = hashed.groupBy("id", "level").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(p))).alias(f"m{j}") for j, p in enumerate(points)])
-    keys = [F.xxhash64(F.lit(k), "level", *[f"m{ROWS * k + j}" for j in range(ROWS)]) for k in range(BANDS)]
+    blocks = coded.select("id", "b", F.expr(last).alias("last"), F.explode(F.expr(f"sequence(0, {last}, {STEP})")).alias("block"))
+    places = blocks.select("id", "b", F.explode(F.expr(f"sequence(block, least(block + {STEP - 1}, last))")).alias("at"))
+    hashed = places.select("id", F.xxhash64(F.expr(f"substring(b, 2 * at + 1, {2 * SHINGLE})")).alias("h"))
+    low = hashed.groupBy("id").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(p))).alias(f"m{j}") for j, p in enumerate(points)])
+    keys = [F.xxhash64(F.lit(k), *[f"m{ROWS * k + j}" for j in range(ROWS)]) for k in range(BANDS)]
     return low.select("id", F.array(*keys).alias("bands"))
 
 

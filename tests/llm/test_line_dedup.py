@@ -75,3 +75,17 @@ def test_edges_of_the_input(spark):
     got = sorted((r.doc_id or 0, r.keep_doc_id, r.kept) for r in ld.line_components(df).collect())
     assert got == [(0, 1, False), (1, 1, True), (1, 1, True), (2, 2, True)]
     assert ld.line_components(df.limit(0)).count() == 0 and ld.drop_repeated_lines(df.limit(0)).count() == 0
+
+
+def test_lines_of_few_shingles_and_many_characters(spark):
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 8)))
+    passage = " ".join(word() for _ in range(60))
+    sentence = " ".join(word() for _ in range(10))
+    lines = ["-" * 80, "-" * 200, "-" * 3000, sentence * 4, sentence * 12, sentence * 90, passage[:300], passage[:300] * 2, "=" * 700, "ab" * 900, "ab" * 20, "0" * 70_000]
+    docs = list(enumerate(lines))
+    got = {(r.doc_id, r.line_no): (r.keep_doc_id, r.keep_line_no) for r in ld.line_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    want = brute(docs)
+    assert got == want and len(set(want.values())) == 6
+    keyed = ld._signatures(spark.createDataFrame(docs, "id long, line string"))
+    assert keyed.count() == len(lines)
