@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from skyloom.llm.common import MAX_LONG, durable, link_components, rows_of
 
 SHINGLE = 8
-BANDS, ROWS = 10, 4
+BANDS, ROWS = 14, 4
+TURN = 9  # bits by which the base hash is turned from band to band
 PERCENT = 80
 STEP = 4096
 SEED = 7
@@ -32,9 +33,10 @@ def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def _signatures(lines: DataFrame) -> DataFrame:
     """id and band keys of distinct lines (id, line).
 
-    The base hash of a shingle meets random points by exclusive or; the nearest shingle to a
-    point is a min-hash coordinate.  Every line uses all of its shingles, so that equal sets
-    have equal signatures whatever the lengths of their lines.
+    The base hash of a shingle, turned anew for each band, meets random points by exclusive or;
+    the nearest shingle to a point is a min-hash coordinate.  Points that share their leading bits
+    give the same coordinate; the turns keep that from joining bands.  Every line uses all of
+    its shingles, so that equal sets have equal signatures whatever the lengths of their lines.
     """
     rnd = random.Random(SEED)
     points = [rnd.getrandbits(64) - 2**63 for _ in range(BANDS * ROWS)]
@@ -44,7 +46,8 @@ def _signatures(lines: DataFrame) -> DataFrame:
     blocks = coded.select("id", "b", F.expr(last).alias("last"), F.explode(F.expr(f"sequence(0, {last}, {STEP})")).alias("block"))
     places = blocks.select("id", "b", F.explode(F.expr(f"sequence(block, least(block + {STEP - 1}, last))")).alias("at"))
     hashed = places.select("id", F.xxhash64(F.expr(f"substring(b, 2 * at + 1, {2 * SHINGLE})")).alias("h"))
-    low = hashed.groupBy("id").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(p))).alias(f"m{j}") for j, p in enumerate(points)])
+    turned = [F.expr(f"shiftleft(h, {TURN * k % 64}) | shiftrightunsigned(h, {-TURN * k % 64})").alias(f"h{k}") for k in range(BANDS)]
+    low = hashed.select("id", *turned).groupBy("id").agg(*[F.min(F.col(f"h{j // ROWS}").bitwiseXOR(F.lit(p))).alias(f"m{j}") for j, p in enumerate(points)])
     keys = [F.xxhash64(F.lit(k), *[f"m{ROWS * k + j}" for j in range(ROWS)]) for k in range(BANDS)]
     return low.select("id", F.array(*keys).alias("bands"))
 

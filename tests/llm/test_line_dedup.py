@@ -89,3 +89,15 @@ def test_lines_of_few_shingles_and_many_characters(spark):
     assert got == want and len(set(want.values())) == 6
     keyed = ld._signatures(spark.createDataFrame(docs, "id long, line string"))
     assert keyed.count() == len(lines)
+
+
+def test_recall_at_the_threshold(spark):
+    rnd = random.Random(5)
+    text = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    for n in (17, 137, 457):  # shingles both lines share, with n / 4 more in one of them
+        rows = []
+        for i in range(1500):
+            common = text(n + 7)
+            rows += [(2 * i, common), (2 * i + 1, common + text(n // 4))]
+        found = {r.id: set(r.bands) for r in ld._signatures(spark.createDataFrame(rows, "id long, line string")).collect()}
+        assert sum(not found[2 * i] & found[2 * i + 1] for i in range(1500)) <= 4
