@@ -24,10 +24,10 @@ SEED = 7
 
 
 def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, line_no (from 0), id, line (normalised) of every line that isn't blank."""
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(MAX_LONG)).alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-    rows = rows.select("doc_id", "line_no", F.lower(F.btrim("line", F.lit(" \t\r "))).alias("line")).where("line <> ''")
-    return rows.select("doc_id", "line_no", F.xxhash64("line").alias("id"), "line")
+    """doc_id, text_id (hash of the whole text), line_no (from 0), id, line (normalised) of every line that isn't blank."""
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(MAX_LONG)).alias("doc_id"), F.xxhash64(text_col).alias("text_id"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
+    rows = rows.select("doc_id", "text_id", "line_no", F.lower(F.btrim("line", F.lit(" \t\r "))).alias("line")).where("line <> ''")
+    return rows.select("doc_id", "text_id", "line_no", F.xxhash64("line").alias("id"), "line")
 
 
 def _signatures(lines: DataFrame) -> DataFrame:
@@ -57,15 +57,8 @@ def _grams(column: str):
     return F.when(F.length(column) < SHINGLE, whole).otherwise(F.regexp_extract_all(column, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1)))
 
 
-def line_components(docs: DataFrame, percent: int = PERCENT, open_limit: int = 500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per line that isn't blank: doc_id, line_no, keep_doc_id, keep_line_no, kept.
-
-    Lines are linked when the Jaccard similarity of their distinct 8-character shingles is
-    percent / 100 or more (a shorter line is one shingle); keep_* names the first line of
-    the component.  Null, empty and blank texts have no lines.  Null ids count as one
-    document behind all others (doc_id null); rows that share an id count as one document.
-    Other columns are ignored.
-    """
+def _decisions(docs: DataFrame, percent: int, open_limit: int = 500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``line_components`` with text_id, which tells rows of one doc_id apart; doc_id is MAX_LONG where it is null."""
     lines = durable(split_lines(docs, id_col, text_col), "lines")
     distinct = lines.select("id", "line").dropDuplicates(["id"])
     keyed = durable(_signatures(distinct), "signatures")
@@ -87,23 +80,38 @@ def line_components(docs: DataFrame, percent: int = PERCENT, open_limit: int = 5
         return grams.groupBy("id").agg(F.collect_set(F.xxhash64("g")).alias("s"))
 
     found = link_components(keyed, sets_of, percent, open_limit, verify)
-    labelled = lines.select("doc_id", "line_no", "id").join(found, "id", "left").select("doc_id", "line_no", F.coalesce("component", "id").alias("component"))
-    first = labelled.groupBy("component").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
-    out = labelled.join(first, "component").select("doc_id", "line_no", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.line_no").alias("keep_line_no"))
-    out = out.withColumn("kept", F.expr("doc_id = keep_doc_id and line_no = keep_line_no"))
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(MAX_LONG))).withColumn("keep_doc_id", F.nullif("keep_doc_id", F.lit(MAX_LONG)))
+    labelled = lines.select("doc_id", "text_id", "line_no", "id").join(found, "id", "left").select("doc_id", "text_id", "line_no", F.coalesce("component", "id").alias("component"))
+    first = labelled.groupBy("component").agg(F.min(F.struct("doc_id", "line_no", "text_id")).alias("first"))
+    kept = F.expr("struct(doc_id, line_no, text_id) = first").alias("kept")
+    return labelled.join(first, "component").select("doc_id", "text_id", "line_no", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.line_no").alias("keep_line_no"), kept)
+
+
+def line_components(docs: DataFrame, percent: int = PERCENT, open_limit: int = 500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per line that isn't blank: doc_id, line_no, keep_doc_id, keep_line_no, kept.
+
+    Lines are linked when the Jaccard similarity of their distinct 8-character shingles is
+    percent / 100 or more (a shorter line is one shingle); keep_* names the first line of
+    the component.  Null, empty and blank texts have no lines.  Null ids count as one
+    document behind all others (doc_id null); rows that share an id count as one document,
+    whose equal places are told apart by a hash of the text.  Other columns are ignored.
+    """
+    out = _decisions(docs, percent, open_limit, id_col, text_col)
+    return out.select(F.nullif("doc_id", F.lit(MAX_LONG)).alias("doc_id"), "line_no", F.nullif("keep_doc_id", F.lit(MAX_LONG)).alias("keep_doc_id"), "keep_line_no", "kept")
 
 
 def drop_repeated_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without the lines that repeat an earlier one; blank lines stay.
 
     A document of whose lines none is left goes; one that had no lines from the start stays.
+    Decisions hold for a row's id and text together: rows without an id, or of one id, with
+    different texts lose only their own lines; rows equal in both share their fate.
     n_chars follows the text where that column exists; all other columns are carried.
     """
     # A document's lines fit one row, as its text does.
-    result = durable(line_components(docs, percent, id_col=id_col, text_col=text_col), "decisions")
-    gone = result.where("not kept").groupBy(F.coalesce("doc_id", F.lit(MAX_LONG)).alias("_key")).agg(F.collect_set("line_no").alias("_gone"))
-    joined = docs.withColumn("_key", F.coalesce(F.col(id_col).cast("long"), F.lit(MAX_LONG))).join(gone, "_key", "left")
+    result = durable(_decisions(docs, percent, id_col=id_col, text_col=text_col), "decisions")
+    gone = result.where("not kept").groupBy(F.col("doc_id").alias("_key"), F.col("text_id").alias("_text_id")).agg(F.collect_set("line_no").alias("_gone"))
+    keyed = docs.withColumns({"_key": F.coalesce(F.col(id_col).cast("long"), F.lit(MAX_LONG)), "_text_id": F.xxhash64(text_col)})
+    joined = keyed.join(gone, ["_key", "_text_id"], "left")
     keep = F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), i))
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(keep, "\n"))
     out = joined.withColumn("_text", text).where(F.col("_gone").isNull() | F.col("_text").rlike(r"[^ \t\r\n]"))

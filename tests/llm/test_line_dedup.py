@@ -101,3 +101,11 @@ def test_recall_at_the_threshold(spark):
             rows += [(2 * i, common), (2 * i + 1, common + text(n // 4))]
         found = {r.id: set(r.bands) for r in ld._signatures(spark.createDataFrame(rows, "id long, line string")).collect()}
         assert sum(not found[2 * i] & found[2 * i + 1] for i in range(1500)) <= 4
+
+
+def test_rows_without_an_id_and_of_one_id_lose_only_their_own_lines(spark):
+    rows = [(1, "common"), (None, "unique A\ncommon"), (None, "common\nunique B"), (None, "only C\nunique A"), (7, "seven\ncommon"), (7, "common\neight"), (8, "one place\nx"), (8, "one place\ny")]
+    out = ld.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    lines = lambda i: sorted(x for r in out if r.doc_id == i for x in r.text.split("\n"))
+    assert lines(None) == ["only C", "unique A", "unique B"]
+    assert lines(1) == ["common"] and lines(7) == ["eight", "seven"] and lines(8) == ["one place", "x", "y"]
