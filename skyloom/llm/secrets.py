@@ -33,9 +33,9 @@ PATHS = ("test", "example", "sample", "doc", "fixture", "mock", "vendor")
 PLACEHOLDERS = re.compile(r"(?i)x{4,}|\.{3}|changeme|your[_-]|example|placeholder|<|\{\{|\$\{|(.)\1{5,}|1234567|abcdef0")
 
 _CANDIDATE = re.compile(
-    r"(?P<key>-----BEGIN [A-Z ]*PRIVATE KEY-----)"
-    r"|(?:(?i:password|passwd|pwd|secret|token|api[_-]?key|credential|access[_-]?key)[\"']?\s*[=:]\s*[\"']?)(?P<set>[^\s\"',;]{6,200})"
-    r"|(?<![A-Za-z0-9+/_=.-])(?P<long>[A-Za-z0-9+/_=.-]{20,400})(?![A-Za-z0-9+/_=.-])"
+    r"(?P<key>-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----)?)"
+    r"|(?:(?i:password|passwd|pwd|secret|token|api[_-]?key|credential|access[_-]?key)[\"']?\s*[=:]\s*[\"']?)(?!-----BEGIN )(?P<set>[^\s\"',;]{6,})"
+    r"|(?<![A-Za-z0-9+/_=.-])(?P<long>[A-Za-z0-9+/_=.-]{20,}+)"
 )
 _ADDRESS = re.compile(r"\S*[@.]\w\S*")
 _WORDS = re.compile(r"[a-z][a-z0-9_-]*")

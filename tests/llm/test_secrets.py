@@ -23,3 +23,26 @@ def test_scan(spark):
     assert got[1, 20].secret and rows[0][1][20 : got[1, 20].end] == "9c8b45435718dcc700c184a7e303cdc64c6a8f7f"
     assert not got[2, 11].secret and not got[3, 11].secret and got[None, 8].secret
     assert len(got) == 4 and sc.scan(df.limit(0)).count() == 0
+
+
+def test_long_values_and_whole_keys(spark):
+    import hashlib
+    import random
+    import string
+
+    rnd = random.Random(9)
+    pick = lambda n: "".join(rnd.choice(string.ascii_letters + string.digits) for _ in range(n - 2)) + "a1"
+    body = "\n".join(pick(64) for _ in range(24))
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n{body}\n-----END RSA PRIVATE KEY-----"
+    values = [(how, lead, pick(n)) for n in (250, 600, 5000) for how, lead in (("set", "token="), ("long", "bearer "))]
+    values += [("key", "see ", pem), ("key", "secret = ", pem)]
+    rows = [(i, f"{lead}{value} and more", "src") for i, (_, lead, value) in enumerate(values)]
+    got = sc.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == len(values)
+    for r in got:
+        how, lead, value = values[r.doc_id]
+        assert (r.found_by, r.start, r.end) == (how, len(lead), len(lead) + len(value)) and r.sha256 == hashlib.sha256(value.encode()).hexdigest()
+    assert all(r.secret for r in got), [(r.doc_id, r.score) for r in got]
+    cut = "-----BEGIN PRIVATE KEY-----\n" + body
+    assert [how for *_, how in sc.candidates(cut)] == ["key"] + ["long"] * 24
+    assert len(list(sc.candidates("-----BEGIN PRIVATE KEY-----\n" * 20_000 + "-" * 200_000))) == 20_000
