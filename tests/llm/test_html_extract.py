@@ -39,3 +39,18 @@ def test_edges_of_the_input(spark):
     got = sorted((r.page_id or 0, r.n_chars) for r in he.main_text(df).collect())
     assert got == [(0, 0), (1, 5), (1, 5), (2, 249_999)]
     assert he.main_text(df.limit(0)).count() == 0
+
+
+def test_layouts_that_the_labelled_pages_lack():
+    text = "The river rose again in the night and by morning the lower fields stood under water for the third time this year"
+    menu, foot = "<ul>" + "".join(f"<li><a href='/{i}'>topic {i}</a></li>" for i in range(8)) + "</ul>", "<div id='footer'><a href='/p'>privacy</a> <a href='/t'>terms</a></div>"
+    inner = {
+        "definitions": f"<dl><dt>River</dt><dd>{text}</dd><dt>Field</dt><dd>{text}</dd></dl>",
+        "cells": f"<table><tbody><tr><td>{text}</td></tr><tr><td>{text}</td></tr></tbody></table>",
+        "breaks": f"<div id='content'>{text}<br><br>{text}</div>",
+        "links": f"<div class='entry'><p>{text} <a href='/more'>as told here</a> and after.</p><pre>{text}</pre></div>",
+    }
+    for name, part in inner.items():
+        want = " ".join(re.sub(r"<[^>]*>", " ", part).split())
+        got = " ".join(he.extract(f"<html><body><div class='nav'>{menu}</div>{part}{foot}</body></html>").split())
+        assert got == want, name
