@@ -36,15 +36,14 @@ def unequal(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def unsorted(df: DataFrame, keys: list[str], strict: bool = False) -> DataFrame:
-    """Rows of a single Parquet file that stand behind a greater (with ``strict``: or equal) key.
+    """Rows of Parquet files that stand right behind a greater (with ``strict``: or equal) key of their file.
 
-    The file's row order is a global order, so this runs in one task; it is meant for artifacts
-    of one file whose size the caller knows.
+    Neighbours meet by an equi-join on their place in the file, so no task has to see a whole file.
     """
-    key = F.struct(*keys)
-    rows = df.select(*keys, F.col("_metadata.row_index").alias("_at")).withColumn("_key", key)
-    rows = rows.withColumn("_last", F.expr("lag(_key) over (order by _at)"))
-    return rows.where(F.col("_last").isNotNull() & ((F.col("_last") >= F.col("_key")) if strict else (F.col("_last") > F.col("_key")))).select(*keys)
+    rows = df.select(F.struct(*keys).alias("_key"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    last = rows.select(F.col("_key").alias("_last"), "_file", (F.col("_at") + 1).alias("_at"))
+    met = rows.join(last, ["_file", "_at"])
+    return met.where((F.col("_last") >= F.col("_key")) if strict else (F.col("_last") > F.col("_key"))).select("_key.*")
 
 
 def freshness(df: DataFrame, column: str, as_of: dt.datetime, warn_hours: int, error_hours: int) -> DataFrame:

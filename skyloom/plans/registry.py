@@ -453,6 +453,12 @@ def sortedness_check(spark, sf_dir):
     return checks.unsorted(table(spark, sf_dir, "nation"), ["n_regionkey"])
 
 
+@query("with r as (select o_custkey, lag(o_custkey) over () as last from orders) select o_custkey from r where last > o_custkey")
+def sortedness_check_orders(spark, sf_dir):
+    """W3, on a large table."""
+    return checks.unsorted(table(spark, sf_dir, "orders"), ["o_custkey"])
+
+
 _GRID = """(select r as grid_row, c as grid_col, 14.01 + r * 0.02 as lat, -167.99 + c * 0.02 as lon from range(2950) a(r), range(0, 7750, 250) b(c))"""
 
 

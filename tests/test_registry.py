@@ -28,3 +28,15 @@ def test_query_equals_oracle(spark, duck, name):
     want = duck.execute(ORACLES[name]).fetchdf()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got) == rows(want)
+
+
+def test_sortedness_has_no_single_task_and_counts_by_file(spark, tmp_path):
+    from skyloom.operators import checks
+
+    for name, keys in (("a", [1, 2, 2, 1]), ("b", [0, 5, 3])):
+        spark.createDataFrame([(k,) for k in keys], "k int").coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    both = spark.read.parquet(f"{tmp_path}/a", f"{tmp_path}/b")
+    assert sorted(r.k for r in checks.unsorted(both, ["k"]).collect()) == [1, 3]
+    assert sorted(r.k for r in checks.unsorted(both, ["k"], strict=True).collect()) == [1, 2, 3]
+    plan = checks.unsorted(both, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan
