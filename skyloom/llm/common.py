@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 MAX_LONG = 2**63 - 1
 BROADCAST_IDS = 2_000_000  # 16 MB of longs
+HEAVY_SHARE, HEAVY_ROWS = 100_000, 2_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,7 +37,22 @@ def durable(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.durable_path = path
+    return table
+
+
+def drop_table(*tables: DataFrame) -> None:
+    """Delete tables of ``durable`` that nothing reads any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.durable_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are no longer referenced (it does so after a garbage collection)."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def rows_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -72,7 +89,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = durable(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        before, e = e, durable(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        drop_table(before)
         last, state = state, _state(e)
         if last == state:
             break
@@ -120,12 +138,33 @@ def verify_pairs(pairs: DataFrame, sets_of, percent: int) -> DataFrame:
     return both.where(similar_enough(inter, F.size("sa"), F.size("sb"), percent)).select("a", "b")
 
 
+def _members(keys: DataFrame) -> DataFrame:
+    """(key, id, p) for the keys of several ids, p the smallest of them; ``keys``: durable, distinct (key, id).
+
+    Keys meet in one shuffle, used twice.  Those that a sample shows to hold more than 1 / ``HEAVY_SHARE`` of the
+    rows, ``HEAVY_SHARE`` at most, are broadcast instead, so their rows stay where they are.
+    The sample decides on the way only, the rows are the same either way.
+    """
+    sampled = keys.sample(0.01, seed=1).groupBy("key").agg(F.count("*").alias("k")).where(f"k >= {HEAVY_ROWS // 100}")
+    heavy = durable(sampled.where(F.col("k") * HEAVY_SHARE >= keys.count() * 0.01).select("key"), "heavy")
+    smallest = lambda rows: rows.groupBy("key").agg(F.min("id").alias("p"), F.max("id").alias("q")).where("p < q").select("key", "p")
+    if heavy.isEmpty():
+        dealt = keys.select("key", "id").repartition("key")
+        return dealt.join(smallest(dealt).hint("shuffle_hash"), "key")
+    dealt = keys.select("key", "id").join(F.broadcast(heavy), "key", "left_anti").repartition("key")
+    hot = keys.select("key", "id").join(F.broadcast(heavy), "key", "left_semi")
+    return dealt.join(smallest(dealt).hint("shuffle_hash"), "key").unionByName(hot.join(F.broadcast(smallest(hot)), "key"))
+
+
 def _open_keys(members: DataFrame, found: DataFrame) -> DataFrame:
-    """The members of keys that hold several components, with their component c and the number of open pairs."""
+    """The members of keys that hold several components, with their component c and the number of open pairs.
+
+    Keys of two members are left out: that pair has been compared.
+    """
     held = members.join(found, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
     sizes = held.groupBy("key", "c").agg(F.count("*").alias("k"))
     sizes = sizes.groupBy("key").agg(F.max_by("c", F.struct("k", "c")).alias("big"), F.sum("k").alias("m"), F.max("k").alias("top"), F.count("*").alias("parts"))
-    sizes = sizes.where("parts > 1").select("key", "big", "m", (F.col("m") - F.col("top")).alias("outside"), ((F.col("m") - F.col("top")) * F.col("m")).alias("open"))
+    sizes = sizes.where("parts > 1 and m > 2").select("key", "big", "m", (F.col("m") - F.col("top")).alias("outside"), ((F.col("m") - F.col("top")) * F.col("m")).alias("open"))
     return durable(held.join(sizes, "key"), "held")
 
 
@@ -163,65 +202,45 @@ def _cross_pairs(members: DataFrame, percent: int | None = None) -> DataFrame:
     return met.select(F.greatest("_id", "id").alias("a"), F.least("_id", "id").alias("b")).distinct()
 
 
-def _prefix_keys(members: DataFrame, sets_of, percent: int) -> DataFrame:
-    """The members (id, c, n, common) under the rarest shingles of their sets.
-
-    Exact: two sets of n elements that are similar enough share one of each one's
-    ``n - ceil(n * percent / 100) + 1`` rarest elements (prefix filter).
-    """
-    people = members.select("id", "c", "n", "common").distinct()
-    rows = durable(sets_of(people.select("id")).select("id", F.size("s").alias("size"), F.explode("s").alias("key")), "rows")
-    rarity = rows.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
-    rank = F.expr("row_number() over (partition by id order by coalesce(df, 1), key)")
-    prefix = rows.join(rarity, "key", "left").withColumn("r", rank)
-    prefix = prefix.where(F.col("df").isNotNull() & (F.col("r") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1))
-    return prefix.select("key", "id").join(people, "id").select("key", "id", "c", "n", "common")
-
-
-def link_components(keyed: DataFrame, sets_of, percent: int, open_limit: int = 500, verify=None, wide_edges=None) -> DataFrame:
+def link_components(keys: DataFrame, sets_of, percent: int, open_limit: int, wide_edges, verify=None, rule_out: bool = True) -> DataFrame:
     """Components (id, component) of items linked by exact set similarity; items without links have no row.
 
-    ``keyed``: (id, bands array<long>) of distinct sets.
+    ``keys``: durable (key, id) of distinct sets.
 
     1. Every band key links its members to its smallest one (a star, never all pairs of a group).
     2. Keys that still hold several components, with up to ``open_limit`` open pairs, give those pairs.
-    3. In wider keys, members that can't be linked within their key are ruled out by counts
-       (``_linkable``); the others meet the key's most central member, the one with the largest
-       common share. What is open then is enumerated up to ``open_limit`` again; beyond it members
-       meet under their rarest shingles instead (exact).
+    3. In wider keys, with ``rule_out``, members that can't be linked within their key are ruled out by counts
+       (``_linkable``), and the others meet the key's most central member, the one with the largest
+       common share. What is open then is enumerated up to ``open_limit`` again; beyond it
+       ``wide_edges(members)`` gives edges (u, v) that connect what is linked among the members of the wide keys.
 
     ``verify(pairs)`` gives the linked ones of the pairs (a, b); by default it compares ``sets_of``.
-    ``wide_edges(members)``, if given, takes the place of the rarest shingles: edges (u, v) that connect
-    what is linked among the members of the wide keys.
     """
     verify = verify or (lambda pairs: verify_pairs(pairs, sets_of, percent))
-    keys = keyed.select("id", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("id").alias("p"), F.count("*").alias("k")).where("k > 1 and p is not null")
-    members = durable(keys.join(shared.select("key", "p"), "key"), "members")
+    members = durable(_members(keys), "members")
+    free_shuffles(keys.sparkSession)
     stars = durable(members.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b")).distinct(), "stars")
     found = components(verify(stars).select(F.col("a").alias("u"), F.col("b").alias("v")))
     held = _open_keys(members.select("key", "id"), found)
+    drop_table(members)
     pairs, tested, tiled = _cross_pairs(held.where(F.col("open") <= open_limit)), stars, False
     edges = found.select(F.col("id").alias("u"), F.col("component").alias("v"))
     wide = held.where(F.col("open") > open_limit)
     if not wide.isEmpty():
-        left = _linkable(wide, sets_of, percent)
-        held = _open_keys(left, found)
-        centre = held.groupBy("key").agg(F.max_by(F.struct("id", "c"), F.struct(F.col("common") / F.col("n"), "id")).alias("p"))
-        met = held.join(centre, "key").where("c <> p.c").select(F.greatest("id", "p.id").alias("a"), F.least("id", "p.id").alias("b")).distinct()
-        more = durable(met.join(stars, ["a", "b"], "left_anti"), "stars")
-        tested = stars.union(more)
-        found = components(edges.union(verify(more).select("a", "b")))
-        edges = found.select(F.col("id").alias("u"), F.col("component").alias("v"))
-        held = _open_keys(left, found)
-        pairs = pairs.union(_cross_pairs(held.where(F.col("open") <= open_limit), percent))
-        wide = held.where(F.col("open") > open_limit)
+        if rule_out:
+            left = _linkable(wide, sets_of, percent)
+            held = _open_keys(left, found)
+            centre = held.groupBy("key").agg(F.max_by(F.struct("id", "c"), F.struct(F.col("common") / F.col("n"), "id")).alias("p"))
+            met = held.join(centre, "key").where("c <> p.c").select(F.greatest("id", "p.id").alias("a"), F.least("id", "p.id").alias("b")).distinct()
+            more = durable(met.join(stars, ["a", "b"], "left_anti"), "stars")
+            tested = stars.union(more)
+            found = components(edges.union(verify(more).select("a", "b")))
+            edges = found.select(F.col("id").alias("u"), F.col("component").alias("v"))
+            held = _open_keys(left, found)
+            pairs = pairs.union(_cross_pairs(held.where(F.col("open") <= open_limit), percent))
+            wide = held.where(F.col("open") > open_limit)
         if not wide.isEmpty():
-            if wide_edges:
-                edges, tiled = edges.union(durable(wide_edges(wide), "edges")), True
-            else:
-                rare = _prefix_keys(wide, sets_of, percent)
-                pairs = pairs.union(_cross_pairs(_open_keys(rare.drop("c"), found), percent))
+            edges, tiled = edges.union(durable(wide_edges(wide), "edges")), True
     pairs = durable(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
     if not tiled and pairs.isEmpty():
         return found

@@ -1,89 +1,162 @@
 """Line dedup: fuzzy lines by MinHash, with DataFrame and SQL functions only.
 
-Lines that are equal after trimming and lower-casing are one line from the start.  Distinct
-lines get signatures of character shingles, band keys, candidates, an exact Jaccard
-verification on their full shingle sets, and distributed union-find; of each component the
-first line (smallest doc_id, then line number) stays.
+Lines that are equal after trimming and lower-casing are one line from the start.  A distinct
+line's signature is the sorted array of its ``SKETCH`` smallest shingle hashes (bottom-k MinHash), its
+bands are runs of ``RUN`` neighbours in it.  Lines that share a band are candidates; their Jaccard
+similarity is computed on their full shingle sets, and distributed union-find joins what is similar
+enough.  Of each component the first line (smallest doc_id, then line number) stays.
 """
 
 from __future__ import annotations
 
-import random
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import MAX_LONG, durable, link_components, rows_of
+from skyloom.llm.common import MAX_LONG, drop_table, durable, free_shuffles, link_components, rows_of
 
 SHINGLE = 8
-BANDS, ROWS = 14, 4
-TURN = 9  # bits by which the base hash is turned from band to band
 PERCENT = 80
-STEP = 4096
-SEED = 7
-
+SKETCH = 64
+RUN = 4
+BANDS = 20  # runs that a line of more shingles takes as bands, on average
+BLOCK = 4096  # places hashed at once, so that very long lines need little memory
+GROUP_ROWS = 512
 
-def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_id (hash of the whole text), line_no (from 0), id, line (normalised) of every line that isn't blank."""
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(MAX_LONG)).alias("doc_id"), F.xxhash64(text_col).alias("text_id"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-    rows = rows.select("doc_id", "text_id", "line_no", F.lower(F.btrim("line", F.lit(" \t\r "))).alias("line")).where("line <> ''")
-    return rows.select("doc_id", "text_id", "line_no", F.xxhash64("line").alias("id"), "line")
+_ALL = "9223372036854775807L"
 
 
-def _signatures(lines: DataFrame) -> DataFrame:
-    """id and band keys of distinct lines (id, line).
-
-    The base hash of a shingle, turned anew for each band, meets random points by exclusive or;
-    the nearest shingle to a point is a min-hash coordinate.  Points that share their leading bits
-    give the same coordinate; the turns keep that from joining bands.  Every line uses all of
-    its shingles, so that equal sets have equal signatures whatever the lengths of their lines.
+def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_id (hash of the whole text), line_no (from 0), row (a number of its own), id, check (hashes of the
+    normalised line) and line of every line that isn't blank."""
+    rows = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(MAX_LONG)).alias("doc_id"),
+        F.xxhash64(text_col).alias("text_id"),
+        F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"),
+    )
+    rows = rows.select("doc_id", "text_id", "line_no", F.lower(F.btrim("line", F.lit(" \t\r "))).alias("line"))
+    return rows.where("line <> ''").select(
+        "doc_id",
+        "text_id",
+        "line_no",
+        F.monotonically_increasing_id().alias("row"),
+        F.xxhash64("line").alias("id"),
+        F.xxhash64(F.lit(1), "line").alias("check"),
+        "line",
+    )
+
+
+def _apart(lines: DataFrame) -> DataFrame:
+    """The lines with an id of its own for each text, as told by 128 bits: where two share a 64-bit id, all but one get another."""
+    shared = lines.groupBy("id").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high")
+    shared = durable(shared.select("id", "low"), "shared-ids")
+    if shared.isEmpty():
+        return lines
+    own = F.when(F.col("check") > F.col("low"), F.xxhash64("check", "id")).otherwise(F.col("id"))
+    return durable(lines.join(shared, "id", "left").withColumn("id", own).drop("low"), "lines")
+
+
+def _hashes(units: str, places: str, most: str = _ALL) -> str:
+    """SQL for the hashes, up to ``most``, of the shingles of a line in UTF-16BE (so that every place is reached at once)."""
+    block = f"sequence(2 * s + 1, 2 * least(s + {BLOCK}, {places}) - 1, 2)"
+    hashed = f"transform({block}, i -> xxhash64(substring(t, i, {2 * SHINGLE})))"
+    if most != _ALL:
+        hashed = f"filter({hashed}, h -> h <= {most})"
+    # As a variable of a lambda the line is passed on, as a column it would be copied for every place.
+    return f"transform(array({units}), t -> flatten(transform(sequence(0, {places} - 1, {BLOCK}), s -> {hashed})))[0]"
+
+
+def _coded(lines: DataFrame, *others: str) -> DataFrame:
+    coded = lines.select(*others, F.expr("encode(line, 'UTF-16BE')").alias("b"))
+    return coded.select(*others, "b", F.expr(f"cast(greatest(octet_length(b) div 2 - {SHINGLE - 1}, 1) as int)").alias("n"))
+
+
+def _once(df: DataFrame, keep: list[str], **columns: str) -> DataFrame:
+    """Columns computed once a row, also where several later expressions use them."""
+    fields = ", ".join(f"{sql} as {name}" for name, sql in columns.items())
+    return df.select(*keep, F.expr(f"inline(array(struct({fields})))").alias(*columns))
+
+
+def _keys(lines: DataFrame) -> DataFrame:
+    """(id, key) for every band of the distinct lines (id, line).
+
+    Bands are functions of a line's set of shingles alone.  Sets of up to ``SKETCH`` shingles have a run at
+    each element, around the end to the beginning; at a similarity of 0.8 one run at least is in
+    both.  Larger ones have their smallest ``SKETCH``; which runs become bands is drawn by other bits of the
+    first hash, so that similar lines draw alike.  For long lines only hashes up to a bound are
+    sorted; if repeats leave too few, all of them are.
     """
-    rnd = random.Random(SEED)
-    points = [rnd.getrandbits(64) - 2**63 for _ in range(BANDS * ROWS)]
-    # UTF-16 makes every position reachable in constant time; long lines go in blocks of places.
-    coded = lines.select("id", F.expr("encode(line, 'UTF-16BE')").alias("b"), F.expr("octet_length(encode(line, 'UTF-16BE')) div 2").alias("units"))
-    last = f"greatest(units - {SHINGLE}, 0)"
-    blocks = coded.select("id", "b", F.expr(last).alias("last"), F.explode(F.expr(f"sequence(0, {last}, {STEP})")).alias("block"))
-    places = blocks.select("id", "b", F.explode(F.expr(f"sequence(block, least(block + {STEP - 1}, last))")).alias("at"))
-    hashed = places.select("id", F.xxhash64(F.expr(f"substring(b, 2 * at + 1, {2 * SHINGLE})")).alias("h"))
-    turned = [F.expr(f"shiftleft(h, {TURN * k % 64}) | shiftrightunsigned(h, {-TURN * k % 64})").alias(f"h{k}") for k in range(BANDS)]
-    low = hashed.select("id", *turned).groupBy("id").agg(*[F.min(F.col(f"h{j // ROWS}").bitwiseXOR(F.lit(p))).alias(f"m{j}") for j, p in enumerate(points)])
-    keys = [F.xxhash64(F.lit(k), *[f"m{ROWS * k + j}" for j in range(ROWS)]) for k in range(BANDS)]
-    return low.select("id", F.array(*keys).alias("bands"))
-
-
-def _grams(column: str):
-    whole = F.array(F.col(column))
-    return F.when(F.length(column) < SHINGLE, whole).otherwise(F.regexp_extract_all(column, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1)))
+    bound = f"case when n <= {2 * SKETCH} then {_ALL} else cast({2 * SKETCH} / cast(n as double) * 18446744073709551616D - 9223372036854775808D as bigint) end"
+    smallest = f"slice(sort_array(array_distinct({{}})), 1, {SKETCH + 1})"
+    rows = _once(_coded(lines, "id"), ["id"], b="b", n="n", most=bound)
+    rows = _once(rows, ["id", "b", "n"], s=smallest.format(_hashes("b", "n", "most")))
+    rows = _once(rows, ["id"], s=f"case when n > {2 * SKETCH} and size(s) < {SKETCH} then {smallest.format(_hashes('b', 'n'))} else s end")
+    rows = rows.select("id", "s", F.expr(f"least(size(s), {SKETCH})").alias("m"), F.expr(f"size(s) > {SKETCH}").alias("more"))
+    starts = F.expr(f"sequence(0, case when more then m - {RUN} else m - 1 end)")
+    rows = rows.select("id", "s", "m", F.explode(starts).alias("i")).where(f"(get(s, i) & 4294967295) < {BANDS} * 4294967296L / m")
+    run = ", ".join(f"get(s, (i + {j}) % m)" for j in range(RUN))
+    return rows.select("id", F.expr(f"xxhash64({run})").alias("key"))
+
+
+def _similar(x: str, y: str, percent: int) -> Column:
+    return F.expr(f"size(array_intersect({x}, {y})) * 100L >= size(array_union({x}, {y})) * {percent}L")
+
+
+def _both(pairs: DataFrame, texts) -> DataFrame:
+    """The pairs (a, b, ...) with x and y, the hashes of both lines' shingles (repeats included)."""
+    own = durable(texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()), "texts")
+    own = _coded(own, "id")
+    both = pairs.join(own.select(F.col("id").alias("a"), F.col("b").alias("bx"), F.col("n").alias("nx")), "a")
+    both = both.join(own.select(F.col("id").alias("b"), F.col("b").alias("by"), F.col("n").alias("ny")), "b")
+    return _once(both, pairs.columns, x=_hashes("bx", "nx"), y=_hashes("by", "ny"))
+
+
+def _group_edges(members: DataFrame, texts, percent: int) -> DataFrame:
+    """Edges (u, v) between similar lines in different components of one wide group; members: (big, id, c).
+
+    Every member is described by what it lacks of the group's centre (the first line of its largest
+    component) and what it has besides.  The exact similarity of two members follows from these
+    short arrays, so their texts meet the centre once and never each other.  What is outside the largest
+    component is compared with all members, in blocks of ``GROUP_ROWS``, and only edges leave the join.
+    """
+    once = members.select("big", "id", "c").distinct()
+    pairs = once.select(F.col("big").alias("a"), F.col("id").alias("b"), "c")
+    full = _both(pairs, texts).select(F.col("a").alias("big"), F.col("b").alias("id"), "c", F.expr("array_distinct(x)").alias("x"), F.expr("array_distinct(y)").alias("y"))
+    told = full.select("big", "id", "c", F.size("x").alias("centre"), F.size("y").alias("n"), F.array_except("x", "y").alias("lacks"), F.array_except("y", "x").alias("has"))
+    told = durable(told, "differences")
+    parts = told.groupBy("big").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("parts"))
+    told = told.join(parts, "big")
+    dealt = told.select("big", F.expr("cast(pmod(xxhash64(id), parts) as int)").alias("part"), "id", "c", "centre", "n", "lacks", "has")
+    outside = told.where("c <> big").select("big", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), *[F.col(k).alias(f"_{k}") for k in ("id", "c", "n", "lacks", "has")])
+    inter = "(centre - size(array_union(lacks, _lacks)) + size(array_intersect(has, _has)))"
+    close = f"_c <> c and least(n, _n) * 100L >= greatest(n, _n) * {percent}L and {inter} * (100L + {percent}) >= (n + _n) * {percent}L"
+    return outside.join(dealt, ["big", "part"]).where(close).select(F.col("_id").alias("u"), F.col("id").alias("v"))
 
 
 def _decisions(docs: DataFrame, percent: int, open_limit: int = 500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``line_components`` with text_id, which tells rows of one doc_id apart; doc_id is MAX_LONG where it is null."""
-    lines = durable(split_lines(docs, id_col, text_col), "lines")
-    distinct = lines.select("id", "line").dropDuplicates(["id"])
-    keyed = durable(_signatures(distinct), "signatures")
+    """``line_components`` with text_id; doc_id is MAX_LONG where it is null."""
+    lines = _apart(durable(split_lines(docs, id_col, text_col), "lines"))
+    keys = durable(_keys(lines.select("id", "line").dropDuplicates(["id"])), "bands")
+    free_shuffles(lines.sparkSession)
 
     def texts(ids: DataFrame) -> DataFrame:
         return rows_of(lines.select("id", "line"), ids).dropDuplicates(["id"])
 
     def verify(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        own = durable(texts(ids), "texts")
-        both = pairs.join(own.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(own.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
-        # Lengths bound the similarity only loosely (a set has fewer elements), so the sets decide.
-        sets = both.select("a", "b", F.array_distinct(_grams("x")).alias("x"), F.array_distinct(_grams("y")).alias("y"))
-        sizes = sets.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("both"))
-        return sizes.where(F.col("both") * 100 >= (F.col("nx") + F.col("ny") - F.col("both")) * percent).select("a", "b")
-
-    def sets_of(ids: DataFrame) -> DataFrame:
-        grams = texts(ids).select("id", F.explode(F.array_distinct(_grams("line"))).alias("g"))
-        return grams.groupBy("id").agg(F.collect_set(F.xxhash64("g")).alias("s"))
-
-    found = link_components(keyed, sets_of, percent, open_limit, verify)
-    labelled = lines.select("doc_id", "text_id", "line_no", "id").join(found, "id", "left").select("doc_id", "text_id", "line_no", F.coalesce("component", "id").alias("component"))
-    first = labelled.groupBy("component").agg(F.min(F.struct("doc_id", "line_no", "text_id")).alias("first"))
-    kept = F.expr("struct(doc_id, line_no, text_id) = first").alias("kept")
-    return labelled.join(first, "component").select("doc_id", "text_id", "line_no", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.line_no").alias("keep_line_no"), kept)
+        return _both(pairs, texts).where(_similar("x", "y", percent)).select("a", "b")
+
+    found = link_components(keys, None, percent, open_limit, lambda wide: _group_edges(wide, texts, percent), verify, rule_out=False)
+    drop_table(keys)
+    labelled = lines.select("doc_id", "text_id", "line_no", "row", "id").join(found, "id", "left")
+    labelled = labelled.select("doc_id", "text_id", "line_no", "row", F.coalesce("component", "id").alias("component"))
+    first = labelled.groupBy("component").agg(F.min(F.struct("doc_id", "line_no", "text_id", "row")).alias("first"))
+    return labelled.join(first, "component").select(
+        "doc_id",
+        "text_id",
+        "line_no",
+        F.col("first.doc_id").alias("keep_doc_id"),
+        F.col("first.line_no").alias("keep_line_no"),
+        F.expr("row = first.row").alias("kept"),
+    )
 
 
 def line_components(docs: DataFrame, percent: int = PERCENT, open_limit: int = 500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -91,12 +164,20 @@ def line_components(docs: DataFrame, percent: int = PERCENT, open_limit: int = 5
 
     Lines are linked when the Jaccard similarity of their distinct 8-character shingles is
     percent / 100 or more (a shorter line is one shingle); keep_* names the first line of
-    the component.  Null, empty and blank texts have no lines.  Null ids count as one
-    document behind all others (doc_id null); rows that share an id count as one document,
-    whose equal places are told apart by a hash of the text.  Other columns are ignored.
+    the component, and exactly one row of each component is kept, also among rows equal in everything.
+    Null, empty and blank texts have no lines.  Null ids count as one document behind all others
+    (doc_id null); rows that share an id count as one document, whose equal places are told apart
+    by a hash of the text.  Lines of any length are used whole.  Other columns are ignored; an
+    empty table gives an empty result.
     """
     out = _decisions(docs, percent, open_limit, id_col, text_col)
-    return out.select(F.nullif("doc_id", F.lit(MAX_LONG)).alias("doc_id"), "line_no", F.nullif("keep_doc_id", F.lit(MAX_LONG)).alias("keep_doc_id"), "keep_line_no", "kept")
+    return out.select(
+        F.nullif("doc_id", F.lit(MAX_LONG)).alias("doc_id"),
+        "line_no",
+        F.nullif("keep_doc_id", F.lit(MAX_LONG)).alias("keep_doc_id"),
+        "keep_line_no",
+        "kept",
+    )
 
 
 def drop_repeated_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -104,16 +185,26 @@ def drop_repeated_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "
 
     A document of whose lines none is left goes; one that had no lines from the start stays.
     Decisions hold for a row's id and text together: rows without an id, or of one id, with
-    different texts lose only their own lines; rows equal in both share their fate.
-    n_chars follows the text where that column exists; all other columns are carried.
+    different texts lose only their own lines; of rows equal in both, all of whose lines are
+    repeats but for one row, one is left.  n_chars follows the text where that column exists; all other
+    columns are carried.  Null and empty texts stay as they are; an empty table gives an empty result.
     """
-    # A document's lines fit one row, as its text does.
     result = durable(_decisions(docs, percent, id_col=id_col, text_col=text_col), "decisions")
-    gone = result.where("not kept").groupBy(F.col("doc_id").alias("_key"), F.col("text_id").alias("_text_id")).agg(F.collect_set("line_no").alias("_gone"))
+    key = [F.col("doc_id").alias("_key"), F.col("text_id").alias("_text_id")]
+    # A document's lines fit one row, as its text does.  A place of which any row is kept is no repeat.
+    places = result.groupBy("doc_id", "text_id", "line_no").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    gone = places.where("not kept").groupBy(*key).agg(F.collect_set("line_no").alias("_gone"))
     keyed = docs.withColumns({"_key": F.coalesce(F.col(id_col).cast("long"), F.lit(MAX_LONG)), "_text_id": F.xxhash64(text_col)})
+    copied = durable(places.where("n > 1").select(*key).distinct(), "copied")
+    if not copied.isEmpty():
+        single = keyed.join(copied, ["_key", "_text_id"], "left_anti")
+        keyed = single.unionByName(keyed.join(copied, ["_key", "_text_id"], "left_semi").dropDuplicates(["_key", "_text_id"]))
     joined = keyed.join(gone, ["_key", "_text_id"], "left")
     keep = F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), i))
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(keep, "\n"))
     out = joined.withColumn("_text", text).where(F.col("_gone").isNull() | F.col("_text").rlike(r"[^ \t\r\n]"))
-    changes = {text_col: F.col("_text")} | ({"n_chars": F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast(dict(docs.dtypes)["n_chars"]))} if "n_chars" in docs.columns else {})
+    changes = {text_col: F.col("_text")}
+    if "n_chars" in docs.columns:
+        length = F.length("_text").cast(dict(docs.dtypes)["n_chars"])
+        changes["n_chars"] = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(length)
     return out.select(*[changes.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

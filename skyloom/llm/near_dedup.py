@@ -196,7 +196,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     def sets_of(ids: DataFrame) -> DataFrame:
         return rows_of(rows.select(F.col("doc_id").alias("id"), "text"), ids).mapInArrow(_sets, "id long, s array<long>")
 
-    found = link_components(keyed, sets_of, percent, open_limit, wide_edges=lambda wide: _tiles(wide, sets_of, percent))
+    keys = durable(keyed.select("id", F.explode("bands").alias("key")), "bands")
+    found = link_components(keys, sets_of, percent, open_limit, wide_edges=lambda wide: _tiles(wide, sets_of, percent))
     labelled = classes.join(found, "id", "left").select("hi", "lo", F.coalesce("component", "id").alias("component"))
     out = features.select("doc_id", "n_shingles", "hi", "lo").join(labelled, ["hi", "lo"], "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.col("component")))

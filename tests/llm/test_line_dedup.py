@@ -73,7 +73,7 @@ def test_equals_brute_force(spark):
 def test_edges_of_the_input(spark):
     df = spark.createDataFrame([(None, "same line"), (1, "same line"), (1, "same line"), (2, "other")], "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.keep_doc_id, r.kept) for r in ld.line_components(df).collect())
-    assert got == [(0, 1, False), (1, 1, True), (1, 1, True), (2, 2, True)]
+    assert got == [(0, 1, False), (1, 1, False), (1, 1, True), (2, 2, True)]
     assert ld.line_components(df.limit(0)).count() == 0 and ld.drop_repeated_lines(df.limit(0)).count() == 0
 
 
@@ -87,8 +87,8 @@ def test_lines_of_few_shingles_and_many_characters(spark):
     got = {(r.doc_id, r.line_no): (r.keep_doc_id, r.keep_line_no) for r in ld.line_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     want = brute(docs)
     assert got == want and len(set(want.values())) == 6
-    keyed = ld._signatures(spark.createDataFrame(docs, "id long, line string"))
-    assert keyed.count() == len(lines)
+    keyed = ld._keys(spark.createDataFrame(docs, "id long, line string"))
+    assert keyed.select("id").distinct().count() == len(lines)
 
 
 def test_recall_at_the_threshold(spark):
@@ -99,7 +99,9 @@ def test_recall_at_the_threshold(spark):
         for i in range(1500):
             common = text(n + 7)
             rows += [(2 * i, common), (2 * i + 1, common + text(n // 4))]
-        found = {r.id: set(r.bands) for r in ld._signatures(spark.createDataFrame(rows, "id long, line string")).collect()}
+        found = {i: set() for i in range(2 * 1500)}
+        for r in ld._keys(spark.createDataFrame(rows, "id long, line string")).collect():
+            found[r.id].add(r.key)
         assert sum(not found[2 * i] & found[2 * i + 1] for i in range(1500)) <= 4
 
 
@@ -109,3 +111,34 @@ def test_rows_without_an_id_and_of_one_id_lose_only_their_own_lines(spark):
     lines = lambda i: sorted(x for r in out if r.doc_id == i for x in r.text.split("\n"))
     assert lines(None) == ["only C", "unique A", "unique B"]
     assert lines(1) == ["common"] and lines(7) == ["eight", "seven"] and lines(8) == ["one place", "x", "y"]
+
+
+def test_of_rows_equal_in_everything_one_keeps_its_lines(spark):
+    rows = [(3, "a line of its own\nsecond line of it"), (3, "a line of its own\nsecond line of it"), (None, "x y z"), (None, "x y z"), (4, None), (4, None)]
+    out = ld.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in out) == [(0, "x y z"), (3, rows[0][1]), (4, ""), (4, "")]
+
+
+def test_wide_groups_give_the_same_links(spark):
+    rnd = random.Random(8)
+    words = lambda n: ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 8))) for _ in range(n)]
+    base, docs = words(60), []
+    for i in range(70):
+        line = list(base)
+        for _ in range(rnd.randint(0, 6)):
+            k = rnd.randrange(len(line))
+            line[k : k + 1] = rnd.choice([[], words(1), words(2)])
+        docs.append((i, " ".join(line)))
+    want = brute(docs)
+    assert 2 <= len(set(want.values())) < 70
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for limit in (500, 0):
+        got = {(r.doc_id, r.line_no): (r.keep_doc_id, r.keep_line_no) for r in ld.line_components(df, open_limit=limit).collect()}
+        assert got == want
+
+
+def test_equal_hashes_of_different_lines(spark):
+    rows = [(5, 1, "x"), (5, 9, "y"), (5, 9, "y"), (6, 2, "z")]
+    out = ld._apart(spark.createDataFrame(rows, "id long, check long, line string")).collect()
+    ids = {r.line: {s.id for s in out if s.line == r.line} for r in out}
+    assert ids["x"] == {5} and ids["z"] == {6} and len(ids["y"]) == 1 and not ids["y"] & {5, 6}
