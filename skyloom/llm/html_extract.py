@@ -24,6 +24,17 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
 ASIDE = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "svg", "canvas", "object", "audio", "video", "label", "option", "fieldset", "head"}
 HINTS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "banner", "cookie", "cookies", "notice", "consent", "gdpr", "sidebar", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "share", "sharing", "social", "related", "promo", "newsletter", "subscribe", "signup", "comment", "comments", "respond", "reply", "replies", "footer", "header", "masthead", "popup", "modal", "pagination", "pager", "widget", "alert", "complementary", "contentinfo", "search", "skip", "toolbar"}
 MAIN = {"article", "main"}
+COMMENTS = {"comment", "comments", "respond", "reply", "replies"}
+CONTENT = {"article", "post", "entry", "story", "content"}
+# Elements whose end tags may be left out, the start tags that end them, and the elements that keep them open.
+IMPLIED = (
+    (("p",), {"address", "article", "aside", "blockquote", "details", "dialog", "dd", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}, {"table", "td", "th", "button", "object"}),
+    (("li",), {"li"}, {"ul", "ol", "menu"}),
+    (("dt", "dd"), {"dt", "dd"}, {"dl"}),
+    (("td", "th"), {"td", "th", "tr", "tbody", "tfoot"}, {"table"}),
+    (("tr",), {"tr", "tbody", "tfoot"}, {"table"}),
+    (("option",), {"option", "optgroup"}, {"select"}),
+)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
@@ -35,25 +46,53 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
-def _aside(name: str, attrs: str, inside_main: bool) -> bool:
-    if name in ASIDE or (name == "header" and not inside_main):
-        return True
-    if name in MAIN or name in ("body", "html") or not attrs or "=" not in attrs:
-        return False
-    words = " ".join(next(filter(None, m), "") for m in _ATTR.findall(attrs)).lower()
-    return any(w in HINTS for w in re.split(r"[^a-z]+", words))
+def _hinted(name: str, attrs: str) -> int:
+    """Class, id or role name what isn't content (1) or reader comments (2). The header of a post is content (0)."""
+    if name in ("body", "html") or not attrs or "=" not in attrs:
+        return 0
+    found = 0
+    for m in _ATTR.findall(attrs):
+        for value in next(filter(None, m), "").lower().split():
+            words = set(re.split(r"[^a-z]+", value))
+            if words & HINTS - ({"header"} if words & CONTENT else set()):
+                found = max(found, 2 if words & COMMENTS else int(name not in MAIN))
+    return found
+
+
+def _ends(name: str, stack: list) -> int:
+    """How many open elements the start tag ends without their end tags."""
+    for these, starts, stops in IMPLIED:
+        if name in starts:
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] in these:
+                    return len(stack) - k
+                if stack[k][0] in stops:
+                    break
+    return 0
 
 
 def tokens(page: str) -> list[tuple[str, str, str]]:
     """(kind, class, text): ``w`` a word, ``t`` a tag, ``-`` a word that isn't content; class is what weights hang on.
 
     Text is "" before a word that starts a new block or follows white space, so that the
-    words of an inline run join again.
+    words of an inline run join again.  An element whose name says so (a menu, a form) is never content;
+    one whose class only hints at it is, if it holds an article, or most of the page's words where no article
+    stands elsewhere; reader comments never are.
     """
-    out: list[tuple[str, str, str]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, starts an aside, is main
-    asides = mains = links = 0
+    out: list[tuple[str, str, str, tuple[int, ...] | None]] = []  # None: in an element that is never content
+    stack: list[tuple[str, bool, bool, bool]] = []  # name, never content, is main, has a hint
+    hints: tuple[int, ...] = ()  # numbers of the open elements with a hint
+    held: list[list[int]] = []  # of each element with a hint: words, articles, in an article, comments
+    asides = mains = links = words = articles = 0
     gap = " "
+
+    def leave(n: int) -> None:
+        nonlocal asides, mains, links, hints
+        for _ in range(n):
+            last, was_aside, was_main, was_hint = stack.pop()
+            asides, mains, links = asides - was_aside, mains - was_main, links - (last == "a")
+            hints = hints[: len(hints) - was_hint]
+
     for m in _TOKEN.finditer(page):
         text = m["text"]
         if text is not None:
@@ -66,14 +105,18 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
                 gap = " "
             where = ("main" if mains else "plain") + ("-link" if links else "")
             for part in parts:
-                out.append(("-" if asides else "w", where, gap + part))
+                out.append(("w", where, gap + part, None if asides else hints))
                 gap = " "
+            if not asides:
+                words += len(parts)
+                for k in hints:
+                    held[k][0] += len(parts)
             gap = " " if text[-1].isspace() else ""
             continue
         if m["raw"]:
             if m["raw"].lower() not in ("script", "style"):
                 gap = " "
-            out.append(("t", "raw", ""))
+            out.append(("t", "raw", "", ()))
             continue
         name = (m["tag"] or m["tag2"] or "").lower()
         if not name:
@@ -82,28 +125,40 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
         name = name.lstrip("/")
         if name not in INLINE:
             gap = " "
+        named = name if name in ("p", "br", "h1", "h2", "h3", "li", "td", "div") else "inline" if name in INLINE else "block"
         if closing:
-            if any(x[0] == name for x in stack):
-                while stack:
-                    last, was_aside, was_main = stack.pop()
-                    asides, mains, links = asides - was_aside, mains - was_main, links - (last == "a")
-                    if last == name:
-                        break
-            group = "aside" if asides or name in ASIDE else name if name in ("p", "br", "h1", "h2", "h3", "li", "td", "div") else "inline" if name in INLINE else "block"
-            out.append(("t", ("main:" if mains else "plain:") + group, ""))
+            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
+            if at is not None:
+                leave(len(stack) - at)
+            out.append(("t", ("main:" if mains else "plain:") + ("aside" if name in ASIDE else named), "", None if asides else hints))
             continue
-        aside, main = _aside(name, attrs, mains > 0), name in MAIN
+        leave(_ends(name, stack))
+        main = name in MAIN
+        aside = name in ASIDE or (name == "header" and not mains)
+        hint = 0 if aside else _hinted(name, attrs)
+        main = main and not hint
+        articles += main
         if name == "body":
             while stack and stack[-1][0] == "head":
-                asides -= stack.pop()[1]
+                leave(1)
+        if main:
+            for k in hints:
+                held[k][1] += 1
         if name not in VOID and not attrs.endswith("/"):
-            # Only elements that change the context are kept open; a paragraph needs no end tag.
-            if aside or main or name == "a" or asides or name in ("div", "section", "header"):
-                stack.append((name, aside, main))
+            # Of paragraphs and inline elements only those that change the context are kept open.
+            if aside or main or hint or name == "a" or (name != "p" and name not in INLINE) or asides:
+                stack.append((name, aside, main, hint > 0))
                 asides, mains, links = asides + aside, mains + main, links + (name == "a")
-        group = "aside" if asides else name if name in ("p", "br", "h1", "h2", "h3", "li", "td", "div") else "inline" if name in INLINE else "block"
-        out.append(("t", ("main:" if mains else "plain:") + group, ""))
-    return out
+                if hint:
+                    hints += (len(held),)
+                    held.append([0, 0, mains, hint == 2])
+        out.append(("t", ("main:" if mains else "plain:") + named, "", None if asides else hints))
+    void = {k for k, (n, own, within, comments) in enumerate(held) if not comments and (own or (2 * n > words and (within or not articles)))}
+    content = {open_: all(k in void for k in open_) for open_ in {t[3] for t in out if t[3] is not None}}
+    return [
+        (kind, group, text) if open_ is not None and content[open_] else ("-", group, text) if kind == "w" else ("t", group.partition(":")[0] + ":aside", "")
+        for kind, group, text, open_ in out
+    ]
 
 
 def labelled_pages(n: int = 240, seed: int = 11) -> list[tuple[str, str]]:

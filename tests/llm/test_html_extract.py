@@ -54,3 +54,20 @@ def test_layouts_that_the_labelled_pages_lack():
         want = " ".join(re.sub(r"<[^>]*>", " ", part).split())
         got = " ".join(he.extract(f"<html><body><div class='nav'>{menu}</div>{part}{foot}</body></html>").split())
         assert got == want, name
+
+
+def test_hints_do_not_empty_a_page_and_end_tags_may_be_missing():
+    text = "The river rose again in the night and by morning the lower fields stood under water for the third time this year"
+    cases = {
+        f'<div class="layout has-sidebar"><article><p>{text}</p></article></div>': text,
+        f'<main><div id="search-page"><p>{text}</p></div></main>': text,
+        f'<div class="content"><p class="notice">buy<p>{text}<p>{text}</div>': f"{text} {text}",
+        f'<ul><li class="share">send<li>{text}<li>{text}</ul><p>{text}': f"{text} {text} {text}",
+        f'<div class="post"><div class="post-header"><h1>The river</h1></div><p>{text}</p></div>': f"The river {text}",
+        f'<div class="page with-sidebar"><div class="sidebar"><p>{text}</p></div><article><p>{text} {text}</p></article></div>': f"{text} {text}",
+        f'<table><tr><td class="ad">buy<td>{text}<tr><td>{text}</table>': f"{text} {text}",
+        f"<article><p>{text}</p></article><section id='comments'><article class='comment'><p>{text} {text} {text}</p></article></section>": text,
+        f"<div class='menu'><a href='/'>home</a></div><div>{text}</div>": text,
+    }
+    for page, want in cases.items():
+        assert he.extract(page) == want, page
