@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
 import re
 import zlib
 from itertools import chain
@@ -31,7 +32,8 @@ class Encoder:
 
     A boundary of the vocabulary's pattern stands before every single space, so space-led
     units are encoded once and kept in a bounded cache.  Texts where a space stands between
-    or after white space are encoded whole.
+    or after white space are encoded whole.  Texts are split at the vocabulary's added tokens first, each
+    of which is one id wherever its characters stand.
     """
 
     def __init__(self, name: str = "byte_bpe_50k"):
@@ -42,6 +44,11 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._bpe = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._known: dict[str, list[int]] = {}
+        with open(public_tokenizers.path(f"{name}.json"), encoding="utf-8") as f:
+            self._added = {t["content"]: int(t["id"]) for t in json.load(f).get("added_tokens", [])}
+        # The longest of those that start at a place counts.
+        longest = sorted(map(re.escape, self._added), key=len, reverse=True)
+        self._split = re.compile(f"({'|'.join(longest)})") if longest else None
 
     def _unit(self, unit: str) -> list[int]:
         ids = self._known.get(unit)
@@ -52,6 +59,12 @@ class Encoder:
         return ids
 
     def encode(self, text: str) -> np.ndarray:
+        if self._split is None or not self._split.search(text):
+            return self._plain(text)
+        parts = [np.array([self._added[x]], dtype="<u4") if k % 2 else self._plain(x) for k, x in enumerate(self._split.split(text))]
+        return np.concatenate(parts)
+
+    def _plain(self, text: str) -> np.ndarray:
         if _AMBIGUOUS.search(text):
             return np.array(self._bpe.encode_ordinary(text), dtype="<u4")
         first, *units = text.split(" ")

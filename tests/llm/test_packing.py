@@ -9,14 +9,12 @@ from tokenizers import Tokenizer
 
 from skyloom.llm import packing
 
-TEXTS = ["", None, "Hello world", "a  b", "a   b  c", " x", "x ", "x  ", "\n\n a \n b", "don't  I'll\t x", "é ü 日本語 𝒳", "<|endoftext|> hi", "1 234", "a  b   c", "w " * 3000, "tok" * 2000]
+TEXTS = ["", None, "Hello world", "a  b", "a   b  c", " x", "x ", "x  ", "\n\n a \n b", "don't  I'll\t x", "é ü 日本語 𝒳", "<|endoftext|> hi", "a <|endoftext|>  b<|endoftext|><|endoftext|>", "1 234", "a  b   c", "w " * 3000, "tok" * 2000]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_ids_equal_the_tokenizer(tokenizer):
