@@ -71,10 +71,10 @@ def _record(headers: list[tuple[str, object]], block: str) -> str:
     return "\r\n".join(["WARC/1.1", *lines, f"Content-Length: {len(block.encode('utf-8'))}"]) + "\r\n\r\n" + block
 
 
-def records(record_id: str, url: str | None, html: str, kind: str, digest: str, refers_to: str | None, copies: int = 1) -> list[str]:
+def records(record_id: str, url: str | None, html: str, kind: str, digest: str, refers_to: str | None) -> list[str]:
     """The record, or its first segment and continuations."""
     uri = quote(url, safe=":/?#[]@!$&'()*+,;=%-._~") if url else None
-    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<{record_id}>"), ("WARC-Date", DATE), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http; msgtype=response"), ("X-Copies", copies if copies > 1 else None)]
+    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<{record_id}>"), ("WARC-Date", DATE), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http; msgtype=response")]
     if kind == "revisit":
         head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", f"<{refers_to}>")]
         return [_record(head, "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n")]
@@ -95,8 +95,8 @@ def _digests(batches):
     for batch in batches:
         raw = [(h or "").encode("utf-8") for h in batch.column("html").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("page_id"), batch.column("row"), pa.array([len(r) for r in raw], pa.int64()), pa.array([payload_digest(r) for r in raw])],
-            names=["page_id", "row", "payload_bytes", "digest"],
+            [*(batch.column(c) for c in ("page_id", "row", "check")), pa.array([len(r) for r in raw], pa.int64()), pa.array([payload_digest(r) for r in raw])],
+            names=["page_id", "row", "check", "payload_bytes", "digest"],
         )
 
 
@@ -104,9 +104,9 @@ def _written(batches):
     for batch in batches:
         out = []
         for row in batch.to_pylist():
-            name = lambda page, n: f"urn:page:{'' if page is None else page}:{n}"
-            refers = name(row["target"], row["target_row"]) if row["kind"] == "revisit" else None
-            out += records(name(row["page_id"], row["row"]), row["url"], row["html"] or "", row["kind"], row["digest"], refers, row["copies"])
+            name = lambda page, *own: f"urn:page:{'' if page is None else page}:{'.'.join(map(str, own))}"
+            refers = name(row["target"], row["target_row"], row["target_check"], 0) if row["kind"] == "revisit" else None
+            out += records(name(row["page_id"], row["row"], row["check"], row["copy"]), row["url"], row["html"] or "", row["kind"], row["digest"], refers)
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
 
@@ -114,18 +114,28 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REVISIT
     """Write a record per row (page_id, url, html) as gzip-compressed WARC files under ``path``.
 
     Of rows with equal payloads of at least ``min_revisit_bytes`` the one with the largest
-    page_id (then the largest row hash number) is the response and the others revisit it;
-    rows with a smaller payload are all responses.  A null html is empty, a null page_id sorts first.
+    page_id (then the largest row hashes) is the response and the others revisit it;
+    rows with a smaller payload are all responses.  Rows that are equal in full are told apart by number; one of
+    them is the response, where any is.  A null html is empty, a null page_id sorts first.
     """
-    numbered = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn("row", F.xxhash64("page_id", "url", "html"))
-    # Rows that are repeated in full are one record that states their count.
-    digests = numbered.select("page_id", "row", "html").mapInArrow(_digests, "page_id long, row long, payload_bytes long, digest string")
-    digests = durable(digests.groupBy("page_id", "row", "payload_bytes", "digest").agg(F.count("*").alias("copies")), "digests")
-    shared = digests.where(F.col("payload_bytes") >= min_revisit_bytes).groupBy("digest").agg(F.max(F.struct(F.coalesce("page_id", F.lit(-(2**63))).alias("p"), "row")).alias("top"))
-    chosen = digests.join(shared, "digest", "left").select("row", "digest", "copies", F.col("top.row").alias("target_row"), F.when(F.col("top.p") != -(2**63), F.col("top.p")).alias("target"))
-    kind = F.when(F.col("target_row").isNull() | (F.col("target_row") == F.col("row")), "response").otherwise("revisit")
-    full = numbered.join(chosen.withColumn("kind", kind), "row").select("page_id", "row", "url", F.when(F.col("kind") == "response", F.col("html")).alias("html"), "digest", "kind", "target", "target_row", "copies")
-    full.dropDuplicates(["row"]).mapInArrow(_written, "value string").write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    numbered = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    numbered = numbered.withColumns({"row": F.xxhash64("page_id", "url", "html"), "check": F.xxhash64(F.lit(1), "page_id", "url", "html")})
+    key = ["row", "check"]  # 128 bits
+    digests = numbered.select("page_id", *key, "html").mapInArrow(_digests, "page_id long, row long, check long, payload_bytes long, digest string")
+    digests = durable(digests.groupBy("page_id", *key, "payload_bytes", "digest").agg(F.count("*").alias("copies")), "digests")
+    top = F.max(F.struct(F.coalesce("page_id", F.lit(-(2**63))).alias("p"), *key)).alias("top")
+    shared = digests.where(F.col("payload_bytes") >= min_revisit_bytes).groupBy("digest").agg(top)
+    chosen = digests.join(shared, "digest", "left").select(
+        *key, "digest", "copies", F.col("top.row").alias("target_row"), F.col("top.check").alias("target_check"), F.when(F.col("top.p") != -(2**63), F.col("top.p")).alias("target")
+    )
+    own = F.col("target_row").isNull() | ((F.col("target_row") == F.col("row")) & (F.col("target_check") == F.col("check")))
+    chosen = chosen.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    kind = F.when(own & (F.col("target_row").isNull() | (F.col("copy") == 0)), "response").otherwise("revisit")
+    chosen = chosen.withColumn("kind", kind)
+    once = numbered.dropDuplicates(key)
+    full = once.join(chosen, key).select("page_id", *key, "url", F.when(F.col("kind") == "response", F.col("html")).alias("html"), "digest", "kind", "target", "target_row", "target_check", "copy")
+    # A line is a segment of at most SEGMENT_BYTES and its headers, so a file stays below 100 MB.
+    full.mapInArrow(_written, "value string").write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
 def parse(raw: bytes):
@@ -154,7 +164,7 @@ def http_payload(block: bytes) -> bytes:
     return body
 
 
-_FIELDS = "record string, origin string, segment int, total long, kind string, digest string, refers string, copies int, block binary"
+_FIELDS = "record string, origin string, segment int, total long, kind string, digest string, refers string, block binary"
 
 
 def _parsed(batches):
@@ -165,7 +175,7 @@ def _parsed(batches):
             rows = []
             for h, block in parse(raw):
                 name = h["warc-record-id"].strip("<>")
-                rows.append((name, h.get("warc-segment-origin-id", name).strip("<>"), int(h.get("warc-segment-number", 0)), int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else None, h["warc-type"], h.get("warc-payload-digest", "").removeprefix("sha1:") or None, h.get("warc-refers-to", "").strip("<>") or None, int(h.get("x-copies", 1)), block))
+                rows.append((name, h.get("warc-segment-origin-id", name).strip("<>"), int(h.get("warc-segment-number", 0)), int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else None, h["warc-type"], h.get("warc-payload-digest", "").removeprefix("sha1:") or None, h.get("warc-refers-to", "").strip("<>") or None, block))
                 if len(rows) == 500:
                     yield _batch(rows)
                     rows = []
@@ -174,8 +184,8 @@ def _parsed(batches):
 
 
 def _batch(rows):
-    types = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.binary())
-    names = ["record", "origin", "segment", "total", "kind", "digest", "refers", "copies", "block"]
+    types = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary())
+    names = ["record", "origin", "segment", "total", "kind", "digest", "refers", "block"]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
 
@@ -187,7 +197,7 @@ def _payloads(batches):
             if kind == "response" and payload_digest(payload) != digest:
                 raise ValueError("a payload does not have the digest of its record")
             out.append(payload)
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("record", "kind", "digest", "refers", "copies")), pa.array(out, pa.binary())], names=["record", "kind", "digest", "refers", "copies", "payload"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("record", "kind", "digest", "refers")), pa.array(out, pa.binary())], names=["record", "kind", "digest", "refers", "payload"])
 
 
 def _joined(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -196,20 +206,20 @@ def _joined(pdf: pd.DataFrame) -> pd.DataFrame:
     if list(pdf.segment) != list(range(1, len(pdf) + 1)) or len(total) != 1 or int(total.iloc[0]) != len(block):
         raise ValueError(f"segments of {pdf.origin.iloc[0]} are missing, repeated or not as long as stated")
     first = pdf.iloc[:1]
-    return pd.DataFrame({"record": first.origin.to_numpy(), "kind": first.kind.to_numpy(), "digest": first.digest.to_numpy(), "refers": first.refers.to_numpy(), "copies": first.copies.to_numpy(), "block": [block]})
+    return pd.DataFrame({"record": first.origin.to_numpy(), "kind": first.kind.to_numpy(), "digest": first.digest.to_numpy(), "refers": first.refers.to_numpy(), "block": [block]})
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """record, kind, digest, refers, copies, payload of every response and revisit under ``path``.
+    """record, kind, digest, refers, payload of every response and revisit under ``path``.
 
     A record's segments may lie in any files; they are grouped by origin identifier, so a
     group is one record.  Missing, repeated or short segments raise an error.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     found = files.mapInArrow(_parsed, _FIELDS)
-    whole = found.where("segment = 0").select("record", "kind", "digest", "refers", "copies", "block")
-    joined = found.where("segment > 0").groupBy("origin").applyInPandas(_joined, "record string, kind string, digest string, refers string, copies int, block binary")
-    return whole.unionByName(joined).mapInArrow(_payloads, "record string, kind string, digest string, refers string, copies int, payload binary")
+    whole = found.where("segment = 0").select("record", "kind", "digest", "refers", "block")
+    joined = found.where("segment > 0").groupBy("origin").applyInPandas(_joined, "record string, kind string, digest string, refers string, block binary")
+    return whole.unionByName(joined).mapInArrow(_payloads, "record string, kind string, digest string, refers string, payload binary")
 
 
 def round_trip(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES, path: str | None = None) -> DataFrame:
@@ -222,11 +232,10 @@ def round_trip(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES, pat
     spark = pages.sparkSession
     path = path or new_path(spark, "warc")
     write_warc(pages, path, min_revisit_bytes)
-    back = read_warc(spark, path).select("record", "kind", "digest", "refers", "copies", F.octet_length("payload").cast("long").alias("size"))
+    back = read_warc(spark, path).select("record", "kind", "digest", "refers", F.octet_length("payload").cast("long").alias("size"))
     back = durable(back, "records")
     sizes = back.where("kind = 'response'").select(F.col("record").alias("refers"), F.col("size").alias("full")).dropDuplicates(["refers"])
     page = lambda c: F.split(c, ":")[2].try_cast("long")
-    back = back.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
     return back.join(sizes, "refers", "left").select(
         page(F.col("record")).alias("page_id"),
         F.when(F.col("kind") == "revisit", F.col("full")).otherwise(F.col("size")).alias("payload_bytes"),

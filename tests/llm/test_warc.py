@@ -17,7 +17,8 @@ def test_round_trip(spark, tmp_path):
     kinds = [(r.page_id, r.record_type, r.refers_to) for r in got]
     assert kinds[:3] == [(None, "revisit", 2), (1, "revisit", 2), (2, "response", None)]
     assert (4, "revisit", 5) in kinds and (5, "response", None) in kinds
-    all_full = warc.round_trip(df, min_revisit_bytes=5)
+    assert sorted(k[1:] for k in kinds if k[0] == 7) == [("response", None), ("revisit", 7)]
+    all_full = warc.round_trip(df, min_revisit_bytes=10**6)
     assert {r.record_type for r in all_full.collect()} == {"response"}
 
 
