@@ -7,6 +7,8 @@ returns a number per (language, topic); languages and topics are bounded vocabul
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ def topic(text: Column) -> Column:
     t = F.coalesce(text, F.lit(""))
     return (
         F.when(t.rlike(r"(?i)licen[sc]e|copyright|all rights reserved"), "legal")
-        .when(t.rlike(r"[\w.]+@[\w-]+\.[\w.]+|(?i)\btoken\s*=|\+?\d[\d ()-]{8,}\d"), "contact")
+        .when(t.rlike(r"[\w.]@[\w-]+\.[\w.]|(?i)\btoken\s*=|\d[\d ()-]{8,}\d"), "contact")
         .when(t.rlike(r"[#$%&*!]{2,}"), "marked")
         .when(F.length(t) > 6000, "long")
         .when(F.length(t) < 400, "short")
@@ -126,13 +128,16 @@ def mix(docs: DataFrame, keep: float = KEEP, langs: dict | None = None, topics:
     A document is sampled with probability min(1, f * weight of its cell), where f makes the
     expected kept tokens ``keep`` of all.  The draw is a hash of id, text and ``seed``: the same
     document is drawn alike in every run, and repeated rows share their fate.  Null sources and
-    languages are cells of their own ("(none)"); empty and null texts count one token.  An
-    empty table gives an empty result.
+    languages are cells of their own ("(none)"); empty and null texts count one token, texts of any length
+    are used whole.  An empty table gives an empty result.  A warning tells if raking stopped before all
+    marginals were within ``TOLERANCE`` of their targets.
     """
     none = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("(none)"))
     rows = docs.withColumns({"_source": none("source"), "_lang": none("lang"), "_topic": topic(F.col(text_col)), "_tokens": tokens(F.col(text_col))})
     cells = durable(rows.groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic")).agg(F.sum("_tokens").alias("n")), "mass")
-    weighted, _ = rake(cells, langs, topics, even, sources)
+    weighted, errors = rake(cells, langs, topics, even, sources)
+    if errors[-1] >= TOLERANCE:
+        warnings.warn(f"raking did not settle: a marginal is {errors[-1]:.2g} from its target after {len(errors)} cycles", stacklevel=2)
     factor = _scale(weighted, keep) if not weighted.isEmpty() else 1.0
     named = weighted.select(F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_topic"), F.col("weight").alias("_weight"))
     # Spark broadcasts the cells only where they are small; else a hot source's rows are split by AQE.
