@@ -63,16 +63,16 @@ def region_anomalies(hourly: DataFrame, contract: Contract, current: DataFrame |
 
 
 def affected(hourly: DataFrame, changed: DataFrame, contract: Contract) -> DataFrame:
-    """The region-hours whose baseline or own value a changed region-hour can touch."""
+    """The region-hours whose baseline or own value a changed region-hour can touch: those of the same local hour."""
     first, last = changed.agg(F.min("observation_hour"), F.max("observation_hour")).first()
     if first is None:
         return hourly.limit(0)
     # Literal bounds reach the scan, so untouched hours (partitions) are never read.
     span = [F.lit(t).cast("timestamp_ntz") for t in (first, last + dt.timedelta(days=contract.anomaly_baseline_days))]
     hourly = hourly.where(F.col("observation_hour").between(*span))
-    c = changed.select(F.col("canonical_region_id").alias("_region"), F.col("observation_hour").alias("_from"))
+    c = changed.select(F.col("canonical_region_id").alias("_region"), F.col("observation_hour").alias("_from"), F.hour("local_observation_hour").alias("_hour"))
     until = F.col("_from") + F.expr(f"interval {contract.anomaly_baseline_days} days")
-    near = (F.col("canonical_region_id") == F.col("_region")) & (F.col("observation_hour") >= F.col("_from")) & (F.col("observation_hour") <= until)
+    near = (F.col("canonical_region_id") == F.col("_region")) & (F.hour("local_observation_hour") == F.col("_hour")) & (F.col("observation_hour") >= F.col("_from")) & (F.col("observation_hour") <= until)
     return hourly.join(c, near, "left_semi")
 
 

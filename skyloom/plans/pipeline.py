@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skyloom import schemas
 from skyloom.operators.kernel import latest_batch, newest, region_hours
 from skyloom.plans import models
-from skyloom.plans.state import Store, changed_since, mark, merge_discovered, replace_hours, upsert
+from skyloom.plans.state import Store, hour_key, mark, merge_discovered, upsert
 
 HOURLY = "canonical_region_id string, country_code string, region_type string, observation_hour timestamp_ntz, timezone string, no2_mean double, no2_median double, no2_p90 double, valid_pixel_count bigint, total_pixel_count bigint, valid_area_km2 double, total_area_km2 double, coverage_fraction double, quality_flag_accepted boolean, source_granule_count int, all_granules_validated boolean, revision bigint, geometry_version string, ingested_at timestamp_ntz, contract_version string, local_observation_hour timestamp_ntz, is_analysis_ready boolean"
 ANOMALIES = "canonical_region_id string, observation_hour timestamp_ntz, timezone string, local_observation_hour timestamp_ntz, no2_mean double, baseline_sample_count bigint, baseline_median double, baseline_mad double, is_analysis_ready boolean, source_revision bigint, contract_version string, no2_difference double, robust_z_score double"
@@ -23,50 +23,72 @@ def discover(store: Store, found: DataFrame, now: dt.datetime) -> dict[str, int]
     return counts
 
 
-def ingest(store: Store, cells: DataFrame, weights: DataFrame, registry: DataFrame, contract: schemas.Contract, now: dt.datetime) -> int:
+def ingest(store: Store, cells: DataFrame, weights: DataFrame, registry: DataFrame, contract: schemas.Contract, now: dt.datetime, buckets: int | None = None) -> int:
     """Take newly decoded scans in: their whole hours are recomputed from all scans of the hour.
 
-    Raw cells are kept, so a late scan pools with its siblings.  Region-hours, latest cells and
-    the ledger move in one commit.  Replaying a scan gives the same hours again.
+    Raw cells are kept by hour, so a late scan pools with its siblings, and only touched hours are
+    read and written (also the hour that an earlier version of a scan stood in).  Region-hours, latest
+    cells and the ledger move in one commit.  Replaying a scan gives the same hours again.
+    ``buckets``: see ``weighted_stats``.
     """
     at, flags = F.lit(now).cast("timestamp_ntz"), list(contract.accepted_quality_flags)
     # cells without an hour can't be placed
     cells = cells.where("observation_hour is not null")
-    touched = cells.select("observation_hour").distinct()
-    old = store.read("cells", schemas.GRID_CELLS)
-    siblings = old.join(cells.select("granule_id").distinct(), "granule_id", "left_anti")
-    all_cells = siblings.unionByName(cells.select(*old.columns))
-    hours = all_cells.join(touched, "observation_hour", "left_semi")
-    version = registry.agg(F.max("geometry_version").alias("v")).first().v
+    scans = cells.groupBy("granule_id").agg(F.max("observation_time").alias("observation_time"), F.max("observation_hour").alias("observation_hour"))
+    inventory = store.read("granule_inventory", schemas.GRANULE_INVENTORY)
+    before = inventory.join(scans.select("granule_id"), "granule_id", "left_semi").where("observation_hour is not null").select("observation_hour")
+    # One row an hour of the micro-batch.
+    touched = [r.k for r in cells.select("observation_hour").unionByName(before).select(hour_key(F.col("observation_hour")).alias("k")).distinct().collect()]
+    old = store.read("cells", schemas.GRID_CELLS, touched)
+    siblings = old.join(scans.select("granule_id"), "granule_id", "left_anti")
     revision = store.state["revision"] + 1
-    batch = region_hours(hours, weights, registry, flags).withColumns({"geometry_version": F.lit(version), "ingested_at": at})
-    aggregates = replace_hours(store.read("region_hour_aggregates", schemas.REGION_HOURS), batch, revision)
+    kept = store.stage("cells", siblings.unionByName(cells.select(*old.columns)), touched, revision)
+    hours = store.read("cells", schemas.GRID_CELLS, touched, kept)
+    version = registry.agg(F.max("geometry_version").alias("v")).first().v
+    batch = region_hours(hours, weights, registry, flags, buckets).withColumns({"geometry_version": F.lit(version), "ingested_at": at, "revision": F.lit(revision).cast("long")})
+    columns = store.read("region_hour_aggregates", schemas.REGION_HOURS, []).columns
+    aggregates = store.stage("region_hour_aggregates", batch.select(*columns), touched, revision)
     latest = newest(store.read("grid_latest", schemas.GRID_LATEST), latest_batch(cells, weights, registry, flags, at), ["grid_row", "grid_col"], ["observation_time", "ingested_at"])
-    done = [r.granule_id for r in cells.select("granule_id").distinct().collect()]  # one micro-batch of scans
-    ledger = mark(store.read("granule_inventory", schemas.GRANULE_INVENTORY), done, at, clear_error=True, download_status="downloaded", validation_status="validated", processing_status="processed")
-    store.commit({"cells": all_cells, "region_hour_aggregates": aggregates, "grid_latest": latest, "granule_inventory": ledger}, revision=revision, partition={"cells": ["observation_hour"], "region_hour_aggregates": ["observation_hour"]})
+    ledger = mark(inventory, scans, at, clear_error=True, download_status="downloaded", validation_status="validated", processing_status="processed")
+    store.commit({"grid_latest": latest, "granule_inventory": ledger}, revision, {"cells": kept, "region_hour_aggregates": aggregates})
     return revision
 
 
 def publish(store: Store, registry: DataFrame, contract: schemas.Contract, full_refresh: bool = False) -> int:
     """Bring hourly history and anomalies up to date; returns the number of region-hours recomputed.
 
-    An incremental run takes region-hours above the published revision (all after a change of
-    the contract) and the anomalies within the baseline days behind them.  As in any keyed merge,
-    rows that vanished from a replaced hour stay until a full refresh.
+    An incremental run takes hours above the published revision (all after a change of the
+    contract) and the anomalies within the baseline days behind them; other hours are neither read nor
+    written.  Where a fifth or more of the region-hours in reach changed, all of those hours are
+    computed by the window of a full refresh, else only what is affected, by a join; the result is the
+    same.  As in any keyed merge, rows that vanished from a replaced hour stay until a full refresh.
     """
-    state = store.state
-    aggregates = store.read("region_hour_aggregates", schemas.REGION_HOURS)
-    hourly, anomalies = store.read("region_hourly", HOURLY), store.read("region_anomalies", ANOMALIES)
-    if full_refresh:
-        hourly, anomalies, state = hourly.limit(0), anomalies.limit(0), {}
-    news = changed_since(aggregates, state.get("published_revision", 0), contract.contract_version, state.get("contract_version"))
-    changed = models.region_hourly(news, registry, contract).select(*hourly.columns)
-    merged = upsert(hourly, changed, models.KEY)
-    redo = models.affected(merged, changed, contract)
-    updates = models.region_anomalies(merged, contract, redo).select(*anomalies.columns)
-    store.commit({"region_hourly": merged, "region_anomalies": upsert(anomalies, updates, models.KEY)}, published_revision=store.state["revision"], contract_version=contract.contract_version)
-    return changed.count()
+    state, days = store.state, dt.timedelta(days=contract.anomaly_baseline_days)
+    done = state.get("published_revision", 0) if contract.contract_version == state.get("contract_version") and not full_refresh else 0
+    news = [k for k, (_, revision) in store.parts("region_hour_aggregates").items() if revision > done]
+    notes = {"published_revision": state["revision"], "contract_version": contract.contract_version}
+    if not news and not full_refresh:
+        store.commit({}, **notes)
+        return 0
+    fresh = models.region_hourly(store.read("region_hour_aggregates", schemas.REGION_HOURS, news), registry, contract)
+    old = store.read("region_hourly", HOURLY, [] if full_refresh else news)
+    hourly = store.stage("region_hourly", upsert(old, fresh.select(*old.columns), models.KEY), None if full_refresh else news, state["revision"])
+    changed = store.read("region_hourly", HOURLY, news, hourly).where(F.col("revision") > done)
+    first, last = (dt.datetime.strptime(f(news, default="2000010100"), "%Y%m%d%H") for f in (min, max))
+    key = lambda t: t.strftime("%Y%m%d%H")
+    reach = [k for k in hourly if key(first) <= k <= key(last + days)]
+    rows = store.read("region_hourly", HOURLY, [k for k in hourly if key(first - days) <= k <= key(last + days)], hourly)
+    count = changed.count()
+    if done == 0 or count * 5 >= store.read("region_hourly", HOURLY, reach, hourly).count():
+        updates = models.region_anomalies(rows, contract).where(F.col("observation_hour") >= F.lit(first).cast("timestamp_ntz"))
+    else:
+        redo = models.affected(store.read("region_hourly", HOURLY, reach, hourly), changed, contract)
+        reach = [r.k for r in redo.select(hour_key(F.col("observation_hour")).alias("k")).distinct().collect()]  # one row an hour
+        updates = models.region_anomalies(rows, contract, redo)
+    before = store.read("region_anomalies", ANOMALIES, [] if full_refresh else reach)
+    anomalies = store.stage("region_anomalies", upsert(before, updates.select(*before.columns), models.KEY), None if full_refresh else reach, state["revision"])
+    store.commit({}, None, {"region_hourly": hourly, "region_anomalies": anomalies}, **notes)
+    return count
 
 
 def views(spark: SparkSession, store: Store, scope: schemas.Scope, registry: DataFrame, as_of: dt.datetime) -> dict[str, DataFrame]:

@@ -1,7 +1,9 @@
 """Durable state without a table format: versioned Parquet snapshots behind one pointer.
 
 A commit writes new versions of all changed tables and then adds one row to the pointer's log,
-so several tables move together or not at all.  One writer at a time is assumed.
+so several tables move together or not at all.  Tables with hours are kept by hour: the pointer
+names the version and revision of each, and a commit writes only the hours that it touches.  One
+writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-SCHEMA_VERSION = "1"
+SCHEMA_VERSION = "2"
 
 
 class Store:
@@ -44,29 +46,87 @@ class Store:
     def state(self) -> dict:
         return self._load()
 
-    def read(self, table: str, schema: StructType | str) -> DataFrame:
-        """The current version of a table; empty if it was never written."""
-        version = self._load()["tables"].get(table)
+    def parts(self, table: str) -> dict[str, list]:
+        """Hour (yyyyMMddHH) -> [version, revision] of a table that is kept by hour; one entry an hour, no data."""
+        return self._load()["tables"].get(table) or {}
+
+    def read(self, table: str, schema: StructType | str, parts: list[str] | None = None, staged: dict | None = None) -> DataFrame:
+        """The current version of a table, or of some of its hours; empty if it was never written.
+
+        ``staged`` (of ``stage``) takes the place of what the pointer names.
+        """
+        version = self._load()["tables"].get(table) if staged is None else staged
+        if isinstance(version, dict):
+            wanted = sorted(version if parts is None else set(parts) & set(version))
+            paths = [f"{self.root}/{table}/{version[k][0]}/part={k}" for k in wanted]
+            return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
         return self.spark.createDataFrame([], schema) if version is None else self.spark.read.schema(schema).parquet(f"{self.root}/{table}/{version}")
 
-    def commit(self, changes: dict[str, DataFrame], revision: int | None = None, partition: dict[str, list[str]] | None = None, **notes) -> dict:
-        """Write new versions of all ``changes``, then move the pointer.  On failure the old state stays visible."""
+    def stage(self, table: str, df: DataFrame, touched: list[str] | None, revision: int) -> dict[str, list]:
+        """Write the hours ``touched`` (all: None) anew; the table's hours as they are once committed.
+
+        An hour that has no rows in ``df`` goes.  Nothing is visible before ``commit``.
+        """
+        version = f"v={uuid.uuid4().hex}"
+        folder = f"{self.root}/{table}/{version}"
+        hours = df.withColumn("part", hour_key(F.col("observation_hour")))
+        hours.hint("rebalance", "part").write.option("compression", "zstd").partitionBy("part").parquet(folder)
+        written = [name.removeprefix("part=") for name in self._list(folder) if name.startswith("part=")]
+        kept = {} if touched is None else {k: v for k, v in self.parts(table).items() if k not in set(touched)}
+        return kept | {k: [version, revision] for k in written}
+
+    def _fs(self, path: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _list(self, folder: str) -> list[str]:
+        fs, path = self._fs(folder)
+        return [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+
+    def commit(self, changes: dict[str, DataFrame], revision: int | None = None, staged: dict[str, dict] | None = None, **notes) -> dict:
+        """Write new versions of all ``changes``, then move the pointer to them and to what is staged.
+
+        On failure the old state stays visible.
+        """
         state = self._load()
+        if revision is not None and revision <= state["revision"]:
+            raise ValueError("revisions must grow")
         for table, df in changes.items():
             version = f"v={uuid.uuid4().hex}"
-            writer = df.write.option("compression", "zstd")
-            if partition and table in partition:
-                writer = writer.partitionBy(*partition[table])
-            writer.parquet(f"{self.root}/{table}/{version}")
+            df.write.option("compression", "zstd").parquet(f"{self.root}/{table}/{version}")
             state["tables"][table] = version
+        state["tables"] |= staged or {}
         state |= notes | {"version": state["version"] + 1}
         if revision is not None:
-            if revision <= state["revision"]:
-                raise ValueError("revisions must grow")
             state["revision"] = revision
         self._point(state)
         return state
 
+    def vacuum(self) -> int:
+        """Delete versions that the pointer no longer names; their number.  Readers of older states must have ended."""
+        gone = 0
+        for table, current in self._load()["tables"].items():
+            named = {v[0] for v in current.values()} if isinstance(current, dict) else {current}
+            for name in self._list(f"{self.root}/{table}"):
+                if name.startswith("v=") and name not in named:
+                    fs, path = self._fs(f"{self.root}/{table}/{name}")
+                    gone += bool(fs.delete(path, True))
+        return gone
+
+
+def hour_key(hour: Column) -> Column:
+    return F.date_format(hour, "yyyyMMddHH")
+
+
+def one_hour(batch: DataFrame) -> DataFrame:
+    """The batch, if it has rows and all are of one hour; else an error."""
+    first, last = batch.agg(F.min("observation_hour"), F.max("observation_hour")).first()
+    if first is None:
+        raise ValueError("a replacement of an hour needs rows")
+    if first != last:
+        raise ValueError("a replacement of an hour holds several hours")
+    return batch
+
 
 def upsert(existing: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``updates`` in place of rows with their keys; a key that updates repeats raises an error."""
@@ -93,17 +153,19 @@ def merge_discovered(inventory: DataFrame, found: DataFrame, now: Column) -> tup
     return merged, {"found": total, "inserted": inserted, "refreshed": total - inserted}
 
 
-def mark(inventory: DataFrame, granule_ids: list[str], now: Column, clear_error: bool = False, **values) -> DataFrame:
-    """Set the given values of some granules and stamp the steps they complete."""
-    here = F.col("granule_id").isin(granule_ids)
-    changes = {c: F.lit(v) for c, v in values.items() if v is not None} | {"updated_at": now}
+def mark(inventory: DataFrame, granules: DataFrame, now: Column, clear_error: bool = False, **values) -> DataFrame:
+    """Set the given values of some granules (granule_id, and any columns to take over) and stamp the steps they complete."""
+    own = [c for c in granules.columns if c != "granule_id"]
+    batch = granules.dropDuplicates(["granule_id"]).select("granule_id", *[F.col(c).alias(f"_{c}") for c in own], F.lit(True).alias("_here"))
+    here, kinds = F.coalesce("_here", F.lit(False)), dict(inventory.dtypes)
+    changes = {c: F.lit(v) for c, v in values.items() if v is not None} | {c: F.col(f"_{c}") for c in own} | {"updated_at": now}
     for step, done in (("download", "downloaded"), ("validation", "validated"), ("processing", "processed")):
         if values.get(f"{step}_status") == done:
             changes[f"{done}_at"] = now
     if values.get("error_message") is None and clear_error:
         changes["error_message"] = F.lit(None).cast("string")
-    kinds = dict(inventory.dtypes)
-    return inventory.select(*[F.when(here, changes[c].cast(kinds[c])).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in inventory.columns])
+    joined = inventory.join(batch, "granule_id", "left")
+    return joined.select(*[F.when(here, changes[c].cast(kinds[c])).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in inventory.columns])
 
 
 def replace_hours(existing: DataFrame, batch: DataFrame, revision: int) -> DataFrame:

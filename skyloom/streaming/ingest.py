@@ -12,11 +12,12 @@ from skyloom.plans.pipeline import ingest
 from skyloom.plans.state import Store
 
 
-def ingest_stream(spark: SparkSession, landing: str, checkpoint: str, store: Store, weights: DataFrame, registry: DataFrame, contract: schemas.Contract, clock: Callable[[], dt.datetime] | None = None):
+def ingest_stream(spark: SparkSession, landing: str, checkpoint: str, store: Store, weights: DataFrame, registry: DataFrame, contract: schemas.Contract, clock: Callable[[], dt.datetime] | None = None, max_files: int = 200):
     """Take in all scan files that have landed since the last run, then stop.
 
     Late scans are not dropped by a watermark: a scan for an old hour recomputes that hour.  The
-    checkpoint makes delivery at-least-once, and a replayed batch gives the same state.
+    checkpoint makes delivery at-least-once, and a replayed batch gives the same state.  A
+    micro-batch takes ``max_files`` files at most, so a backlog is worked off in bounded steps.
     """
     clock = clock or (lambda: dt.datetime.now(dt.UTC).replace(tzinfo=None))
 
@@ -24,7 +25,7 @@ def ingest_stream(spark: SparkSession, landing: str, checkpoint: str, store: Sto
         if not batch.isEmpty():
             ingest(store, batch, weights, registry, contract, clock())
 
-    cells = spark.readStream.schema(schemas.GRID_CELLS).parquet(landing)
+    cells = spark.readStream.schema(schemas.GRID_CELLS).option("maxFilesPerTrigger", max_files).parquet(landing)
     query = cells.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from skyloom import schemas
 from skyloom.operators.checks import relation_report, unequal
 from skyloom.plans import models, pipeline
-from skyloom.plans.state import Store, merge_discovered, prunable, upsert
+from skyloom.plans.state import Store, merge_discovered, one_hour, prunable, upsert
 from skyloom.sources import discovery
 from skyloom.streaming.ingest import ingest_stream
 
@@ -117,3 +117,41 @@ def test_scopes_and_contracts(tmp_path):
     assert discovery.read_contract(str(p)) == schemas.Contract()
     with pytest.raises(ValueError, match="both"):
         discovery.window(start=NOW)
+
+
+def test_publish_reads_and_writes_only_what_changed(spark, tmp_path):
+    store, contract = Store(spark, str(tmp_path)), schemas.Contract(anomaly_min_baseline_samples=2)
+    rows = spark.range(12).selectExpr(
+        "timestamp_ntz '2026-06-01 12:00:00' + make_dt_interval(cast(id as int)) as observation_hour", "'US-CA' as canonical_region_id", "'US' as country_code", "'state' as region_type",
+        "cast(id * id as double) as no2_mean", "1D as no2_median", "1D as no2_p90", "1L as valid_pixel_count", "1L as total_pixel_count", "1D as valid_area_km2", "1D as total_area_km2",
+        "1D as coverage_fraction", "true as quality_flag_accepted", "1 as source_granule_count", "true as all_granules_validated", "1L as revision", "'v1' as geometry_version", "timestamp_ntz '2026-07-01' as ingested_at",
+    )
+    store.commit({}, 1, {"region_hour_aggregates": store.stage("region_hour_aggregates", rows, None, 1)})
+    assert pipeline.publish(store, registry(spark), contract) == 12 and pipeline.publish(store, registry(spark), contract) == 0
+    before = store.parts("region_anomalies")
+    late = rows.where("no2_mean = 81").withColumns({"no2_mean": F.lit(7.0), "revision": F.lit(2).cast("long")})
+    store.commit({}, 2, {"region_hour_aggregates": store.stage("region_hour_aggregates", late, ["2026061012"], 2)})
+    # One of three region-hours in reach: the window; with a tenth of them it would be the join.
+    assert pipeline.publish(store, registry(spark), contract) == 1
+    after = store.parts("region_anomalies")
+    assert {k for k in after if after[k] != before[k]} == {"2026061012", "2026061112", "2026061212"}
+    early = rows.where("no2_mean = 0").withColumns({"no2_mean": F.lit(9.0), "revision": F.lit(3).cast("long")})
+    store.commit({}, 3, {"region_hour_aggregates": store.stage("region_hour_aggregates", early, ["2026060112"], 3)})
+    assert pipeline.publish(store, registry(spark), contract) == 1
+    part = store.read("region_anomalies", pipeline.ANOMALIES)
+    kept = spark.createDataFrame(part.collect(), part.schema)
+    assert store.vacuum() > 0
+    pipeline.publish(store, registry(spark), contract, full_refresh=True)
+    assert unequal(kept, store.read("region_anomalies", pipeline.ANOMALIES)).count() == 0 and kept.count() == 12
+
+
+def test_a_scan_that_moves_leaves_its_old_hour(spark, tmp_path):
+    store, contract = Store(spark, str(tmp_path)), schemas.Contract()
+    pipeline.discover(store, discovery.discover(spark, lambda *_: [{"granule_ur": "g"}], "C1", now=NOW), NOW)
+    for day in (0, 1):
+        pipeline.ingest(store, scan(spark, "g", day, 1.0, 3.0), weights(spark), registry(spark), contract, NOW)
+    assert {r.observation_hour for r in store.read("region_hour_aggregates", schemas.REGION_HOURS).collect()} == {HOUR + dt.timedelta(days=1)}
+    with pytest.raises(ValueError, match="several"):
+        one_hour(scan(spark, "a", 0, 1.0).union(scan(spark, "b", 1, 1.0)))
+    with pytest.raises(ValueError, match="needs rows"):
+        one_hour(scan(spark, "a", 0, 1.0).limit(0))
