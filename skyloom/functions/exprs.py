@@ -70,3 +70,13 @@ def cell_latitude(row: Column) -> Column:
 
 def cell_longitude(col: Column) -> Column:
     return F.lit(GRID_LON0) + col * F.lit(GRID_STEP)
+
+
+def cf_time(value: Column, units: Column) -> Column:
+    """A number of ``days|hours|minutes|seconds since <time>`` as naive UTC; null if it can't be read, an error without units."""
+    parts = F.lower(F.trim(units))
+    step = F.regexp_extract(parts, r"^(day|hour|minute|second|hr|min|sec|h|d|s)s? since ", 1)
+    seconds = F.when(step.isin("day", "d"), 86400).when(step.isin("hour", "hr", "h"), 3600).when(step.isin("minute", "min"), 60).when(step.isin("second", "sec", "s"), 1)
+    since = F.try_to_timestamp(F.upper(F.trim(F.regexp_extract(parts, r" since (.*)$", 1))))
+    at = F.timestamp_micros((F.unix_micros(since) + F.round(value * seconds * 1_000_000)).cast("long"))
+    return F.when(units.isNull(), F.raise_error(F.lit("a time needs units"))).otherwise(at.cast("timestamp_ntz"))

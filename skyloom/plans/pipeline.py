@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from skyloom import schemas
 from skyloom.operators.kernel import latest_batch, newest, region_hours
 from skyloom.plans import models
-from skyloom.plans.state import Store, hour_key, mark, merge_discovered, upsert
+from skyloom.plans.state import Store, hour_key, mark, merge_discovered, one_hour, upsert
 
 HOURLY = "canonical_region_id string, country_code string, region_type string, observation_hour timestamp_ntz, timezone string, no2_mean double, no2_median double, no2_p90 double, valid_pixel_count bigint, total_pixel_count bigint, valid_area_km2 double, total_area_km2 double, coverage_fraction double, quality_flag_accepted boolean, source_granule_count int, all_granules_validated boolean, revision bigint, geometry_version string, ingested_at timestamp_ntz, contract_version string, local_observation_hour timestamp_ntz, is_analysis_ready boolean"
 ANOMALIES = "canonical_region_id string, observation_hour timestamp_ntz, timezone string, local_observation_hour timestamp_ntz, no2_mean double, baseline_sample_count bigint, baseline_median double, baseline_mad double, is_analysis_ready boolean, source_revision bigint, contract_version string, no2_difference double, robust_z_score double"
@@ -54,6 +55,69 @@ def ingest(store: Store, cells: DataFrame, weights: DataFrame, registry: DataFra
     return revision
 
 
+def replace_registry(store: Store, registry: DataFrame) -> int:
+    """Put a whole registry in place of the last one; returns its rows.
+
+    It must have rows of one geometry version, with regions that are not repeated.  Another version than that of
+    the region-hours that are there is refused: they would belong to other shapes.
+    """
+    found = registry.agg(F.count("*").alias("n"), F.countDistinct("canonical_region_id").alias("ids"), F.min("geometry_version").alias("low"), F.max("geometry_version").alias("high")).first()
+    if not found.n or found.low != found.high or found.ids != found.n:
+        raise ValueError("a registry needs rows of one geometry version, one a region")
+    there = store.read("region_hour_aggregates", schemas.REGION_HOURS).where(F.col("geometry_version") != found.low)
+    if not there.isEmpty():
+        raise ValueError(f"region-hours of another geometry version than {found.low} are there")
+    store.commit({"region_registry": registry.select(*[f.name for f in schemas.REGION_REGISTRY.fields])})
+    return found.n
+
+
+def require_geography(registry: DataFrame, weights: DataFrame) -> str:
+    """The geometry version that registry and weights share; an error if one is empty or they differ."""
+    low, high = F.min("geometry_version"), F.max("geometry_version")
+    ours, theirs = tuple(registry.agg(low, high).first()), tuple(weights.agg(low, high).first())
+    if None in ours or None in theirs:
+        raise ValueError("scans need a region registry and grid weights; load them first")
+    if len({*ours, *theirs}) > 1:
+        raise ValueError(f"registry and weights have geometry versions {sorted({*ours, *theirs})}")
+    return ours[0]
+
+
+def ingest_each(store: Store, granules: Iterable[tuple[str, Callable[[], DataFrame]]], weights: DataFrame, registry: DataFrame, contract: schemas.Contract, now: dt.datetime) -> list[str]:
+    """Decode and ingest one granule after the other; returns the ids of those that are in.
+
+    A granule that fails is recorded in the ledger with its error, its part of the state stays as it was, and the
+    others go on; at the end an error names the failures, so that a scheduler runs them again.
+    """
+    require_geography(registry, weights)
+    done, failed = [], {}
+    for granule_id, decode in granules:
+        try:
+            cells = decode()
+            strange = cells.where(F.col("granule_id") != granule_id)
+            if not strange.isEmpty():
+                raise ValueError("the scan holds cells of another granule")
+            ingest(store, one_hour(cells), weights, registry, contract, now)
+            done.append(granule_id)
+        except Exception as e:  # recorded, and raised at the end
+            failed[granule_id] = f"{type(e).__name__}: {e}"[:2000]
+            ledger = store.read("granule_inventory", schemas.GRANULE_INVENTORY)
+            one = store.spark.createDataFrame([(granule_id,)], "granule_id string")
+            store.commit({"granule_inventory": mark(ledger, one, F.lit(now).cast("timestamp_ntz"), processing_status="failed", error_message=failed[granule_id])})
+    if failed:
+        raise RuntimeError(f"{len(failed)} of {len(failed) + len(done)} granules failed: " + "; ".join(f"{k}: {v[:200]}" for k, v in list(failed.items())[:20]))
+    return done
+
+
+def siblings_restored(cells: DataFrame, sibling: DataFrame, digest: str, expected: str | None) -> DataFrame:
+    """A scan with a sibling of its hour that was read back from an archive.
+
+    The sibling's file digest must be known and equal, and it must be of the same hour.
+    """
+    if not expected or digest != expected:
+        raise ValueError("a restored scan needs the checksum that the ledger has")
+    return one_hour(cells.unionByName(sibling))
+
+
 def publish(store: Store, registry: DataFrame, contract: schemas.Contract, full_refresh: bool = False) -> int:
     """Bring hourly history and anomalies up to date; returns the number of region-hours recomputed.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions import exprs
 from skyloom.operators import checks, geography, kernel
-from skyloom.plans import models
+from skyloom.plans import models, relations
 from skyloom.plans.state import changed_since, merge_discovered, replace_hours, upsert
 from skyloom.schemas import Contract
 from skyloom.sources.discovery import pending
@@ -500,3 +500,70 @@ def flag_parsing(spark, sf_dir):
     """'0|1' and '2,3' as arrays of flags."""
     flags = spark.createDataFrame([("0|1",), ("2,3",)], "text string").select(F.array_join(exprs.parse_flags(F.col("text")).cast("array<string>"), ",").alias("p_flags"))
     return table(spark, sf_dir, "customer").select("c_mktsegment").distinct().crossJoin(flags)
+
+
+@query("select c_custkey, 'US-PC-' || lpad(cast(c_custkey as varchar), 5, '0') as code, repeat('x', c_nationkey % 4) as mark from customer")
+def padded_codes(spark, sf_dir):
+    """F9."""
+    code = F.concat(F.lit("US-PC-"), F.lpad(F.col("c_custkey").cast("string"), 5, "0"))
+    return table(spark, sf_dir, "customer").select("c_custkey", code.alias("code"), F.expr("repeat('x', c_nationkey % 4)").alias("mark"))
+
+
+@query("select o_orderpriority, o_orderstatus, count(*) as n from orders group by all order by all")
+def order_by_all(spark, sf_dir):
+    """O4."""
+    return spark.sql("select o_orderpriority, o_orderstatus, count(*) as n from {orders} group by all order by all", orders=table(spark, sf_dir, "orders"))
+
+
+@query("select o_orderkey, o_totalprice from orders where o_totalprice >= 1000.5 and o_orderstatus = 'F' and o_orderdate < timestamp '1997-01-01'")
+def parameterised_predicates(spark, sf_dir):
+    """Values reach the plan as parameters, never as text."""
+    sql = "select o_orderkey, o_totalprice from {orders} where o_totalprice >= :least and o_orderstatus = :status and o_orderdate < :before"
+    return spark.sql(sql, args={"least": 1000.5, "status": "F", "before": dt.datetime(1997, 1, 1)}, orders=table(spark, sf_dir, "orders"))
+
+
+@query("select n_nationkey, n_name, case n_regionkey when 0 then 'AF' when 1 then 'AM' when 2 then 'AS' when 3 then 'EU' end as code from nation")
+def code_lookup(spark, sf_dir):
+    """A fixed list of codes as a literal map; what isn't in it has none."""
+    codes = F.create_map(*[F.lit(x) for pair in enumerate(["AF", "AM", "AS", "EU"]) for x in pair])
+    return table(spark, sf_dir, "nation").select("n_nationkey", "n_name", F.try_element_at(codes, F.col("n_regionkey")).alias("code"))
+
+
+@query("select event_id, date_trunc('hour', timestamp '2023-12-01 00:00:00' + to_minutes(cast(event_id % 90000 as bigint))) as observation_hour, timestamp '2023-12-01 00:00:00' + to_minutes(cast(event_id % 90000 as bigint)) as observation_time from events")
+def decoded_times(spark, sf_dir):
+    """Numbers in 'minutes since' as times and their hours."""
+    e = table(spark, sf_dir, "events")
+    at = exprs.cf_time((F.col("event_id") % 90000).cast("double"), F.lit("minutes since 2023-12-01 00:00:00"))
+    return e.select("event_id", at.alias("observation_time"), exprs.hour_of(at).alias("observation_hour"))
+
+
+@query("select doc_id, sha256(text) as sha256 from documents where text is not null")
+def text_digests(spark, sf_dir):
+    """A20."""
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.sha2("text", 256).alias("sha256"))
+
+
+_SORTED = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
+@query("select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice from lineitem order by all")
+def canonical_order(spark, sf_dir):
+    """Total order over several keys."""
+    from skyloom.sources.artifacts import canonical
+
+    return canonical(table(spark, sf_dir, "lineitem").select(*_SORTED), _SORTED)
+
+
+@query("select table_name, column_name, cast(ordinal_position as integer) as position from information_schema.columns where table_name in ('region', 'nation', 'orders', 'events', 'documents')")
+def catalog_columns(spark, sf_dir):
+    """S22."""
+    names = ["region", "nation", "orders", "events", "documents"]
+    for name in names:
+        table(spark, sf_dir, name).createOrReplaceTempView(name)
+    return relations.relation_columns(spark, [*names, "no_such_table"])
+
+
+@query("select country_code, observation_hour, no2_mean, coverage_fraction, analysis_ready_region_count, region_count from (" + ORACLES["country_hourly_filter_agg"] + ") where country_code = 'US' and is_analysis_ready")
+def country_history(spark, sf_dir):
+    """R11."""
+    return relations.country_history(QUERIES["country_hourly_filter_agg"](spark, sf_dir), "US")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,11 +13,10 @@ from pyspark.sql import functions as F
 from skyloom.schemas import GRANULE_INVENTORY, Contract
 
 # The layout of a catalog record; every field may be missing.
-_TIME = "struct<Date:string,Time:string>"
 RECORD = (
-    "meta struct<`native-id`:string,`concept-id`:string,GranuleUR:string,granule_ur:string,`revision-date`:string,revision_date:string,updated:string>,"
+    "meta struct<`native-id`:string,`concept-id`:string,GranuleUR:string,granule_ur:string,`revision-date`:string,revision_date:string>,"
     "umm struct<GranuleUR:string,TemporalExtent:struct<RangeDateTime:struct<BeginningDateTime:string,EndingDateTime:string>,SingleDateTime:string>>,"
-    "granule_ur string, time_start string, time_end string, data_links array<string>"
+    "GranuleUR string, granule_ur string, id string, time_start string, time_end string, updated string, links array<string>, data_links array<string>"
 )
 
 
@@ -50,21 +50,32 @@ def normalise(records: DataFrame, concept_id: str) -> DataFrame:
     A record without any identifier raises an error.
     """
     text = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
-    name = F.coalesce(*[text(c) for c in ("meta.native-id", "meta.concept-id", "meta.GranuleUR", "meta.granule_ur", "umm.GranuleUR", "granule_ur")])
+    name = F.coalesce(*[text(c) for c in ("meta.native-id", "meta.concept-id", "meta.GranuleUR", "meta.granule_ur", "umm.GranuleUR", "GranuleUR", "granule_ur", "id")])
     extent = "umm.TemporalExtent"
+    # A string or an object; an object that is read as a string is its JSON text.
+    inner = lambda c, path: F.when(c.startswith("{"), F.get_json_object(c, path)).otherwise(c)
+    single = utc(inner(F.col(f"{extent}.SingleDateTime"), "$.Time"))
+    own = lambda c: F.when(F.size(c) > 0, F.col(c))
+    links = F.transform(F.coalesce(own("links"), own("data_links")), lambda x: inner(x, "$.href"))
     return records.select(
         F.coalesce(name, F.raise_error(F.lit("catalog record without an identifier"))).alias("granule_id"),
         F.lit(concept_id).alias("concept_id"),
-        F.coalesce(*[utc(F.col(c)) for c in (f"{extent}.RangeDateTime.BeginningDateTime", f"{extent}.SingleDateTime", "time_start")]).alias("acquisition_start"),
-        F.coalesce(*[utc(F.col(c)) for c in (f"{extent}.RangeDateTime.EndingDateTime", f"{extent}.SingleDateTime", "time_end")]).alias("acquisition_end"),
-        preferred_url(F.col("data_links")).alias("download_url"),
-        F.coalesce(*[utc(F.col(c)) for c in ("meta.revision-date", "meta.revision_date", "meta.updated")]).alias("cmr_revision_at"),
+        F.coalesce(*[utc(F.col(c)) for c in (f"{extent}.RangeDateTime.BeginningDateTime",)], single, utc(F.col("time_start"))).alias("acquisition_start"),
+        F.coalesce(*[utc(F.col(c)) for c in (f"{extent}.RangeDateTime.EndingDateTime",)], single, utc(F.col("time_end"))).alias("acquisition_end"),
+        preferred_url(links).alias("download_url"),
+        F.coalesce(*[utc(F.col(c)) for c in ("meta.revision-date", "meta.revision_date", "updated")]).alias("cmr_revision_at"),
     )
 
 
+def as_records(spark: SparkSession, found: list[dict]) -> DataFrame:
+    """Records of a search as rows; a page of a search is small."""
+    rows = spark.createDataFrame([(json.dumps(r, default=str),) for r in found], "value string")
+    return rows.select(F.from_json("value", RECORD).alias("r")).select("r.*")
+
+
 def discover(spark: SparkSession, search: Callable[[str, str, str], list[dict]], concept_id: str, **bounds) -> DataFrame:
     """Runs the injected search for a window and normalises what it finds."""
-    return normalise(spark.createDataFrame(search(concept_id, *window(**bounds)), RECORD), concept_id)
+    return normalise(as_records(spark, search(concept_id, *window(**bounds))), concept_id)
 
 
 def discover_manifest(spark: SparkSession, path: str, concept_id: str) -> DataFrame:
