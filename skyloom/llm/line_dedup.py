@@ -128,7 +128,8 @@ def _group_edges(members: DataFrame, texts, percent: int) -> DataFrame:
     dealt = told.select("big", F.expr("cast(pmod(xxhash64(id), parts) as int)").alias("part"), "id", "c", "centre", "n", "lacks", "has")
     outside = told.where("c <> big").select("big", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), *[F.col(k).alias(f"_{k}") for k in ("id", "c", "n", "lacks", "has")])
     inter = "(centre - size(array_union(lacks, _lacks)) + size(array_intersect(has, _has)))"
-    close = f"_c <> c and least(n, _n) * 100L >= greatest(n, _n) * {percent}L and {inter} * (100L + {percent}) >= (n + _n) * {percent}L"
+    most = "(centre - greatest(size(lacks), size(_lacks)) + least(size(has), size(_has)))"  # by sizes alone
+    close = "_c <> c and " + " and ".join(f"{x} * (100L + {percent}) >= (n + _n) * {percent}L" for x in ("least(n, _n)", most, inter))
     return outside.join(dealt, ["big", "part"]).where(close).select(F.col("_id").alias("u"), F.col("id").alias("v"))
 
 
