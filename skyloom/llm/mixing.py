@@ -2,7 +2,8 @@
 
 Token weights of (source, language, topic) cells are raked to three marginals.  Sources may be
 many, so their factors stay in a DataFrame: one cycle is one aggregation over the cells that
-returns a number per (language, topic); languages and topics are bounded vocabularies.
+returns a number per (language, topic).  Where languages and topics are many too, all factors stay
+in DataFrames (``_rake_tables``); both ways make the same steps.
 """
 
 from __future__ import annotations
@@ -12,13 +13,13 @@ import warnings
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import durable
+from skyloom.llm.common import drop_table, durable
 
 KEEP = 0.7
 EVEN = 0.8
 CYCLES = 30
 TOLERANCE = 1e-6
-MAX_SMALL = 10_000
+MAX_SMALL = 10_000  # pairs of language and topic whose masses the driver holds
 SEED = "mix-1"
 
 
@@ -55,25 +56,55 @@ def _shares(given: dict, sizes: dict) -> dict:
     return {k: v / total for k, v in out.items()}
 
 
+def _goals(cells: DataFrame, axis: str, given: dict | None, power: float) -> DataFrame:
+    """(axis, goal) as ``_shares`` or ``_even`` give them, for any number of values."""
+    sizes = cells.groupBy(axis).agg(F.sum("n").cast("double").alias("size"))
+    if given:
+        named = cells.sparkSession.createDataFrame([(k, max(0.0, float(v))) for k, v in given.items()], f"{axis} string, share double")
+        sizes = durable(sizes.join(named, axis, "left"), "goals")
+        r = sizes.agg(F.coalesce(F.sum("share"), F.lit(0.0)).alias("named"), F.sum(F.when(F.col("share").isNull(), F.col("size"))).alias("rest")).first()
+        spare = max(0.0, 1 - r.named) / r.rest if r.rest else 0.0
+        sizes = sizes.select(axis, F.coalesce("share", F.col("size") * spare).alias("goal"))
+    else:
+        sizes = sizes.select(axis, F.pow("size", F.lit(power)).alias("goal"))
+    sizes = durable(sizes, "goals")
+    total = sizes.agg(F.sum("goal").alias("g")).first().g or 1.0
+    return sizes.select(axis, (F.col("goal") / total).alias("goal"))
+
+
+def _rake_tables(cells: DataFrame, total: int, goals: dict[str, DataFrame], cycles: int) -> tuple[DataFrame, list[float]]:
+    """The cycles of ``rake`` with a weight per cell in a table and masses per value in tables."""
+
+    def masses(x: DataFrame, axis: str) -> DataFrame:
+        return x.groupBy(axis).agg(F.sum(F.col("w") * F.col("n") / total).alias("m")).join(goals[axis], axis)
+
+    def scaled(x: DataFrame, axis: str) -> DataFrame:
+        factor = masses(x, axis).select(axis, F.when(F.col("m") > 0, F.col("goal") / F.col("m")).otherwise(0.0 if axis == "source" else 1.0).alias("f"))
+        return x.join(factor, axis).select("source", "lang", "topic", "n", (F.col("w") * F.col("f")).alias("w"))
+
+    x, errors = durable(scaled(cells.select("source", "lang", "topic", "n", F.lit(1.0).alias("w")), "source"), "raked"), []
+    for _ in range(cycles):
+        off = [masses(x, axis).agg(F.max(F.abs(F.col("m") - F.col("goal"))).alias("e")).first().e for axis in ("lang", "topic")]
+        errors.append(max(off))
+        if errors[-1] < TOLERANCE:
+            break
+        before, x = x, durable(scaled(scaled(scaled(x, "lang"), "topic"), "source"), "raked")
+        drop_table(before)
+    return x.withColumnRenamed("w", "weight"), errors
+
+
 def rake(cells: DataFrame, langs: dict | None = None, topics: dict | None = None, source_power: float = EVEN, sources: DataFrame | None = None, cycles: int = CYCLES) -> tuple[DataFrame, list[float]]:
     """(cells with column weight, largest error of each cycle).
 
     ``cells``: source, lang, topic, n (tokens).  Targets are shares: ``langs`` and ``topics`` as dicts,
     ``sources`` as (source, share); where none is given the actual share to the power ``source_power``,
-    normalised.  Weight is target mass over actual mass per token, 1 on average.
+    normalised.  Weight is target mass over actual mass per token, 1 on average.  No number of sources,
+    languages, topics or cells is bounded.
     """
     spark = cells.sparkSession
     total = cells.agg(F.sum("n").alias("n")).first().n or 0
     if not total:
         return cells.withColumn("weight", F.lit(1.0)), [0.0]
-    small = cells.groupBy("lang", "topic").agg(F.sum("n").alias("n")).limit(MAX_SMALL + 1).collect()
-    if len(small) > MAX_SMALL:
-        raise ValueError(f"more than {MAX_SMALL} pairs of language and topic; give a coarser language or topic")
-    l_size, t_size = {}, {}
-    for r in small:
-        l_size[r.lang], t_size[r.topic] = l_size.get(r.lang, 0) + r.n, t_size.get(r.topic, 0) + r.n
-    l_goal = _shares(langs, l_size) if langs else _even(l_size, source_power)
-    t_goal = _shares(topics, t_size) if topics else _even(t_size, source_power)
     by_source = cells.groupBy("source").agg(F.sum("n").alias("size"))
     if sources is not None:
         by_source = by_source.join(sources, "source", "left").withColumn("goal", F.coalesce("share", F.lit(0.0))).drop("share")
@@ -81,6 +112,14 @@ def rake(cells: DataFrame, langs: dict | None = None, topics: dict | None = None
         by_source = by_source.withColumn("goal", F.pow(F.col("size") / total, F.lit(source_power)))
     norm = by_source.agg(F.sum("goal").alias("g")).first().g
     goals = by_source.select("source", (F.col("goal") / norm).alias("goal"))
+    small = cells.groupBy("lang", "topic").agg(F.sum("n").alias("n")).limit(MAX_SMALL + 1).collect()
+    if len(small) > MAX_SMALL:
+        return _rake_tables(cells, total, {"source": goals, "lang": _goals(cells, "lang", langs, source_power), "topic": _goals(cells, "topic", topics, source_power)}, cycles)
+    l_size, t_size = {}, {}
+    for r in small:
+        l_size[r.lang], t_size[r.topic] = l_size.get(r.lang, 0) + r.n, t_size.get(r.topic, 0) + r.n
+    l_goal = _shares(langs, l_size) if langs else _even(l_size, source_power)
+    t_goal = _shares(topics, t_size) if topics else _even(t_size, source_power)
     # All cells of a source in one row: a source's factor then needs no shuffle.
     rows = durable(cells.join(goals, "source").groupBy("source", "goal").agg(F.collect_list(F.struct("lang", "topic", (F.col("n") / total).alias("n"))).alias("own")), "cells")
     b, c = dict.fromkeys(l_goal, 1.0), dict.fromkeys(t_goal, 1.0)

@@ -18,7 +18,9 @@ def brute(cells, lang, topic, source, cycles=200):
     return {k: x / (cells[k] / total) for k, x in w.items()}
 
 
-def test_raking_equals_brute_force(spark):
+@pytest.mark.parametrize("held", [mixing.MAX_SMALL, 11])
+def test_raking_equals_brute_force(spark, monkeypatch, held):
+    monkeypatch.setattr(mixing, "MAX_SMALL", held)
     cells = {(f"s{a}", f"l{b}", f"t{c}"): 1 + (a * 7 + b * 3 + c * 11) % 13 for a in range(5) for b in range(3) for c in range(4)}
     lang, topic = {"l0": 0.5, "l1": 0.3, "l2": 0.2}, {"t0": 0.1, "t1": 0.2, "t2": 0.3, "t3": 0.4}
     source = {f"s{a}": (a + 1) / 15 for a in range(5)}
@@ -46,3 +48,18 @@ def test_edges_of_the_input(spark):
     got = mixing.mixture(df).collect()
     assert len(got) == 4 and {r.lang for r in got} == {"(none)", "en"} and len({r.sampled for r in got if r.doc_id == 1}) == 1
     assert mixing.mixture(df.limit(0)).count() == 0
+
+
+def test_many_languages_and_topics_give_the_same_weights(spark, monkeypatch):
+    cells = [(f"s{a}", f"l{b}", f"t{c}", 1 + (a * 7 + b * 3 + c * 11) % 13) for a in range(4) for b in range(5) for c in range(4) if (a + b + c) % 5]
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, n long")
+    given = {"l0": 0.4, "l9": 0.1}
+    for langs in (None, given):
+        few, _ = mixing.rake(df, langs)
+        want = {(r.source, r.lang, r.topic): r.weight for r in few.collect()}
+        monkeypatch.setattr(mixing, "MAX_SMALL", 3)
+        many, errors = mixing.rake(df, langs)
+        monkeypatch.undo()
+        got = {(r.source, r.lang, r.topic): r.weight for r in many.collect()}
+        assert got.keys() == want.keys() and errors[-1] < 1e-4
+        assert all(got[k] == pytest.approx(w, rel=1e-6) for k, w in want.items())
