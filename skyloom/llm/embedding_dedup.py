@@ -135,16 +135,18 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block
     Links are pairs with cosine >= threshold (positive) in double precision.  Vectors that
     are null, empty, zero or hold null or non-finite components, and rows without an id, link
     with nothing; vectors of different length never link.  Equal vectors are one class with a
-    count, so copies cost one row.  Pivots: at most ``max_pivots`` vectors a length, those with the
+    count, so copies cost one row; rows of one id with different vectors are vectors of their own that
+    report the same id (all of them are kept where it is the smallest of its component).  Pivots: at most ``max_pivots`` vectors a length, those with the
     smallest digests (bounded; they only steer the work, every pair is covered).
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("embedding"))
     read = durable(rows.mapInArrow(_read, "vec_id long, embedding array<float>, valid boolean, digest binary, dims int" if dict(rows.dtypes)["embedding"] == "array<float>" else "vec_id long, embedding array<double>, valid boolean, digest binary, dims int"), "vectors")
-    classes = durable(read.where("valid").groupBy("digest", "dims").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")), "classes")
+    classes = durable(read.where("valid").groupBy("digest", "dims").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies")), "classes")
+    classes = durable(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     per_length = classes.groupBy("dims").agg(F.count("*").alias("n")).collect()
     kind = dict(rows.dtypes)["embedding"]
     own = read.where("valid").dropDuplicates(["vec_id", "digest"])
-    own = own.join(classes.select(F.col("id").alias("vec_id"), "digest", "copies"), ["vec_id", "digest"]).select(F.col("vec_id").alias("id"), "copies", "embedding", "dims", "digest")
+    own = own.join(classes.select(F.col("low").alias("vec_id"), "digest", "id", "copies"), ["vec_id", "digest"]).select("id", "copies", "embedding", "dims", "digest")
     own = durable(own, "representatives")
     pivots = {}
     for d, n in ((r.dims, r.n) for r in per_length):
@@ -163,7 +165,9 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block
     links = found.where("v is null").groupBy(F.col("u").alias("id")).agg(F.sum("links").alias("links"))
     found_components = components(found.where("v is not null").select("u", "v"))
     labelled = classes.join(links, "id", "left").join(found_components, "id", "left")
-    labelled = labelled.select("digest", F.expr("coalesce(links, 0) + copies - 1").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    labelled = labelled.select("digest", "low", F.expr("coalesce(links, 0) + copies - 1").alias("n_links"), F.coalesce("component", "id").alias("component"))
+    first = labelled.groupBy("component").agg(F.min("low").alias("component_id"))
+    labelled = labelled.join(first, "component").select("digest", "n_links", "component_id")
     out = read.select("vec_id", "digest").join(labelled, "digest", "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").isNull() | (F.col("vec_id") == F.col("component_id")))

@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skyloom.llm import embedding_dedup as ed
 
@@ -42,6 +43,13 @@ def test_edges_of_the_input(spark):
     assert ed.embedding_duplicates(df.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_with_different_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (4, [0.02, 1.0]), (0, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("id", F.lit("x")).withColumn("copies", F.lit(0)).withColumn("low", F.lit(0))
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in ed.embedding_duplicates(df).collect())
+    assert got == [(0, 0, 0, True), (1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (4, 2, 1, False)]
+
+
 def test_bounds_are_rigorous():
     x = np.random.default_rng(1).normal(size=(50, 32))
     x /= np.linalg.norm(x, axis=1)[:, None]
