@@ -16,10 +16,11 @@ HEAVY_SHARE, HEAVY_ROWS = 100_000, 2_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where that is unset (tests) a temporary one."""
+    """The folder of ``spark.checkpoint.dir``; where that is unset a temporary one in local mode (tests), else the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="skyloom-")
+        local = spark.conf.get("spark.master", "local").startswith("local")
+        folder = "file://" + tempfile.mkdtemp(prefix="skyloom-") if local else spark.conf.get("spark.sql.warehouse.dir")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
