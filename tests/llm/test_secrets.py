@@ -1,3 +1,5 @@
+import re
+
 from skyloom.llm import secrets as sc
 
 
@@ -46,3 +48,20 @@ def test_long_values_and_whole_keys(spark):
     cut = "-----BEGIN PRIVATE KEY-----\n" + body
     assert [how for *_, how in sc.candidates(cut)] == ["key"] + ["long"] * 24
     assert len(list(sc.candidates("-----BEGIN PRIVATE KEY-----\n" * 20_000 + "-" * 200_000))) == 20_000
+
+
+def test_planted_secrets_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = {(r.doc_id, r.start): r.secret for r in sc.scan(docs).collect()}
+    planted = {(r.doc_id, m.start(1)) for r in docs.collect() for m in re.finditer(r'(?i)\btoken = "([0-9a-f]{32,})"', r.text or "")}
+    assert len(planted) > 100 and planted <= got.keys()
+    assert sum(got[k] for k in planted) >= 0.99 * len(planted)
+
+
+def test_clashing_columns_and_repeated_rows(spark):
+    text = 'token = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f" and token = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f"'
+    df = spark.createDataFrame([(1, text, None)] * 2, "doc_id long, text string, source string")
+    wide = df.selectExpr("*", *[f"'x' as {c}" for c in ("start", "score", "secret", "features", "probability", "prediction", "path", "x")])
+    rows = sorted(tuple(r) for r in sc.scan(wide).collect())
+    assert rows == sorted(tuple(r) for r in sc.scan(df).collect())
+    assert len(rows) == 4 and [r[1] for r in rows] == [9, 9, text.rindex('9c8b'), text.rindex('9c8b')] and all(r[-1] for r in rows)
