@@ -459,15 +459,26 @@ def sortedness_check_orders(spark, sf_dir):
     return checks.unsorted(table(spark, sf_dir, "orders"), ["o_custkey"])
 
 
-_GRID = """(select r as grid_row, c as grid_col, 14.01 + r * 0.02 as lat, -167.99 + c * 0.02 as lon from range(2950) a(r), range(0, 7750, 250) b(c))"""
-
-
-@query(f"select cast(grid_row as bigint) as grid_row, cast(grid_col as bigint) as grid_col, round(lat, 9) as latitude, round(lon, 9) as longitude, round(power(6371.0088, 2) * radians(0.02) * abs(sin(radians(lat + 0.01)) - sin(radians(lat - 0.01))), 9) as cell_area_km2 from {_GRID}".replace("14.01", "14.01::double").replace("0.02", "0.02::double"))
+@query(
+    """with g as (select r, c, 14.01::double + r * 0.02::double as lat, -167.99::double + c * 0.02::double as lon from range(2950) a(r), range(7750) b(c)),
+    cells as (select r, lat, lon, round(power(6371.0088::double, 2) * radians(0.02::double) * abs(sin(radians(lat + 0.01::double)) - sin(radians(lat - 0.01::double))), 9) as area from g)
+    select cast(r as bigint) as grid_row, count(*) as cells, round(min(lat), 9) as latitude, round(min(lon), 9) as west, round(max(lon), 9) as east,
+      cast(sum(cast(round(lon * 100) as bigint)) as bigint) as centres, min(area) as smallest_km2, max(area) as largest_km2 from cells group by 1"""
+)
 def cell_area(spark, sf_dir):
-    """Area and centre of grid cells."""
-    grid = spark.range(exprs.GRID_ROWS).withColumnRenamed("id", "grid_row").crossJoin(spark.range(0, exprs.GRID_COLS, 250).withColumnRenamed("id", "grid_col"))
-    lat, lon = exprs.cell_latitude(F.col("grid_row")), exprs.cell_longitude(F.col("grid_col"))
-    return grid.select("grid_row", "grid_col", F.round(lat, 9).alias("latitude"), F.round(lon, 9).alias("longitude"), F.round(exprs.cell_area_km2(lat), 9).alias("cell_area_km2"))
+    """Areas and centres of all 22.9 million cells of the grid, summed up by row (``centres``: in hundredths of a degree)."""
+    grid = spark.range(exprs.GRID_ROWS * exprs.GRID_COLS).select(F.expr(f"id div {exprs.GRID_COLS}").alias("grid_row"), F.expr(f"id % {exprs.GRID_COLS}").alias("grid_col"))
+    lat = exprs.cell_latitude(F.col("grid_row"))
+    cells = grid.select("grid_row", lat.alias("lat"), exprs.cell_longitude(F.col("grid_col")).alias("lon"), F.round(exprs.cell_area_km2(lat), 9).alias("area"))
+    return cells.groupBy("grid_row").agg(
+        F.count("*").alias("cells"),
+        F.round(F.min("lat"), 9).alias("latitude"),
+        F.round(F.min("lon"), 9).alias("west"),
+        F.round(F.max("lon"), 9).alias("east"),
+        F.sum(F.round(F.col("lon") * 100).cast("long")).alias("centres"),
+        F.min("area").alias("smallest_km2"),
+        F.max("area").alias("largest_km2"),
+    )
 
 
 @query(

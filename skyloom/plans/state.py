@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -24,18 +23,19 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._log, self._last = [], None
         state = self._load()
         if state.get("schema_version", SCHEMA_VERSION) != SCHEMA_VERSION:
             raise ValueError(f"{root} has schema version {state['schema_version']}; this build writes {SCHEMA_VERSION}")
 
     def _load(self) -> dict:
-        try:
-            last = self.spark.read.schema("version long, state string").json(f"{self.root}/pointer").agg(F.max_by("state", "version").alias("s")).first().s
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            last = None
-        return json.loads(last) if last else {"tables": {}, "revision": 0, "schema_version": SCHEMA_VERSION, "version": 0}
+        """The pointer's last state; its log is only read again if files were added to it (a listing, no job)."""
+        log = sorted(name for name in self._list(f"{self.root}/pointer") if name.startswith("part-"))
+        if log != self._log:
+            rows = self.spark.read.schema("version long, state string").json(f"{self.root}/pointer")
+            self._last = rows.agg(F.max_by("state", "version").alias("s")).first().s
+            self._log = log
+        return json.loads(self._last) if self._last else {"tables": {}, "revision": 0, "schema_version": SCHEMA_VERSION, "version": 0}
 
     def _point(self, state: dict) -> None:
         """Append one row to the pointer's log; the highest version counts, so this is the commit."""
