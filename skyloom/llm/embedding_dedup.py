@@ -62,7 +62,7 @@ def _read(batches):
 
 
 def _units(column) -> np.ndarray:
-    x = np.array(column.to_pylist(), dtype=np.float64)
+    x = column.flatten().to_numpy().astype(np.float64).reshape(len(column), -1)
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
@@ -80,39 +80,44 @@ def _cells(pivots: dict[int, np.ndarray]):
 
 
 def _deal(pivots: dict[int, np.ndarray], cells: dict[tuple[int, int], tuple[float, int]], reach: float):
-    """Sends each vector to the tiles (own block, other block) where it can have a partner."""
+    """Sends each vector, as bytes, to the tiles (own block, other block) where it can have a partner; blocks are numbered."""
+    ends = np.cumsum([blocks for _, blocks in cells.values()])
+    start = {k: int(end) - blocks for (k, (_, blocks)), end in zip(cells.items(), ends, strict=True)}
 
     def run(batches):
         for batch in batches:
             index, lows, highs, sides = [], [], [], []
             rows = zip(*(batch.column(c).to_pylist() for c in ("dims", "cell", "block")), strict=True)
-            dims = batch.column("dims").to_numpy()
+            dims, raw = batch.column("dims").to_numpy(), [b""] * len(batch)
             angles = {}
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
-                angles[int(d)] = dict(zip(at.tolist(), np.arccos(np.clip(_units(batch.column("embedding").take(pa.array(at))) @ pivots[int(d)].T, -1, 1)), strict=True))
+                vectors = batch.column("embedding").take(pa.array(at))
+                angles[int(d)] = dict(zip(at.tolist(), np.arccos(np.clip(_units(vectors) @ pivots[int(d)].T, -1, 1)), strict=True))
+                for k, x in zip(at.tolist(), vectors.flatten().to_numpy().reshape(len(at), -1), strict=True):
+                    raw[k] = x.tobytes()
             for k, (d, cell, block) in enumerate(rows):
-                own, angle = f"{d}:{cell}:{block}", angles[d][k]
+                own, angle = start[d, cell] + block, angles[d][k]
                 for c in range(len(angle)):
                     radius, blocks = cells.get((d, c), (0.0, 0))
                     if blocks and (c == cell or angle[c] <= radius + reach):
-                        for b in range(blocks):
-                            other = f"{d}:{c}:{b}"
+                        for other in range(start[d, c], start[d, c] + blocks):
                             index.append(k), lows.append(min(own, other)), highs.append(max(own, other)), sides.append(0 if own <= other else 1)
-            keep = batch.take(pa.array(index, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*(keep.column(c) for c in ("id", "copies", "embedding")), pa.array(lows, pa.string()), pa.array(highs, pa.string()), pa.array(sides, pa.int32())], names=["id", "copies", "embedding", "low", "high", "side"])
+            keep = pa.array(index, pa.int64())
+            sent = [batch.column("id").take(keep), batch.column("copies").take(keep), pa.array(raw, pa.binary()).take(keep)]
+            yield pa.RecordBatch.from_arrays([*sent, pa.array(lows, pa.int64()), pa.array(highs, pa.int64()), pa.array(sides, pa.int32())], names=["id", "copies", "embedding", "low", "high", "side"])
 
     return run
 
 
-def _tile(threshold: float):
+def _tile(threshold: float, kind: type):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
         same = pdf.low.iloc[0] == pdf.high.iloc[0]
         left, right = (pdf, pdf) if same else (pdf[pdf.side == 0], pdf[pdf.side == 1])
         out = []
         if len(left) and len(right):
-            x, y = (np.array(p.embedding.tolist(), dtype=np.float64) for p in (left, right))
+            x, y = (np.frombuffer(b"".join(p.embedding), dtype=kind).reshape(len(p), -1).astype(np.float64) for p in (left, right))
             linked = close_pairs(x, y, threshold)
             if same:
                 linked |= linked.T
@@ -160,8 +165,8 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block
     cells = {(r.dims, r.cell): (r.r + SLACK, -(-r.n // block)) for r in sizes}
     counts = vectors.sparkSession.createDataFrame([(d, c, b) for (d, c), (_, b) in cells.items()], "dims int, cell int, blocks int")
     placed = placed.join(F.broadcast(counts), ["dims", "cell"]).withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
-    dealt = placed.mapInArrow(_deal(pivots, cells, math.acos(threshold) + 1e-7), f"id long, copies long, embedding {kind}, low string, high string, side int")
-    found = durable(dealt.groupBy("low", "high").applyInPandas(_tile(threshold), "u long, v long, links long"), "tiles")
+    dealt = placed.mapInArrow(_deal(pivots, cells, math.acos(threshold) + 1e-7), "id long, copies long, embedding binary, low long, high long, side int")
+    found = durable(dealt.groupBy("low", "high").applyInPandas(_tile(threshold, np.float32 if kind == "array<float>" else np.float64), "u long, v long, links long"), "tiles")
     links = found.where("v is null").groupBy(F.col("u").alias("id")).agg(F.sum("links").alias("links"))
     found_components = components(found.where("v is not null").select("u", "v"))
     labelled = classes.join(links, "id", "left").join(found_components, "id", "left")
