@@ -1,4 +1,6 @@
-"""Line dedup: fuzzy lines by MinHash, with DataFrame and SQL functions only.
+"""Line dedup: fuzzy lines by MinHash.
+
+Signatures and candidate pairs are worked in Arrow batches, everything else with DataFrame and SQL functions.
 
 Lines that are equal after trimming and lower-casing are one line from the start.  A distinct
 line's signature is the sorted array of its ``SKETCH`` smallest shingle hashes (bottom-k MinHash), its
@@ -9,12 +11,15 @@ enough.  Of each component the first line (smallest doc_id, then line number) st
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm.common import MAX_LONG, drop_table, durable, free_shuffles, link_components, rows_of
+from skyloom.llm.shingles import WIDTH, chunks, runs, similar, smallest, units_of
 
-SHINGLE = 8
+SHINGLE = WIDTH
 PERCENT = 80
 SKETCH = 64
 RUN = 4
@@ -22,9 +27,6 @@ BANDS = 20  # runs that a line of more shingles takes as bands, on average
 BLOCK = 4096  # places hashed at once, so that very long lines need little memory
 GROUP_ROWS = 512
 
-_ALL = "9223372036854775807L"
-
-
 def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_id (hash of the whole text), line_no (from 0), row (a number of its own), id, check (hashes of the
     normalised line) and line of every line that isn't blank."""
@@ -55,12 +57,10 @@ def _apart(lines: DataFrame) -> DataFrame:
     return durable(lines.join(shared, "id", "left").withColumn("id", own).drop("low"), "lines")
 
 
-def _hashes(units: str, places: str, most: str = _ALL) -> str:
-    """SQL for the hashes, up to ``most``, of the shingles of a line in UTF-16BE (so that every place is reached at once)."""
+def _hashes(units: str, places: str) -> str:
+    """SQL for the hashes of the shingles of a line in UTF-16BE (so that every place is reached at once)."""
     block = f"sequence(2 * s + 1, 2 * least(s + {BLOCK}, {places}) - 1, 2)"
     hashed = f"transform({block}, i -> xxhash64(substring(t, i, {2 * SHINGLE})))"
-    if most != _ALL:
-        hashed = f"filter({hashed}, h -> h <= {most})"
     # As a variable of a lambda the line is passed on, as a column it would be copied for every place.
     return f"transform(array({units}), t -> flatten(transform(sequence(0, {places} - 1, {BLOCK}), s -> {hashed})))[0]"
 
@@ -76,29 +76,41 @@ def _once(df: DataFrame, keep: list[str], **columns: str) -> DataFrame:
     return df.select(*keep, F.expr(f"inline(array(struct({fields})))").alias(*columns))
 
 
+def _bands(batches):
+    for batch in batches:
+        units, ends = units_of(batch.column("b"))
+        for first, last in chunks(np.diff(ends)):
+            value, row = smallest(units, ends[first : last + 1], SKETCH + 1)
+            key, row = runs(value, row, SKETCH, RUN, BANDS)
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row + first)), pa.array(key)], names=["id", "key"])
+
+
 def _keys(lines: DataFrame) -> DataFrame:
     """(id, key) for every band of the distinct lines (id, line).
 
     Bands are functions of a line's set of shingles alone.  Sets of up to ``SKETCH`` shingles have a run at
     each element, around the end to the beginning; at a similarity of 0.8 one run at least is in
-    both.  Larger ones have their smallest ``SKETCH``; which runs become bands is drawn by other bits of the
-    first hash, so that similar lines draw alike.  For long lines only hashes up to a bound are
-    sorted; if repeats leave too few, all of them are.
+    both.  Larger ones have their smallest ``SKETCH``, of which runs are drawn as bands.
     """
-    bound = f"case when n <= {2 * SKETCH} then {_ALL} else cast({2 * SKETCH} / cast(n as double) * 18446744073709551616D - 9223372036854775808D as bigint) end"
-    smallest = f"slice(sort_array(array_distinct({{}})), 1, {SKETCH + 1})"
-    rows = _once(_coded(lines, "id"), ["id"], b="b", n="n", most=bound)
-    rows = _once(rows, ["id", "b", "n"], s=smallest.format(_hashes("b", "n", "most")))
-    rows = _once(rows, ["id"], s=f"case when n > {2 * SKETCH} and size(s) < {SKETCH} then {smallest.format(_hashes('b', 'n'))} else s end")
-    rows = rows.select("id", "s", F.expr(f"least(size(s), {SKETCH})").alias("m"), F.expr(f"size(s) > {SKETCH}").alias("more"))
-    starts = F.expr(f"sequence(0, case when more then m - {RUN} else m - 1 end)")
-    rows = rows.select("id", "s", "m", F.explode(starts).alias("i")).where(f"(get(s, i) & 4294967295) < {BANDS} * 4294967296L / m")
-    run = ", ".join(f"get(s, (i + {j}) % m)" for j in range(RUN))
-    return rows.select("id", F.expr(f"xxhash64({run})").alias("key"))
+    return lines.select("id", F.expr("encode(line, 'UTF-16LE')").alias("b")).mapInArrow(_bands, "id long, key long")
 
 
-def _similar(x: str, y: str, percent: int) -> Column:
-    return F.expr(f"size(array_intersect({x}, {y})) * 100L >= size(array_union({x}, {y})) * {percent}L")
+def _compare(percent: int):
+    def run(batches):
+        for batch in batches:
+            linked = pa.array(similar(units_of(batch.column("x")), units_of(batch.column("y")), percent))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(linked) for c in ("a", "b")], names=["a", "b"])
+
+    return run
+
+
+def _linked(pairs: DataFrame, texts, percent: int) -> DataFrame:
+    """The pairs (a, b) of similar lines."""
+    own = durable(texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()), "texts")
+    both = pairs.select("a", "b").join(own.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
+    both = both.join(own.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
+    both = both.select("a", "b", *[F.expr(f"encode({c}, 'UTF-16LE')").alias(c) for c in "xy"])
+    return both.mapInArrow(_compare(percent), "a long, b long")
 
 
 def _both(pairs: DataFrame, texts) -> DataFrame:
@@ -143,7 +155,7 @@ def _decisions(docs: DataFrame, percent: int, open_limit: int = 500, id_col: str
         return rows_of(lines.select("id", "line"), ids).dropDuplicates(["id"])
 
     def verify(pairs: DataFrame) -> DataFrame:
-        return _both(pairs, texts).where(_similar("x", "y", percent)).select("a", "b")
+        return _linked(pairs, texts, percent)
 
     found = link_components(keys, None, percent, open_limit, lambda wide: _group_edges(wide, texts, percent), verify, rule_out=False)
     drop_table(keys)

@@ -1,0 +1,193 @@
+"""Shingles of many lines at once, on numpy arrays.
+
+A line is a run of UTF-16 units, a shingle ``WIDTH`` units in a row (a shorter line is one shingle).
+Lines are worked in chunks of ``CHUNK`` units, a longer line in blocks, so memory doesn't grow
+with a batch or a line.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+
+WIDTH = 8  # two 64-bit words of four units
+CHUNK = 1 << 20
+LONG = 1 << 16  # pairs of more units are compared by all 64 bits of their hashes, one at a time
+BITS = 44  # of a hash beside its row's number, where many rows are sorted at once
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
+_DROP = np.uint64(64 - BITS)
+
+
+def units_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(units, ends) of a column of UTF-16LE bytes: row i is ``units[ends[i]:ends[i + 1]]``."""
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    return np.frombuffer(data if data is not None else b"", np.uint16, count=int(ends[-1]) // 2), ends // 2
+
+
+def chunks(sizes: np.ndarray, most: int = CHUNK) -> Iterator[tuple[int, int]]:
+    """Runs of rows (first, last + 1) of up to ``most`` units together, or a single longer row."""
+    total, first = np.concatenate(([0], np.cumsum(sizes))), 0
+    while first < len(sizes):
+        last = max(first + 1, int(np.searchsorted(total, total[first] + most, "right")) - 1)
+        yield first, last
+        first = last
+
+
+def mixed(a: np.ndarray) -> np.ndarray:
+    a = a * _ODD[1]
+    a ^= a >> np.uint64(29)
+    a *= _ODD[2]
+    a ^= a >> np.uint64(32)
+    return a
+
+
+def _hash(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    h = low * _ODD[0]
+    h ^= h >> np.uint64(32)
+    h += high
+    return mixed(h)
+
+
+def hashes(units: np.ndarray) -> np.ndarray:
+    """The hash of the shingle at every place of at least ``WIDTH`` units."""
+    n = len(units) - WIDTH + 1
+    words = np.array(np.ndarray((n + 4,), "<u8", np.ascontiguousarray(units), strides=(2,)))
+    return _hash(words[:n], words[4:])
+
+
+def _short(units: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The hash of each line of fewer than ``WIDTH`` units."""
+    padded = np.zeros((len(start), WIDTH), np.uint16)
+    for k in range(WIDTH - 1):
+        has = sizes > k
+        padded[has, k] = units[start[has] + k]
+    words = padded.view("<u8")
+    return mixed(_hash(words[:, 0], words[:, 1]) ^ sizes.astype(np.uint64))
+
+
+def all_hashes(units: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row, valid) for every place of the rows ``ends``; places where no shingle begins are not valid."""
+    units, ends = units[ends[0] : ends[-1]], ends - ends[0]
+    start, sizes = ends[:-1], np.diff(ends)
+    row, valid, h = np.repeat(np.arange(len(sizes)), sizes), np.ones(len(units), bool), np.zeros(len(units), np.uint64)
+    if len(units) >= WIDTH:
+        h[: len(units) - WIDTH + 1] = hashes(units)
+    for k in range(1, WIDTH):
+        at = ends[1:] - k
+        valid[at[at >= start]] = False
+    short = np.flatnonzero((sizes < WIDTH) & (sizes > 0))
+    if len(short):
+        h[start[short]], valid[start[short]] = _short(units, start[short], sizes[short]), True
+    return h, row, valid
+
+
+def _ranks(row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, count, rank) of every element of sorted rows; start and count are those of its row."""
+    first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+    count = np.diff(np.concatenate((first, [len(row)])))
+    start = np.repeat(first, count)
+    return start, np.repeat(count, count), np.arange(len(row)) - start
+
+
+def _distinct(h: np.ndarray, row: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(value, row) of the ``most`` smallest distinct hashes of each row, in order."""
+    code = np.sort((row.astype(np.uint64) << np.uint64(BITS)) | (h >> _DROP))
+    code = code[np.concatenate(([True], code[1:] != code[:-1]))] if len(code) else code
+    row = (code >> np.uint64(BITS)).astype(np.int64)
+    if len(row):
+        keep = _ranks(row)[2] < most
+        code, row = code[keep], row[keep]
+    return code & np.uint64((1 << BITS) - 1), row
+
+
+def smallest(units: np.ndarray, ends: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(value, row) of the ``most`` smallest distinct shingle hashes of each row, in order.
+
+    Of long rows only hashes up to a bound are sorted; if repeats leave too few, all of them are.
+    """
+    sizes = np.diff(ends)
+    if len(sizes) == 1 and sizes[0] > CHUNK:
+        own, best = units[ends[0] : ends[1]], np.zeros(0, np.uint64)
+        for s in range(0, len(own) - WIDTH + 1, CHUNK):
+            best = np.unique(np.concatenate((best, hashes(own[s : s + CHUNK + WIDTH - 1]) >> _DROP)))[:most]
+        return best, np.zeros(len(best), np.int64)
+    h, row, valid = all_hashes(units, ends)
+    bound = np.full(len(sizes), np.uint64(2**64 - 1))
+    many = sizes - WIDTH + 1 > 2 * most
+    bound[many] = (2.0 * most / (sizes[many] - WIDTH + 1) * 2.0**64).astype(np.uint64)
+    keep = valid & (h <= bound[row])
+    value, of = _distinct(h[keep], row[keep], most)
+    few = many & (np.bincount(of, minlength=len(sizes)) < most)
+    if few.any():
+        again = valid & few[row]
+        more, theirs = _distinct(h[again], row[again], most)
+        value, of = np.concatenate((value[~few[of]], more)), np.concatenate((of[~few[of]], theirs))
+        order = np.lexsort((value, of))
+        value, of = value[order], of[order]
+    return value, of
+
+
+def runs(value: np.ndarray, row: np.ndarray, sketch: int, run: int, bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row) of the bands of signatures of up to ``sketch`` + 1 values, which tells whether there are more.
+
+    Bands are runs of ``run`` neighbours.  Rows of up to ``sketch`` values have a run at each, around the end to the
+    beginning; larger ones only inside their ``sketch`` smallest.  Other bits of a run's first value draw
+    which ones become bands, ``bands`` a row on average, so that similar rows draw alike.
+    """
+    if not len(value):
+        return np.zeros(0, np.int64), row
+    start, count, rank = _ranks(row)
+    size = np.minimum(count, sketch)
+    last = np.where(count > sketch, size - run, size - 1)
+    drawn = (mixed(value) >> np.uint64(32)) * size.astype(np.uint64) < np.uint64(bands << 32)
+    at = np.flatnonzero((rank <= last) & drawn)
+    key = np.zeros(len(at), np.uint64)
+    for j in range(run):
+        key = mixed(key + value[start[at] + (rank[at] + j) % size[at]] + _ODD[0])
+    return key.view(np.int64), row[at]
+
+
+def _exactly(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    a, b = ({w[k : k + 2 * WIDTH] for k in range(0, max(len(w) - 2 * WIDTH, 0) + 1, 2)} for w in (x.tobytes(), y.tobytes()))
+    inter = len(a & b)
+    return inter * 100 >= (len(a) + len(b) - inter) * percent
+
+
+def _own(units: np.ndarray) -> np.ndarray:
+    """The distinct hashes of one line, by blocks."""
+    if len(units) < WIDTH:
+        return _short(units, np.zeros(1, np.int64), np.array([len(units)]))
+    return np.unique(np.concatenate([np.unique(hashes(units[s : s + CHUNK + WIDTH - 1])) for s in range(0, len(units) - WIDTH + 1, CHUNK)]))
+
+
+def similar(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], percent: int) -> np.ndarray:
+    """Whether row i of x and row i of y have a Jaccard similarity of ``percent`` / 100 or more.
+
+    Where equal hashes of two different shingles could turn the answer, the shingles themselves are compared.
+    """
+    (xu, xe), (yu, ye) = x, y
+    out = np.zeros(len(xe) - 1, bool)
+    for first, last in chunks(np.diff(xe) + np.diff(ye)):
+        if last - first == 1 and xe[last] - xe[first] + ye[last] - ye[first] > LONG:
+            a, b = _own(xu[xe[first] : xe[last]]), _own(yu[ye[first] : ye[last]])
+            inter = len(np.intersect1d(a, b, assume_unique=True))
+            out[first] = inter * 100 >= (len(a) + len(b) - inter) * percent
+            continue
+        codes = []
+        for side, (units, ends) in enumerate((x, y)):
+            h, row, valid = all_hashes(units, ends[first : last + 1])
+            code = (row.astype(np.uint64) << np.uint64(BITS + 1)) | (h >> _DROP << np.uint64(1)) | np.uint64(side)
+            codes.append(code[valid])
+        code = np.sort(np.concatenate(codes))
+        code = code[np.concatenate(([True], code[1:] != code[:-1]))] if len(code) else code
+        row, n = (code >> np.uint64(BITS + 1)).astype(np.int64), last - first
+        inter = np.bincount(row[1:][code[1:] >> np.uint64(1) == code[:-1] >> np.uint64(1)], minlength=n)
+        gap = 100 * inter - percent * (np.bincount(row, minlength=n) - inter)
+        out[first:last] = gap >= 0
+        for i in first + np.flatnonzero(np.abs(gap) <= 100 + percent):
+            out[i] = _exactly(xu[xe[i] : xe[i + 1]], yu[ye[i] : ye[i + 1]], percent)
+    return out
