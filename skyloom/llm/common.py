@@ -139,8 +139,8 @@ def verify_pairs(pairs: DataFrame, sets_of, percent: int) -> DataFrame:
     return both.where(similar_enough(inter, F.size("sa"), F.size("sb"), percent)).select("a", "b")
 
 
-def _members(keys: DataFrame) -> DataFrame:
-    """(key, id, p) for the keys of several ids, p the smallest of them; ``keys``: durable, distinct (key, id).
+def _members(keys: DataFrame, repeats: bool = False) -> DataFrame:
+    """(key, id, p) for the keys of several ids, p the smallest of them; ``keys``: durable (key, id), distinct but for ``repeats``.
 
     Keys meet in one shuffle, used twice.  Those that a sample shows to hold more than 1 / ``HEAVY_SHARE`` of the
     rows, ``HEAVY_SHARE`` at most, are broadcast instead, so their rows stay where they are.
@@ -149,12 +149,13 @@ def _members(keys: DataFrame) -> DataFrame:
     sampled = keys.sample(0.01, seed=1).groupBy("key").agg(F.count("*").alias("k")).where(f"k >= {HEAVY_ROWS // 100}")
     heavy = durable(sampled.where(F.col("k") * HEAVY_SHARE >= keys.count() * 0.01).select("key"), "heavy")
     smallest = lambda rows: rows.groupBy("key").agg(F.min("id").alias("p"), F.max("id").alias("q")).where("p < q").select("key", "p")
+    once = lambda rows: rows.dropDuplicates(["key", "id"]) if repeats else rows
     if heavy.isEmpty():
         dealt = keys.select("key", "id").repartition("key")
-        return dealt.join(smallest(dealt).hint("shuffle_hash"), "key")
+        return once(dealt.join(smallest(dealt).hint("shuffle_hash"), "key"))
     dealt = keys.select("key", "id").join(F.broadcast(heavy), "key", "left_anti").repartition("key")
     hot = keys.select("key", "id").join(F.broadcast(heavy), "key", "left_semi")
-    return dealt.join(smallest(dealt).hint("shuffle_hash"), "key").unionByName(hot.join(F.broadcast(smallest(hot)), "key"))
+    return once(dealt.join(smallest(dealt).hint("shuffle_hash"), "key")).unionByName(once(hot.join(F.broadcast(smallest(hot)), "key")))
 
 
 def _open_keys(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -203,10 +204,10 @@ def _cross_pairs(members: DataFrame, percent: int | None = None) -> DataFrame:
     return met.select(F.greatest("_id", "id").alias("a"), F.least("_id", "id").alias("b")).distinct()
 
 
-def link_components(keys: DataFrame, sets_of, percent: int, open_limit: int, wide_edges, verify=None, rule_out: bool = True) -> DataFrame:
+def link_components(keys: DataFrame, sets_of, percent: int, open_limit: int, wide_edges, verify=None, rule_out: bool = True, repeats: bool = False) -> DataFrame:
     """Components (id, component) of items linked by exact set similarity; items without links have no row.
 
-    ``keys``: durable (key, id) of distinct sets.
+    ``keys``: durable (key, id) of distinct sets; rows may be repeated with ``repeats``.
 
     1. Every band key links its members to its smallest one (a star, never all pairs of a group).
     2. Keys that still hold several components, with up to ``open_limit`` open pairs, give those pairs.
@@ -218,7 +219,7 @@ def link_components(keys: DataFrame, sets_of, percent: int, open_limit: int, wid
     ``verify(pairs)`` gives the linked ones of the pairs (a, b); by default it compares ``sets_of``.
     """
     verify = verify or (lambda pairs: verify_pairs(pairs, sets_of, percent))
-    members = durable(_members(keys), "members")
+    members = durable(_members(keys, repeats), "members")
     free_shuffles(keys.sparkSession)
     stars = durable(members.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b")).distinct(), "stars")
     found = components(verify(stars).select(F.col("a").alias("u"), F.col("b").alias("v")))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import MAX_LONG, drop_table, durable, free_shuffles, link_components, rows_of
+from skyloom.llm.common import MAX_LONG, drop_table, durable, link_components, rows_of
 from skyloom.llm.shingles import WIDTH, chunks, runs, similar, smallest, units_of
 
 SHINGLE = WIDTH
@@ -26,6 +26,7 @@ RUN = 4
 BANDS = 20  # runs that a line of more shingles takes as bands, on average
 BLOCK = 4096  # places hashed at once, so that very long lines need little memory
 GROUP_ROWS = 512
+SEEN = 500_000  # ids that a task remembers, so that it signs a line it meets again only once
 
 def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_id (hash of the whole text), line_no (from 0), row (a number of its own), id, check (hashes of the
@@ -77,7 +78,11 @@ def _once(df: DataFrame, keep: list[str], **columns: str) -> DataFrame:
 
 
 def _bands(batches):
+    seen = set()
     for batch in batches:
+        seen = seen if len(seen) < SEEN else set()
+        new = [k for k, i in enumerate(batch.column("id").to_pylist()) if i not in seen and not seen.add(i)]
+        batch = batch if len(new) == len(batch) else batch.take(pa.array(new, pa.int64()))
         units, ends = units_of(batch.column("b"))
         for first, last in chunks(np.diff(ends)):
             value, row = smallest(units, ends[first : last + 1], SKETCH + 1)
@@ -86,7 +91,7 @@ def _bands(batches):
 
 
 def _keys(lines: DataFrame) -> DataFrame:
-    """(id, key) for every band of the distinct lines (id, line).
+    """(id, key) for every band of the lines (id, line); a line that is repeated in one task has them once, or a few times.
 
     Bands are functions of a line's set of shingles alone.  Sets of up to ``SKETCH`` shingles have a run at
     each element, around the end to the beginning; at a similarity of 0.8 one run at least is in
@@ -148,8 +153,7 @@ def _group_edges(members: DataFrame, texts, percent: int) -> DataFrame:
 def _decisions(docs: DataFrame, percent: int, open_limit: int = 500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``line_components`` with text_id; doc_id is MAX_LONG where it is null."""
     lines = _apart(durable(split_lines(docs, id_col, text_col), "lines"))
-    keys = durable(_keys(lines.select("id", "line").dropDuplicates(["id"])), "bands")
-    free_shuffles(lines.sparkSession)
+    keys = durable(_keys(lines.select("id", "line")), "bands")
 
     def texts(ids: DataFrame) -> DataFrame:
         return rows_of(lines.select("id", "line"), ids).dropDuplicates(["id"])
@@ -157,7 +161,7 @@ def _decisions(docs: DataFrame, percent: int, open_limit: int = 500, id_col: str
     def verify(pairs: DataFrame) -> DataFrame:
         return _linked(pairs, texts, percent)
 
-    found = link_components(keys, None, percent, open_limit, lambda wide: _group_edges(wide, texts, percent), verify, rule_out=False)
+    found = link_components(keys, None, percent, open_limit, lambda wide: _group_edges(wide, texts, percent), verify, rule_out=False, repeats=True)
     drop_table(keys)
     labelled = lines.select("doc_id", "text_id", "line_no", "row", "id").join(found, "id", "left")
     labelled = labelled.select("doc_id", "text_id", "line_no", "row", F.coalesce("component", "id").alias("component"))
