@@ -77,6 +77,12 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(_table(spark, sf_dir, "documents"), digest=True)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyloom.llm.periodic_runs import periodic_runs, rotated, run_digest
+
+    return run_digest(periodic_runs(rotated(_table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
