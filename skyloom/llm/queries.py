@@ -83,6 +83,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digest(periodic_runs(rotated(_table(spark, sf_dir, "documents"))))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skyloom.llm.quality import quality
+
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
