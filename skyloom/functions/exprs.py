@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ EARTH_RADIUS_KM = 6371.0088
 GRID_ROWS, GRID_COLS, GRID_STEP, GRID_LAT0, GRID_LON0 = 2950, 7750, 0.02, 14.01, -167.99
 MISSING_FLAG = -9999
 
+# The ellipsoid and the standard parallel of the equal-area projection.
+ELLIPSOID_M, FLATTENING, STANDARD_PARALLEL = 6378137.0, 1 / 298.257223563, 30.0
+_E2 = FLATTENING * (2 - FLATTENING)
+_SCALE = math.cos(math.radians(STANDARD_PARALLEL)) / math.sqrt(1 - _E2 * math.sin(math.radians(STANDARD_PARALLEL)) ** 2)
+
 
 def hour_of(ts: Column) -> Column:
     """The start of the hour, without a time zone."""
@@ -64,6 +71,18 @@ def cell_area_km2(latitude: Column, step: float = GRID_STEP) -> Column:
     return F.lit(EARTH_RADIUS_KM**2) * F.radians(F.lit(step)) * F.abs(F.sin(F.radians(latitude + half)) - F.sin(F.radians(latitude - half)))
 
 
+def equal_area_x(longitude: Column) -> Column:
+    """Metres east in the cylindrical equal-area projection of the ellipsoid."""
+    return F.radians(longitude) * (ELLIPSOID_M * _SCALE)
+
+
+def equal_area_y(latitude: Column) -> Column:
+    """Metres north in the same projection: areas between meridians and parallels are those of the ellipsoid."""
+    e, s = math.sqrt(_E2), F.sin(F.radians(latitude))
+    q = s / (1 - s * s * _E2) - F.log((1 - s * e) / (1 + s * e)) / (2 * e)
+    return q * ((1 - _E2) * ELLIPSOID_M / (2 * _SCALE))
+
+
 def cell_latitude(row: Column) -> Column:
     return F.lit(GRID_LAT0) + row * F.lit(GRID_STEP)
 

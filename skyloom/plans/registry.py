@@ -578,3 +578,6 @@ def catalog_columns(spark, sf_dir):
 def country_history(spark, sf_dir):
     """R11."""
     return relations.country_history(QUERIES["country_hourly_filter_agg"](spark, sf_dir), "US")
+
+
+from skyloom.plans import geo_queries  # noqa: E402, F401  (registers its queries)
