@@ -66,6 +66,15 @@ def ring_edges(rings: DataFrame, key: str = "id") -> DataFrame:
     return e.select(key, "ring", end("x1", "x2").alias("x1"), end("y1", "y2").alias("y1"), end("x2", "x1").alias("x2"), end("y2", "y1").alias("y2"))
 
 
+def _spread(rows: DataFrame, name: str, first: Column, last: Column) -> DataFrame:
+    """A row for each number from first to last, none where these are out of order.
+
+    The test stands within the generator: as a filter Catalyst would push it down with all that ``first`` and ``last`` are made of.
+    """
+    span = rows.withColumns({"_first": first.cast("int"), "_last": last.cast("int")})
+    return span.withColumn(name, F.explode_outer(F.when(F.col("_first") <= F.col("_last"), F.sequence("_first", "_last")))).where(F.col(name).isNotNull()).drop("_first", "_last")
+
+
 def row_pieces(edges: DataFrame, grid: Grid, level: bool = False) -> DataFrame:
     """The edges cut at the rows: grid_row, low, high (latitudes), x_low, x_high (longitudes there), sign (1: northwards).
 
@@ -74,8 +83,7 @@ def row_pieces(edges: DataFrame, grid: Grid, level: bool = False) -> DataFrame:
     e = edges.where(F.lit(True) if level else F.col("y1") != F.col("y2"))
     e = e.withColumns({"sign": F.when(F.col("y2") > F.col("y1"), 1).otherwise(-1), "_s": F.least("y1", "y2"), "_n": F.greatest("y1", "y2")})
     first, last = grid.index(F.col("_s"), grid.south), grid.index(F.col("_n"), grid.south)
-    span = F.sequence(F.greatest(first, F.lit(0)), F.least(last, F.lit(grid.rows - 1)))
-    e = e.where((first <= grid.rows - 1) & (last >= 0)).withColumn("grid_row", F.explode(span))
+    e = _spread(e, "grid_row", F.greatest(first, F.lit(0)), F.least(last, F.lit(grid.rows - 1)))
     e = e.withColumn("low", F.greatest("_s", grid.line(F.col("grid_row"), grid.south))).withColumn("high", F.least("_n", grid.line(F.col("grid_row") + 1, grid.south)))
     # The ends of an edge keep their longitudes; at a row's line both sides compute the same one.
     at = lambda c: F.when(F.col(c) == F.col("y1"), F.col("x1")).when(F.col(c) == F.col("y2"), F.col("x2")).otherwise(
@@ -94,7 +102,7 @@ def _cell_pieces(edges: DataFrame, grid: Grid) -> DataFrame:
     """The edges cut at rows and columns: grid_row, grid_col, middle (m) and rise (nm, signed); those east of the grid stand in one column after the last."""
     p = row_pieces(edges, grid).withColumns({"_w": F.least("x_low", "x_high"), "_e": F.greatest("x_low", "x_high")})
     first, last = (F.least(grid.index(F.col(c), grid.west), F.lit(grid.cols)) for c in ("_w", "_e"))
-    p = p.where(last >= 0).withColumn("grid_col", F.explode(F.sequence(F.greatest(first, F.lit(0)), last)))
+    p = _spread(p, "grid_col", F.greatest(first, F.lit(0)), last)
     west = F.greatest("_w", grid.line(F.col("grid_col"), grid.west))
     east = F.when(F.col("grid_col") == grid.cols, F.col("_e")).otherwise(F.least("_e", grid.line(F.col("grid_col") + 1, grid.west)))
     p = p.withColumns({"_a": west, "_b": F.greatest(west, east)})
@@ -162,8 +170,8 @@ def _edge_cells(edges: DataFrame, grid: Grid) -> DataFrame:
     """Every edge in each cell that it touches, its borders included."""
     p = row_pieces(edges, grid, level=True)
     side = lambda c: F.least(F.greatest(grid.index(c, grid.west), F.lit(0)), F.lit(grid.cols - 1))
-    cols = F.sequence(side(F.least("x_low", "x_high") - TOUCH), side(F.greatest("x_low", "x_high") + TOUCH))
-    return p.withColumn("grid_col", F.explode(cols)).drop("low", "high", "x_low", "x_high", "sign")
+    p = _spread(p, "grid_col", side(F.least("x_low", "x_high") - TOUCH), side(F.greatest("x_low", "x_high") + TOUCH))
+    return p.drop("low", "high", "x_low", "x_high", "sign")
 
 
 def cover(edges: DataFrame, key: str, grid: Grid = WORLD, coarse: int = COARSE) -> DataFrame:
@@ -220,6 +228,7 @@ def intersecting(a: DataFrame, b: DataFrame, grid: Grid = WORLD, coarse: int = C
     only share cells of their borders the edges in those cells are compared; and where none cross, one point of each ring
     tells whether it lies within the other shape.  There is no product, and cells with many shapes are dealt to parts.
     """
+    a, b = settled(a), settled(b)
     ca, cb = settled(cover(a, "a", grid, coarse)), settled(cover(b, "b", grid, coarse))
     tops = lambda c, key: c.select(key, "top").distinct()
     wide = [_dealt(ca.where("cell is null").select("a", "top"), tops(cb, "b"), "top", "b", hot), _dealt(tops(ca, "a"), cb.where("cell is null").select("b", "top"), "top", "b", hot)]

@@ -16,7 +16,7 @@ STARS = """corners as (select 'N' || c_nationkey as a, c_nationkey as k, c_custk
     points as (select a, i, round(-120.0::double + (k % 5) * 9 + cos(2 * pi() * i / n) * (0.4::double + m * 0.005::double), 6) as x, round(25.0::double + (k // 5) * 7 + sin(2 * pi() * i / n) * 0.8::double * (0.4::double + m * 0.005::double), 6) as y from corners where n >= 3),
     stars as (select a, x as x1, y as y1, coalesce(lead(x) over o, first_value(x) over o) as x2, coalesce(lead(y) over o, first_value(y) over o) as y2 from points window o as (partition by a order by i rows between unbounded preceding and unbounded following))"""
 
-DIAMONDS = """centres as (select 'S' || s_suppkey as b, -122.0::double + (s_suppkey * 37 % 500) * 0.1::double as x, 23.0::double + (s_suppkey * 53 % 330) * 0.1::double as y, 0.05::double + (s_suppkey % 7) * 0.1::double as d from supplier),
+DIAMONDS = """centres as (select 'S' || s_suppkey as b, -120.0::double + (s_suppkey % 5) * 9 + (s_suppkey * 37 % 41 - 20) * 0.08::double as x, 25.0::double + (s_suppkey % 25 // 5) * 7 + (s_suppkey * 53 % 41 - 20) * 0.06::double as y, 0.05::double + (s_suppkey % 7) * 0.1::double as d from supplier),
     tips as (select b, unnest([0, 1, 2, 3]) as i, unnest([x, x + d, x, x - d]) as x, unnest([y - d, y, y + d, y]) as y from centres),
     diamonds as (select t.b, t.x as u1, t.y as v1, s.x as u2, s.y as v2 from tips t join tips s on t.b = s.b and s.i = (t.i + 1) % 4)"""
 
@@ -52,7 +52,7 @@ def star_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def diamond_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
-    s = table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), k.cast("string")).alias("b"), (-122.0 + (k * 37 % 500) * 0.1).alias("x"), (23.0 + (k * 53 % 330) * 0.1).alias("y"), (0.05 + (k % 7) * 0.1).alias("d"))
+    s = table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), k.cast("string")).alias("b"), (-120.0 + (k % 5) * 9 + (k * 37 % 41 - 20) * 0.08).alias("x"), (25.0 + F.floor(k % 25 / 5) * 7 + (k * 53 % 41 - 20) * 0.06).alias("y"), (0.05 + (k % 7) * 0.1).alias("d"))
     tip = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
     x, y, d = F.col("x"), F.col("y"), F.col("d")
     return polygons.ring_edges(s.select("b", F.lit(0).alias("ring"), F.lit(False).alias("hole"), F.array(tip(x, y - d), tip(x + d, y), tip(x, y + d), tip(x - d, y)).alias("points")), "b")
