@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import posixpath
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom import schemas
-from skyloom.operators.kernel import latest_batch, newest, region_hours
+from skyloom.operators.kernel import LIMIT, latest_batch, newest, region_hours
 from skyloom.plans import models
-from skyloom.plans.state import Store, hour_key, mark, merge_discovered, one_hour, upsert
+from skyloom.plans.state import Store, hour_key, mark, merge_discovered, one_hour, prunable, upsert
+from skyloom.sources.files import locate
 
 HOURLY = "canonical_region_id string, country_code string, region_type string, observation_hour timestamp_ntz, timezone string, no2_mean double, no2_median double, no2_p90 double, valid_pixel_count bigint, total_pixel_count bigint, valid_area_km2 double, total_area_km2 double, coverage_fraction double, quality_flag_accepted boolean, source_granule_count int, all_granules_validated boolean, revision bigint, geometry_version string, ingested_at timestamp_ntz, contract_version string, local_observation_hour timestamp_ntz, is_analysis_ready boolean"
 ANOMALIES = "canonical_region_id string, observation_hour timestamp_ntz, timezone string, local_observation_hour timestamp_ntz, no2_mean double, baseline_sample_count bigint, baseline_median double, baseline_mad double, is_analysis_ready boolean, source_revision bigint, contract_version string, no2_difference double, robust_z_score double"
@@ -24,13 +26,13 @@ def discover(store: Store, found: DataFrame, now: dt.datetime) -> dict[str, int]
     return counts
 
 
-def ingest(store: Store, cells: DataFrame, weights: DataFrame, registry: DataFrame, contract: schemas.Contract, now: dt.datetime, buckets: int | None = None) -> int:
+def ingest(store: Store, cells: DataFrame, weights: DataFrame, registry: DataFrame, contract: schemas.Contract, now: dt.datetime, limit: int | None = LIMIT) -> int:
     """Take newly decoded scans in: their whole hours are recomputed from all scans of the hour.
 
     Raw cells are kept by hour, so a late scan pools with its siblings, and only touched hours are
     read and written (also the hour that an earlier version of a scan stood in).  Region-hours, latest
     cells and the ledger move in one commit.  Replaying a scan gives the same hours again.
-    ``buckets``: see ``weighted_stats``.
+    ``limit``: rows of a region's hour that one task sorts, see ``weighted_stats``.
     """
     at, flags = F.lit(now).cast("timestamp_ntz"), list(contract.accepted_quality_flags)
     # cells without an hour can't be placed
@@ -46,7 +48,7 @@ def ingest(store: Store, cells: DataFrame, weights: DataFrame, registry: DataFra
     kept = store.stage("cells", siblings.unionByName(cells.select(*old.columns)), touched, revision)
     hours = store.read("cells", schemas.GRID_CELLS, touched, kept)
     version = registry.agg(F.max("geometry_version").alias("v")).first().v
-    batch = region_hours(hours, weights, registry, flags, buckets).withColumns({"geometry_version": F.lit(version), "ingested_at": at, "revision": F.lit(revision).cast("long")})
+    batch = region_hours(hours, weights, registry, flags, limit).withColumns({"geometry_version": F.lit(version), "ingested_at": at, "revision": F.lit(revision).cast("long")})
     columns = store.read("region_hour_aggregates", schemas.REGION_HOURS, []).columns
     aggregates = store.stage("region_hour_aggregates", batch.select(*columns), touched, revision)
     latest = newest(store.read("grid_latest", schemas.GRID_LATEST), latest_batch(cells, weights, registry, flags, at), ["grid_row", "grid_col"], ["observation_time", "ingested_at"])
@@ -82,11 +84,11 @@ def require_geography(registry: DataFrame, weights: DataFrame) -> str:
     return ours[0]
 
 
-def ingest_each(store: Store, granules: Iterable[tuple[str, Callable[[], DataFrame]]], weights: DataFrame, registry: DataFrame, contract: schemas.Contract, now: dt.datetime) -> list[str]:
-    """Decode and ingest one granule after the other; returns the ids of those that are in.
+def ingest_some(store: Store, granules: Iterable[tuple[str, Callable[[], DataFrame]]], weights: DataFrame, registry: DataFrame, contract: schemas.Contract, now: dt.datetime) -> tuple[list[str], dict[str, str]]:
+    """Decode and ingest one granule after the other: the ids of those that are in, and the errors of the others.
 
-    A granule that fails is recorded in the ledger with its error, its part of the state stays as it was, and the
-    others go on; at the end an error names the failures, so that a scheduler runs them again.
+    A granule that fails is recorded in the ledger with its error (also one that the ledger didn't know), its part of
+    the state stays as it was, and the others go on.
     """
     require_geography(registry, weights)
     done, failed = [], {}
@@ -98,16 +100,52 @@ def ingest_each(store: Store, granules: Iterable[tuple[str, Callable[[], DataFra
                 raise ValueError("the scan holds cells of another granule")
             ingest(store, one_hour(cells), weights, registry, contract, now)
             done.append(granule_id)
-        except Exception as e:  # recorded, and raised at the end
+        except Exception as e:  # recorded, and told by the caller
             failed[granule_id] = f"{type(e).__name__}: {e}"[:2000]
             ledger = store.read("granule_inventory", schemas.GRANULE_INVENTORY)
             one = store.spark.createDataFrame([(granule_id,)], "granule_id string")
             store.commit({"granule_inventory": mark(ledger, one, F.lit(now).cast("timestamp_ntz"), processing_status="failed", error_message=failed[granule_id])})
+    return done, failed
+
+
+def tell_failures(done: list[str], failed: dict[str, str]) -> None:
+    """An error that names what failed, so that a scheduler runs it again; nothing if all went well."""
     if failed:
         raise RuntimeError(f"{len(failed)} of {len(failed) + len(done)} granules failed: " + "; ".join(f"{k}: {v[:200]}" for k, v in list(failed.items())[:20]))
+
+
+def ingest_each(store: Store, granules: Iterable[tuple[str, Callable[[], DataFrame]]], weights: DataFrame, registry: DataFrame, contract: schemas.Contract, now: dt.datetime) -> list[str]:
+    """``ingest_some`` that raises an error at the end if any granule failed; returns the ids of those that are in."""
+    done, failed = ingest_some(store, granules, weights, registry, contract, now)
+    tell_failures(done, failed)
     return done
 
 
+def prune_files(store: Store, root: str, now: dt.datetime, days: int) -> list[str]:
+    """Delete the files of granules that were processed more than ``days`` ago; their ids.
+
+    Only files below ``root`` are touched, whatever the ledger says; others, and ``root`` itself, are an error before any is deleted.
+    The ledger then knows no local path of them; a file that is gone already counts as deleted.
+    """
+    ledger = store.read("granule_inventory", schemas.GRANULE_INVENTORY)
+    at = F.lit(now).cast("timestamp_ntz")
+    old = prunable(ledger, at, days).select("granule_id", "local_path").collect()  # one row a file
+    base = posixpath.normpath(locate(root)[1])
+    outside = [r.local_path for r in old if not posixpath.normpath(locate(r.local_path)[1]).startswith(base.rstrip("/") + "/")]
+    if outside:
+        raise ValueError(f"files outside {root} are not deleted: {', '.join(outside[:5])}")
+    for row in old:
+        system, path = locate(row.local_path)
+        if system.get_file_info(path).is_file:
+            system.delete_file(path)
+    if old:
+        gone = store.spark.createDataFrame([(r.granule_id,) for r in old], "granule_id string")
+        joined = ledger.join(gone.withColumn("_gone", F.lit(True)), "granule_id", "left")
+        change = {"local_path": F.lit(None).cast("string"), "updated_at": at}
+        store.commit({"granule_inventory": joined.select(*[F.when(F.col("_gone"), change[c]).otherwise(F.col(c)).alias(c) if c in change else c for c in ledger.columns])})
+    return [r.granule_id for r in old]
+
+
 def siblings_restored(cells: DataFrame, sibling: DataFrame, digest: str, expected: str | None) -> DataFrame:
     """A scan with a sibling of its hour that was read back from an archive.
 

@@ -189,7 +189,7 @@ def region_hour_weighted_bucketed(spark, sf_dir):
     """The same by value ranges, the plan for groups too large to sort in one task."""
     cells, keys = simple_cells(spark, sf_dir), ["observation_hour", "canonical_region_id"]
     whole = simple_hours(cells).drop("no2_mean", "no2_median", "no2_p90")
-    return rounded(whole.join(kernel.weighted_stats(cells.where("ok"), keys, buckets=64).select(*keys, "no2_mean", "no2_median", "no2_p90"), keys, "left"), **DIGITS)
+    return rounded(whole.join(kernel.weighted_stats(cells.where("ok"), keys).select(*keys, "no2_mean", "no2_median", "no2_p90"), keys, "left"), **DIGITS)
 
 
 @query(f"with {_TREE} select observation_hour, canonical_region_id, country_code, region_type, {_STATS}, {_PIXELS}, all_granules_validated from hours")
@@ -380,6 +380,17 @@ def contract_invalidation(spark, sf_dir):
     return _incremental(spark, sf_dir, Contract("0.5.0", CONTRACT.min_region_coverage), CONTRACT.contract_version)
 
 
+@query(
+    """with e as (select event_type, value, 1 + event_id % 4 as w, sum(1 + event_id % 4) over (partition by event_type order by value) as cum, sum(1 + event_id % 4) over (partition by event_type) as tot from events where value is not null)
+    select event_type, round(sum(value * w) / sum(w), 6) as no2_mean, min(value) filter (where cum >= tot * 0.5) as no2_median, min(value) filter (where cum >= tot * 0.9) as no2_p90,
+      count(*) as valid_pixel_count, cast(sum(w) as double) as valid_area_km2 from e group by 1"""
+)
+def quantiles_narrowed(spark, sf_dir):
+    """Weighted quantiles of large groups, without sorting one in a task."""
+    e = table(spark, sf_dir, "events").where("value is not null").select("event_type", "value", (1 + F.col("event_id") % 4).alias("weight"))
+    return rounded(kernel.weighted_stats(e, ["event_type"], limit=100), no2_mean=6)
+
+
 # --- checks, filters, sorts, sets -----------------------------------------------------------
 
 
@@ -574,10 +585,14 @@ def catalog_columns(spark, sf_dir):
     return relations.relation_columns(spark, [*names, "no_such_table"])
 
 
-@query("select country_code, observation_hour, no2_mean, coverage_fraction, analysis_ready_region_count, region_count from (" + ORACLES["country_hourly_filter_agg"] + ") where country_code = 'US' and is_analysis_ready")
+_WIDE = ORACLES["country_hourly_filter_agg"].replace("coverage_fraction >= 0.01)", "coverage_fraction >= 0.001)")
+
+
+@query(f"select country_code, observation_hour, no2_mean, coverage_fraction, analysis_ready_region_count, region_count from ({_WIDE}) where country_code = 'C1' and is_analysis_ready")
 def country_history(spark, sf_dir):
-    """R11."""
-    return relations.country_history(QUERIES["country_hourly_filter_agg"](spark, sf_dir), "US")
+    """The ready hours of a country whose contract asks for a thousandth of its area."""
+    hourly = hierarchy_hourly(spark, sf_dir).withColumn("is_analysis_ready", F.col("quality_flag_accepted") & (F.col("coverage_fraction") >= 0.001))
+    return relations.country_history(rounded(models.mart_country_hourly(hourly), **DIGITS), "C1")
 
 
 from skyloom.plans import geo_queries  # noqa: E402, F401  (registers its queries)

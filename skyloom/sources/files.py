@@ -7,6 +7,8 @@ from pyarrow import fs
 
 def locate(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or address, and the path there."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
     return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
 
 

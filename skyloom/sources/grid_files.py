@@ -3,9 +3,9 @@
     spark.dataSource.register(GridFiles)
     spark.read.format("grid_files").option("production", "true").load("hdfs://.../scans")
 
-A file's header is read once, where partitions are made; a task reads the bytes of its rows alone.  Filters
-on ``grid_row`` leave slabs out (``spark.sql.python.filterPushdown.enabled``).  Whatever is wrong with a file is an
-error that names it.
+A file's header is read once, where partitions are made; a task reads the bytes of its rows alone.  With the option
+``prune`` filters on ``grid_row`` leave slabs out; it needs ``spark.sql.python.filterPushdown.enabled``.  Whatever is
+wrong with a file is an error that names it.
 """
 
 from __future__ import annotations
@@ -198,16 +198,6 @@ class GridReader(DataSourceReader):
         self._production = str(options.get("production", "false")).lower() == "true"
         self._low, self._high = 0, 2**62
 
-    def pushFilters(self, filters):
-        """Bounds of grid_row choose the slabs; Spark still tests the rows of those."""
-        for f in filters:
-            if getattr(f, "attribute", None) == ("grid_row",):
-                if isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual)):
-                    self._low = max(self._low, f.value + isinstance(f, GreaterThan))
-                if isinstance(f, (EqualTo, LessThan, LessThanOrEqual)):
-                    self._high = min(self._high, f.value - isinstance(f, LessThan))
-            yield f
-
     def partitions(self) -> list[Slab]:
         out = []
         for path, _ in listed(self._path, ".nc", ".nc4", ".netcdf", ".cdf"):
@@ -260,8 +250,20 @@ class GridReader(DataSourceReader):
         return pa.RecordBatch.from_arrays([make[c]() for c in self._columns], names=self._columns)
 
 
+class PruningGridReader(GridReader):
+    def pushFilters(self, filters):
+        """Bounds of grid_row choose the slabs; Spark still tests the rows of those."""
+        for f in filters:
+            if getattr(f, "attribute", None) == ("grid_row",):
+                if isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual)):
+                    self._low = max(self._low, f.value + isinstance(f, GreaterThan))
+                if isinstance(f, (EqualTo, LessThan, LessThanOrEqual)):
+                    self._high = min(self._high, f.value - isinstance(f, LessThan))
+            yield f
+
+
 class GridFiles(DataSource):
-    """Options: path (a file, or a folder of them), production (the whole grid is required), slab_rows.
+    """Options: path (a file, or a folder of them), production (the whole grid is required), slab_rows, prune (by filters).
 
     With a schema of fewer columns only these are read and decoded.  A masked value is NaN, a masked flag -9999.
     """
@@ -274,4 +276,5 @@ class GridFiles(DataSource):
         return GRID_CELLS
 
     def reader(self, schema) -> GridReader:
-        return GridReader(schema, self.options)
+        prune = str(self.options.get("prune", "false")).lower() == "true"
+        return (PruningGridReader if prune else GridReader)(schema, self.options)

@@ -22,16 +22,16 @@ def regions(spark, rows):
     return spark.createDataFrame(rows, "canonical_region_id string, country_code string, region_type string")
 
 
-@pytest.mark.parametrize("buckets", [None, 4])
-def test_unequal_weights(spark, buckets):
-    out = kernel.region_hours(cells(spark, [("g", 0, 10.0, 0), ("g", 1, 20.0, 0)]), weights(spark, [(0, "US", 1.0), (1, "US", 3.0)]), regions(spark, [("US", "US", "country")]), [0], buckets).first()
+@pytest.mark.parametrize("limit", [None, 1])
+def test_unequal_weights(spark, limit):
+    out = kernel.region_hours(cells(spark, [("g", 0, 10.0, 0), ("g", 1, 20.0, 0)]), weights(spark, [(0, "US", 1.0), (1, "US", 3.0)]), regions(spark, [("US", "US", "country")]), [0], limit).first()
     assert (out.no2_mean, out.no2_median, out.no2_p90) == (17.5, 20.0, 20.0)
 
 
-@pytest.mark.parametrize("buckets", [None, 4])
-def test_pooled_scans(spark, buckets):
+@pytest.mark.parametrize("limit", [None, 1])
+def test_pooled_scans(spark, limit):
     rows = [("g1", 0, 10.0, 0), ("g1", 1, 20.0, 0), ("g2", 0, 30.0, 0), ("g2", 1, 40.0, 2)]
-    out = kernel.region_hours(cells(spark, rows), weights(spark, [(0, "US", 1.0), (1, "US", 3.0)]), regions(spark, [("US", "US", "country")]), [0], buckets).first()
+    out = kernel.region_hours(cells(spark, rows), weights(spark, [(0, "US", 1.0), (1, "US", 3.0)]), regions(spark, [("US", "US", "country")]), [0], limit).first()
     assert (out.no2_mean, out.no2_median, out.no2_p90) == (20.0, 20.0, 30.0)
     assert (out.valid_pixel_count, out.total_pixel_count, out.valid_area_km2, out.total_area_km2, out.source_granule_count) == (3, 4, 5.0, 8.0, 2)
 
@@ -76,3 +76,53 @@ def test_rectangles(spark):
     got = {r.canonical_region_id: r for r in geography.rectangle_weights(box).where("overlap_weight > 1e-6").collect()}
     assert (got["full"].grid_row, got["full"].grid_col) == (0, 0)
     assert got["half"].overlap_weight == pytest.approx(got["full"].overlap_weight / 2)
+
+
+def brute_quantiles(rows, q):
+    rows, cum, total = sorted(rows), 0, sum(w for _, w in rows)
+    for v, w in rows:
+        cum += w
+        if cum >= total * q:
+            return v
+    return rows[-1][0]
+
+
+def test_narrowing_is_exact_under_outliers_and_ties(spark):
+    import random
+
+    rnd = random.Random(8)
+    groups = {
+        "outlier": [(rnd.gauss(0, 1), 1) for _ in range(4000)] + [(1e30, 1), (-1e30, 2)],
+        "ties": [(rnd.randrange(5), rnd.randint(1, 9)) for _ in range(4000)],
+        "heavy": [(rnd.random(), 1) for _ in range(3000)] + [(0.25, 10_000)],
+        "one": [(7.0, 3)] * 2000,
+        "small": [(rnd.random(), rnd.randint(1, 5)) for _ in range(40)],
+        "nothing": [(1.0, 0)] * 700,
+    }
+    df = spark.createDataFrame([(g, float(v), w) for g, rows in groups.items() for v, w in rows], "g string, value double, weight int").repartition(5)
+    got = {r.g: r for r in kernel.weighted_stats(df, ["g"], limit=60).collect()}
+    want = {r.g: r for r in kernel.weighted_stats(df, ["g"]).collect()}
+    for g, rows in groups.items():
+        r = got[g]
+        if g == "nothing":
+            assert (r.no2_mean, r.no2_median, r.no2_p90, r.valid_pixel_count) == (None, None, None, 700)
+            continue
+        assert (r.no2_median, r.no2_p90) == (brute_quantiles(rows, 0.5), brute_quantiles(rows, 0.9)) == (want[g].no2_median, want[g].no2_p90)
+        assert (r.valid_pixel_count, r.valid_area_km2) == (len(rows), sum(w for _, w in rows)) and r.no2_mean == pytest.approx(want[g].no2_mean)
+
+
+def test_no_round_keeps_more_than_its_share(spark, monkeypatch):
+    seen = []
+    settled = kernel.settled
+
+    def watched(df):
+        out = settled(df)
+        if "_base" in out.columns:
+            seen.append(out.groupBy("g").count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(kernel, "settled", watched)
+    df = spark.range(200_000).selectExpr("'x' as g", "if(id = 0, 1e30, double(id)) as value", "1 as weight")
+    row = kernel.narrowed(df, ["g"], limit=100).first()
+    assert (row.no2_median, row.no2_p90) == (100_000.0, 180_000.0)
+    assert len(seen) == 4 and all(n < 200_000 / 64 * 1.5 for n in seen) and min(seen) <= 100
