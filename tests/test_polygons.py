@@ -110,31 +110,26 @@ def meet(p, q):
     return bool(inside(p[0], q) or inside(q[0], p))
 
 
-@pytest.mark.parametrize("hot", [pg.HOT_CELL, 2])
-def test_intersecting_equals_brute_force(spark, hot):
+def test_intersecting_equals_brute_force(spark):
     rnd = random.Random(11)
     some = lambda n: {f"s{k}": [star(rnd, rnd.uniform(-20, 20), rnd.uniform(-20, 20), rnd.choice([0.05, 0.5, 3, 9]), rnd.choice([3, 7, 30]))] for k in range(n)}
     left, right = some(40), some(40)
     left |= {"box": [box(0, 0, 1, 1)], "far": [box(100, 50, 101, 51)], "whole": [box(-170, -80, 170, 80)], "speck": [box(0.01, 0.01, 0.02, 0.02)]}
     right |= {"side": [box(1, 0.25, 2, 0.5)], "point": [box(-1, -1, 0, 0)], "apart": [box(1.0001, 1.0001, 3, 3)], "in": [box(0.1, 0.1, 0.2, 0.2)]}
     a, b = (pg.edges_of(spark, s, k) for s, k in ((left, "a"), (right, "b")))
-    got = [tuple(r) for r in pg.intersecting(a, b, hot=hot).select("a", "b").collect()]
+    got = [tuple(r) for r in pg.intersecting(a, b, hot=2).select("a", "b").collect()]
     want = {(x, y) for x, p in left.items() for y, q in right.items() if meet(p[0], q[0])}
     assert len(got) == len(set(got)) and set(got) == want and 100 < len(want) < 44 * 44
     assert {("box", "side"), ("box", "point"), ("box", "in")} <= want and ("box", "apart") not in want
 
 
-def test_a_hole_is_outside(spark):
+def test_a_hole_is_outside_and_no_join_is_a_product(spark):
     a = pg.edges_of(spark, {"holed": [box(0, 0, 9, 9), box(3, 3, 6, 6)], "solid": [box(0, 0, 9, 9)]}, "a")
     b = pg.edges_of(spark, {"within": [box(4, 4, 5, 5)], "rim": [box(1, 1, 2, 2)], "speck": [box(4.41, 4.41, 4.42, 4.42)]}, "b")
-    got = {tuple(r) for r in pg.intersecting(a, b).collect()}
+    found = pg.intersecting(a, b)
+    got = {tuple(r) for r in found.collect()}
     assert got == {("holed", "rim"), ("solid", "rim"), ("solid", "within"), ("solid", "speck")}
-    assert {tuple(r) for r in pg.intersecting(a, b, pg.Grid(-180, -90, 30.0, 6, 12)).collect()} == got
-
-
-def test_no_join_of_shapes_is_a_product(spark):
-    a, b = (pg.edges_of(spark, {"x": [box(0, 0, 1, 1)]}, k) for k in "ab")
-    plan = pg.intersecting(a, b)._jdf.queryExecution()
+    plan = found._jdf.queryExecution()
     assert "Cross" not in plan.optimizedPlan().toString() and "NestedLoop" not in plan.executedPlan().toString()
 
 
