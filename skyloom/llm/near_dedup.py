@@ -24,6 +24,7 @@ BANDS, ROWS = 32, 4
 WORDS = 5
 PERCENT = 75
 SEED = 20_260_101
+PLACES = 32
 TILE_ROWS, TILE_ELEMENTS = 512, 1_000_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -38,26 +39,34 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    inverse = pow(_BASE, -1, 1 << 64)
-    up, down = np.full(size, _BASE, dtype=np.uint64), np.full(size, inverse, dtype=np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """A random number for each byte at each of the first places of a word."""
+    return np.random.default_rng(SEED).integers(0, 1 << 64, (PLACES, 256), dtype=np.uint64)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    """A 64-bit hash per word ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z in lower case."""
+    """A 64-bit hash per word ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z in lower case.
+
+    A word's hash sums up a random number for each of its bytes and that byte's place.  Unlike powers of one base these have
+    no structure that words could share, so different words agree with a probability of 2**-64.
+    """
     raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
     if not len(raw):
         return np.empty(0, dtype=np.uint64)
     raw = np.where((raw >= 65) & (raw <= 90), raw + 32, raw)
     inside = np.concatenate(([False], (raw != 32) & ((raw < 9) | (raw > 13)), [False]))
     start, end = np.flatnonzero(~inside[:-1] & inside[1:]), np.flatnonzero(inside[:-1] & ~inside[1:])
-    up, down = _powers(1 << (len(raw) + 1).bit_length())
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], dtype=np.uint64)))
-    return _mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    held = raw[inside[1:-1]]
+    size = end - start
+    place = np.arange(len(held)) - np.repeat(np.cumsum(size) - size, size)
+    values = _letters()[np.minimum(place, PLACES - 1), held]
+    far = np.flatnonzero(place >= PLACES - 1)
+    if len(far):  # later places of long words: the byte's number and the place are mixed twice
+        values[far] = _mix(_mix(values[far] + place[far].astype(np.uint64) * _LANES[0]) + place[far].astype(np.uint64) * _LANES[1])
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)))
+    at = np.cumsum(size)
+    return _mix(sums[at] - sums[at - size] + size.astype(np.uint64) * _LANES[2])
 
 
 def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:

@@ -87,3 +87,14 @@ def test_components_of_chains_and_stars(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {k: 0 for k in range(41)} | {100 + k: 100 for k in range(20)} | {199: 199, 200: 199}
     assert components(spark.range(0).select(F.col("id").alias("u"), F.col("id").alias("v"))).count() == 0
+
+
+def test_words_that_a_polynomial_can_not_tell_apart(spark):
+    morse = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    other = morse.translate(str.maketrans("ab", "ba"))
+    assert nd.word_hashes(morse) != nd.word_hashes(other) and len(nd.shingle_set(f"{morse} x {other} x {morse} x")) == 2
+    df = spark.createDataFrame([(1, morse), (2, other), (3, morse + " "), (4, morse[:-1])], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in nd.near_duplicates(df).collect()} == {1: 1, 2: 2, 3: 1, 4: 4}
+    words = ["a" * n for n in range(1, 200)] + ["a" * n + "b" + "a" * (199 - n) for n in range(200)]
+    assert len(set(nd.word_hashes(" ".join(words)).tolist())) == len(words)
+    assert (nd.word_hashes(" ".join(words)) == np.concatenate([nd.word_hashes(w) for w in words])).all()
