@@ -26,6 +26,7 @@ HINTS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "spon
 MAIN = {"article", "main"}
 COMMENTS = {"comment", "comments", "respond", "reply", "replies"}
 CONTENT = {"article", "post", "entry", "story", "content"}
+POSTS = CONTENT - {"content"}
 # Elements whose end tags may be left out, the start tags that end them, and the elements that keep them open.
 IMPLIED = (
     (("p",), {"address", "article", "aside", "blockquote", "details", "dialog", "dd", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}, {"table", "td", "th", "button", "object"}),
@@ -59,15 +60,19 @@ def _hinted(name: str, attrs: str) -> int:
     return found
 
 
-def _ends(name: str, stack: list) -> int:
-    """How many open elements the start tag ends without their end tags."""
+def _is_post(attrs: str) -> bool:
+    """Class or id name an article, post, entry or story; a header in it is the article's own."""
+    return any(set(re.split(r"[^a-z]+", "".join(m).lower())) & POSTS for m in _ATTR.findall(attrs)) if "=" in attrs else False
+
+
+def _ends(name: str, depth: int, places: dict[str, list[int]]) -> int:
+    """How many open elements the start tag ends without their end tags; ``places``: where elements of a name are open."""
+    last = lambda names: max((places[n][-1] for n in names if places.get(n)), default=-1)
     for these, starts, stops in IMPLIED:
         if name in starts:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in these:
-                    return len(stack) - k
-                if stack[k][0] in stops:
-                    break
+            at = last(these)
+            if at >= 0 and at > last(stops):
+                return depth - at
     return 0
 
 
@@ -77,21 +82,24 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
     Text is "" before a word that starts a new block or follows white space, so that the
     words of an inline run join again.  An element whose name says so (a menu, a form) is never content;
     one whose class only hints at it is, if it holds an article, or most of the page's words where no article
-    stands elsewhere; reader comments never are.
+    stands elsewhere; reader comments never are.  Time and memory grow in proportion to the page, however deep it is.
     """
-    out: list[tuple[str, str, str, tuple[int, ...] | None]] = []  # None: in an element that is never content
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, never content, is main, has a hint
-    hints: tuple[int, ...] = ()  # numbers of the open elements with a hint
-    held: list[list[int]] = []  # of each element with a hint: words, articles, in an article, comments
-    asides = mains = links = words = articles = 0
+    out: list[tuple[str, str, str, int | None]] = []  # None: in an element that is never content
+    stack: list[tuple[str, bool, bool, int, bool]] = []  # name, never content, is main, hint around it (-2: has none itself), is a post
+    places: dict[str, list[int]] = {}  # where in the stack elements of a name are
+    hint_now = -1  # number of the nearest open element with a hint
+    held: list[list[int]] = []  # of each element with a hint: own words, own articles, in an article, comments, the hint around it
+    asides = mains = links = posts = words = articles = 0
     gap = " "
 
     def leave(n: int) -> None:
-        nonlocal asides, mains, links, hints
+        nonlocal asides, mains, links, posts, hint_now
         for _ in range(n):
-            last, was_aside, was_main, was_hint = stack.pop()
-            asides, mains, links = asides - was_aside, mains - was_main, links - (last == "a")
-            hints = hints[: len(hints) - was_hint]
+            last, was_aside, was_main, around, was_post = stack.pop()
+            places[last].pop()
+            asides, mains, links, posts = asides - was_aside, mains - was_main, links - (last == "a"), posts - was_post
+            if around != -2:
+                hint_now = around
 
     for m in _TOKEN.finditer(page):
         text = m["text"]
@@ -105,18 +113,18 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
                 gap = " "
             where = ("main" if mains else "plain") + ("-link" if links else "")
             for part in parts:
-                out.append(("w", where, gap + part, None if asides else hints))
+                out.append(("w", where, gap + part, None if asides else hint_now))
                 gap = " "
             if not asides:
                 words += len(parts)
-                for k in hints:
-                    held[k][0] += len(parts)
+                if hint_now >= 0:
+                    held[hint_now][0] += len(parts)
             gap = " " if text[-1].isspace() else ""
             continue
         if m["raw"]:
             if m["raw"].lower() not in ("script", "style"):
                 gap = " "
-            out.append(("t", "raw", "", ()))
+            out.append(("t", "raw", "", -1))
             continue
         name = (m["tag"] or m["tag2"] or "").lower()
         if not name:
@@ -127,34 +135,39 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
             gap = " "
         named = name if name in ("p", "br", "h1", "h2", "h3", "li", "td", "div") else "inline" if name in INLINE else "block"
         if closing:
-            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if at is not None:
-                leave(len(stack) - at)
-            out.append(("t", ("main:" if mains else "plain:") + ("aside" if name in ASIDE else named), "", None if asides else hints))
+            if places.get(name):
+                leave(len(stack) - places[name][-1])
+            out.append(("t", ("main:" if mains else "plain:") + ("aside" if name in ASIDE else named), "", None if asides else hint_now))
             continue
-        leave(_ends(name, stack))
+        leave(_ends(name, len(stack), places))
         main = name in MAIN
-        aside = name in ASIDE or (name == "header" and not mains)
+        aside = name in ASIDE or (name == "header" and not mains and not posts)
         hint = 0 if aside else _hinted(name, attrs)
         main = main and not hint
         articles += main
         if name == "body":
             while stack and stack[-1][0] == "head":
                 leave(1)
-        if main:
-            for k in hints:
-                held[k][1] += 1
+        if main and hint_now >= 0:
+            held[hint_now][1] += 1
         if name not in VOID and not attrs.endswith("/"):
             # Of paragraphs and inline elements only those that change the context are kept open.
             if aside or main or hint or name == "a" or (name != "p" and name not in INLINE) or asides:
-                stack.append((name, aside, main, hint > 0))
-                asides, mains, links = asides + aside, mains + main, links + (name == "a")
+                post = not aside and name not in INLINE and name not in ("body", "html") and _is_post(attrs)
+                places.setdefault(name, []).append(len(stack))
+                stack.append((name, aside, main, hint_now if hint else -2, post))
+                asides, mains, links, posts = asides + aside, mains + main, links + (name == "a"), posts + post
                 if hint:
-                    hints += (len(held),)
-                    held.append([0, 0, mains, hint == 2])
-        out.append(("t", ("main:" if mains else "plain:") + named, "", None if asides else hints))
-    void = {k for k, (n, own, within, comments) in enumerate(held) if not comments and (own or (2 * n > words and (within or not articles)))}
-    content = {open_: all(k in void for k in open_) for open_ in {t[3] for t in out if t[3] is not None}}
+                    held.append([0, 0, mains, hint == 2, hint_now])
+                    hint_now = len(held) - 1
+        out.append(("t", ("main:" if mains else "plain:") + named, "", None if asides else hint_now))
+    for own, own_articles, _, _, around in reversed(held):  # what stands in an element stands in those around it
+        if around >= 0:
+            held[around][0] += own
+            held[around][1] += own_articles
+    content = {-1: True}
+    for k, (n, own, within, comments, around) in enumerate(held):
+        content[k] = content[around] and not comments and bool(own or (2 * n > words and (within or not articles)))
     return [
         (kind, group, text) if open_ is not None and content[open_] else ("-", group, text) if kind == "w" else ("t", group.partition(":")[0] + ":aside", "")
         for kind, group, text, open_ in out

@@ -68,6 +68,29 @@ def test_hints_do_not_empty_a_page_and_end_tags_may_be_missing():
         f'<table><tr><td class="ad">buy<td>{text}<tr><td>{text}</table>': f"{text} {text}",
         f"<article><p>{text}</p></article><section id='comments'><article class='comment'><p>{text} {text} {text}</p></article></section>": text,
         f"<div class='menu'><a href='/'>home</a></div><div>{text}</div>": text,
+        f'<header><p>site</p></header><div class="post"><header><h1>The river</h1></header><p>{text}</p></div>': f"The river {text}",
     }
     for page, want in cases.items():
         assert he.extract(page) == want, page
+
+
+def test_time_grows_in_proportion_to_the_page():
+    import time
+
+    pages = {
+        "hints": lambda n: '<div class="ad">' * n + "word",
+        "unmatched": lambda n: "<div>" * n + "</section>" * n,
+        "rows": lambda n: "<table><tr><td>x" * n,
+        "items": lambda n: "<ul><li>a" * n + "<li>b" * n,
+        "comments": lambda n: '<div class="comments"><article>x' * n,
+        "quotes": lambda n: "<a b=\"'>" * n + "<p>x" * n,
+        "open": lambda n: "<!-- x " * n + "<script " * n,
+    }
+    he.default_weights()
+    for name, page in pages.items():
+        took = {}
+        for n in (5_000, 40_000):
+            began = time.process_time()
+            he.extract(page(n))
+            took[n] = time.process_time() - began
+        assert took[40_000] < 8 * 3 * max(took[5_000], 0.02), (name, took)
