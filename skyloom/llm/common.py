@@ -203,7 +203,9 @@ def _cross_pairs(members: DataFrame, percent: int | None = None) -> DataFrame:
     return met.select(F.greatest("_id", "id").alias("a"), F.least("_id", "id").alias("b")).distinct()
 
 
-def link_components(keys: DataFrame, sets_of, percent: int, open_limit: int, wide_edges, verify=None, rule_out: bool = True) -> DataFrame:
+def link_components(
+    keys: DataFrame, sets_of, percent: int, open_limit: int, wide_edges, verify=None, rule_out: bool = True, known: DataFrame | None = None
+) -> DataFrame:
     """Components (id, component) of items linked by exact set similarity; items without links have no row.
 
     ``keys``: durable (key, id) of distinct sets.
@@ -215,13 +217,14 @@ def link_components(keys: DataFrame, sets_of, percent: int, open_limit: int, wid
        common share. What is open then is enumerated up to ``open_limit`` again; beyond it
        ``wide_edges(members)`` gives edges (u, v) that connect what is linked among the members of the wide keys.
 
-    ``verify(pairs)`` gives the linked ones of the pairs (a, b); by default it compares ``sets_of``.
+    ``verify(pairs)`` gives the linked ones of the pairs (a, b); by default it compares ``sets_of``.  ``known``: edges (u, v) found before.
     """
     verify = verify or (lambda pairs: verify_pairs(pairs, sets_of, percent))
     members = durable(_members(keys), "members")
     free_shuffles(keys.sparkSession)
     stars = durable(members.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b")).distinct(), "stars")
-    found = components(verify(stars).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    linked = verify(stars).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    found = components(linked if known is None else linked.union(known))
     held = _open_keys(members.select("key", "id"), found)
     drop_table(members)
     pairs, tested, tiled = _cross_pairs(held.where(F.col("open") <= open_limit)), stars, False

@@ -110,27 +110,89 @@ def _both(pairs: DataFrame, texts) -> DataFrame:
     return _once(both, pairs.columns, x=_hashes("bx", "nx"), y=_hashes("by", "ny"))
 
 
-def _group_edges(members: DataFrame, texts, percent: int) -> DataFrame:
-    """Edges (u, v) between similar lines in different components of one wide group; members: (big, id, c).
+def _told(members: DataFrame, texts) -> DataFrame:
+    """Members (big, id, c) of wide groups by what they lack of their group's centre and what they have besides.
 
-    Every member is described by what it lacks of the group's centre (the first line of its largest
-    component) and what it has besides.  The exact similarity of two members follows from these
-    short arrays, so their texts meet the centre once and never each other.  What is outside the largest
-    component is compared with all members, in blocks of ``GROUP_ROWS``, and only edges leave the join.
+    The centre is the first line of the group's largest component.  kept counts what a member has of it, so the
+    exact similarity of two members follows from these short arrays: their texts meet the centre once
+    and never each other.
     """
     once = members.select("big", "id", "c").distinct()
     pairs = once.select(F.col("big").alias("a"), F.col("id").alias("b"), "c")
-    full = _both(pairs, texts).select(F.col("a").alias("big"), F.col("b").alias("id"), "c", F.expr("array_distinct(x)").alias("x"), F.expr("array_distinct(y)").alias("y"))
-    told = full.select("big", "id", "c", F.size("x").alias("centre"), F.size("y").alias("n"), F.array_except("x", "y").alias("lacks"), F.array_except("y", "x").alias("has"))
-    told = durable(told, "differences")
-    parts = told.groupBy("big").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("parts"))
-    told = told.join(parts, "big")
-    dealt = told.select("big", F.expr("cast(pmod(xxhash64(id), parts) as int)").alias("part"), "id", "c", "centre", "n", "lacks", "has")
-    outside = told.where("c <> big").select("big", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), *[F.col(k).alias(f"_{k}") for k in ("id", "c", "n", "lacks", "has")])
+    sets = [F.expr("array_distinct(x)").alias("x"), F.expr("array_distinct(y)").alias("y")]
+    full = _both(pairs, texts).select(F.col("a").alias("big"), F.col("b").alias("id"), "c", *sets)
+    sides = [F.array_except("x", "y").alias("lacks"), F.array_except("y", "x").alias("has")]
+    told = full.select("big", "id", "c", F.size("x").alias("centre"), F.size("y").alias("n"), *sides)
+    return told.withColumns({"kept": F.expr("centre - size(lacks)"), "h": F.size("has")})
+
+
+_DESCRIBED = ("id", "c", "n", "kept", "h", "lacks", "has")
+
+
+def _close(percent: int) -> str:
+    """SQL that tells if a member and another one (columns with _) of the same centre are similar: bounds by size first."""
     inter = "(centre - size(array_union(lacks, _lacks)) + size(array_intersect(has, _has)))"
-    most = "(centre - greatest(size(lacks), size(_lacks)) + least(size(has), size(_has)))"  # by sizes alone
-    close = "_c <> c and " + " and ".join(f"{x} * (100L + {percent}) >= (n + _n) * {percent}L" for x in ("least(n, _n)", most, inter))
-    return outside.join(dealt, ["big", "part"]).where(close).select(F.col("_id").alias("u"), F.col("id").alias("v"))
+    most = "(least(kept, _kept) + least(h, _h))"
+    return " and ".join(f"{x} * (100L + {percent}) >= (n + _n) * {percent}L" for x in ("least(n, _n)", most, inter))
+
+
+def _in_blocks(outside: DataFrame, members: DataFrame, on: str, percent: int) -> DataFrame:
+    """Edges (u, v) between similar lines of ``outside`` and ``members`` with equal ``on``, compared in blocks of ``GROUP_ROWS``."""
+    parts = members.groupBy(on).agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("parts"))
+    dealt = members.join(parts, on).withColumn("part", F.expr("cast(pmod(xxhash64(id), parts) as int)")).drop("parts")
+    other = [F.col(k).alias(f"_{k}") for k in _DESCRIBED]
+    every = F.explode(F.expr("sequence(0, parts - 1)")).alias("part")
+    met = outside.join(parts, on).select(*{on, "big"}, every, *other).join(dealt, [*{on, "big", "part"}])
+    return met.where(f"_c <> c and {_close(percent)}").select(F.col("_id").alias("u"), F.col("id").alias("v"))
+
+
+def _rare_keys(told: DataFrame, percent: int) -> DataFrame:
+    """(key, id): for each member the rarest elements that the centre doesn't have, as many as any link needs.
+
+    Two linked lines share percent / 100 of each one's elements at least.  What the centre can't give of that has to be
+    among those besides, so one of the rarest ``h - need + 1`` of these is in both.  Elements that no other member has make no key.
+    """
+    rows = told.select("big", "id", F.explode("has").alias("e"))
+    often = rows.groupBy("big", "e").agg(F.count("*").alias("df")).where("df > 1")
+    shared = rows.join(often, ["big", "e"]).groupBy("big", "id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("s"))
+    need = f"greatest(1, ({percent}L * n + 99) div 100 - kept)"
+    first = F.expr(f"slice(s, 1, cast(greatest(0, size(s) - {need} + 1) as int))")
+    keys = shared.join(told.select("big", "id", "n", "kept"), ["big", "id"]).select("big", "id", F.explode(first).alias("s"))
+    return keys.select(F.xxhash64("big", "s.e").alias("key"), "id").distinct()
+
+
+def _group_edges(members: DataFrame, texts, percent: int, open_limit: int) -> DataFrame:
+    """Edges (u, v) that connect what is linked among the members (big, id, c) of wide groups, exactly.
+
+    What is similar to the centre joins it.  A pair x, y of the rest can be linked without an element in common besides the
+    centre's only if percent * (h of x + h of y) <= (100 - percent) * (the smaller kept).  Such pairs, of which one has half of
+    that h at most, are compared in blocks.  All others share one of their rarest elements, which
+    become keys of their own, handled as bands are: lines that share but a template don't meet at all.
+    """
+    told = durable(_told(members, texts), "differences")
+    near = F.expr(f"kept * (100L + {percent}) >= (centre + n) * {percent}L")
+    told = told.withColumn("c", F.when(near, F.col("big")).otherwise(F.col("c")))
+    known = members.select(F.col("id").alias("u"), F.col("c").alias("v")).union(told.select("id", "c")).where("u <> v").distinct()
+    open_groups = told.where("c <> big").select("big").distinct()
+    told = durable(told.join(open_groups, "big", "left_semi"), "differences")
+    light = told.where(f"{percent}L * h <= (100 - {percent}) * kept")
+    half = f"2 * {percent}L * h <= (100 - {percent}) * kept"
+    outside = light.where("c <> big")
+    edges = _in_blocks(outside.where(half), light, "big", percent).union(_in_blocks(outside.where(f"not ({half})"), light.where(half), "big", percent))
+    known = durable(known.union(edges), "edges")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        other = told.select("big", F.col("id").alias("b"), *[F.col(k).alias(f"_{k}") for k in _DESCRIBED if k != "id"])
+        both = told.withColumnRenamed("id", "a").join(pairs, "a").join(other, ["big", "b"])
+        return both.where(_close(percent)).select("a", "b").distinct()
+
+    def wide_edges(wide: DataFrame) -> DataFrame:
+        rows = wide.select("key", "id", F.col("c").alias("now"), F.col("big").alias("largest")).join(told, "id").withColumn("c", F.col("now"))
+        return _in_blocks(rows.where("c <> largest"), rows.select("key", "big", "centre", *_DESCRIBED), "key", percent)
+
+    keys = durable(_rare_keys(told, percent), "bands")
+    found = link_components(keys, None, percent, open_limit, wide_edges, verify, rule_out=False, known=known)
+    return found.select(F.col("id").alias("u"), F.col("component").alias("v"))
 
 
 def _decisions(docs: DataFrame, percent: int, open_limit: int = 500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -145,7 +207,7 @@ def _decisions(docs: DataFrame, percent: int, open_limit: int = 500, id_col: str
     def verify(pairs: DataFrame) -> DataFrame:
         return _both(pairs, texts).where(_similar("x", "y", percent)).select("a", "b")
 
-    found = link_components(keys, None, percent, open_limit, lambda wide: _group_edges(wide, texts, percent), verify, rule_out=False)
+    found = link_components(keys, None, percent, open_limit, lambda wide: _group_edges(wide, texts, percent, open_limit), verify, rule_out=False)
     drop_table(keys)
     labelled = lines.select("doc_id", "text_id", "line_no", "row", "id").join(found, "id", "left")
     labelled = labelled.select("doc_id", "text_id", "line_no", "row", F.coalesce("component", "id").alias("component"))

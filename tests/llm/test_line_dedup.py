@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from skyloom.llm import line_dedup as ld
 
 SCHEMA = "doc_id long, text string, lang string, n_chars long, line string, id string"
@@ -142,3 +144,67 @@ def test_equal_hashes_of_different_lines(spark):
     out = ld._apart(spark.createDataFrame(rows, "id long, check long, line string")).collect()
     ids = {r.line: {s.id for s in out if s.line == r.line} for r in out}
     assert ids["x"] == {5} and ids["z"] == {6} and len(ids["y"]) == 1 and not ids["y"] & {5, 6}
+
+
+def template_groups():
+    """Groups of lines around a template: random tails, replaced parts, fragments, sub-templates; ids go on from group to group."""
+    rnd = random.Random(21)
+    text = lambda n: "".join(rnd.choice("abcdefghijklmnop ") for _ in range(n))
+    groups = []
+    for size in (30, 100, 240):
+        for tail in (0.05, 0.15, 0.22, 0.4):
+            template, subs = text(size), [text(int(size * tail)) for _ in range(3)]
+            lines = {template}
+            for k in range(40):
+                at, cut = rnd.randrange(size), int(size * tail)
+                end = rnd.choice(subs)
+                lines.add(
+                    [
+                        template + text(int(cut * rnd.uniform(0.5, 1.6))),
+                        template[:at] + text(cut) + template[at + cut :],
+                        template[at // 2 : at // 2 + int(size * rnd.uniform(0.4, 1))],
+                        template + end + text(rnd.randint(0, cut)),
+                        template[at // 3 :] + end,
+                    ][k % 5]
+                )
+            groups.append(sorted(x.strip() for x in lines if x.strip()))
+    return groups
+
+
+def test_groups_around_a_template_give_all_links_and_nothing_else(spark):
+    from skyloom.llm.common import components, durable
+
+    rows, members, want = [], [], {}
+    for lines in template_groups():
+        start = len(rows)
+        parent = list(range(len(lines)))
+        find = lambda x: x if parent[x] == x else find(parent[x])  # noqa: E731, B023
+        sets = [shingles(x) for x in lines]
+        for a in range(len(lines)):
+            for b in range(a):
+                n = len(sets[a] & sets[b])
+                if n * 100 >= 80 * (len(sets[a]) + len(sets[b]) - n):
+                    parent[max(find(a), find(b))] = min(find(a), find(b))
+        want |= {start + k: start + find(k) for k in range(len(lines))}
+        members += [(start + len(lines) // 2, start + k, start + k) for k in range(len(lines))]
+        rows += [(start + k, x) for k, x in enumerate(lines)]
+    assert len(rows) / 6 < len(set(want.values())) < len(rows) - 50
+    texts = spark.createDataFrame(rows, "id long, line string")
+    held = spark.createDataFrame(members, "big long, id long, c long")
+    for limit in (0, 500):
+        edges = durable(ld._group_edges(held, lambda ids: texts.join(ids, "id"), 80, limit))
+        found = {r.id: r.component for r in components(edges).collect()}
+        assert {i: found.get(i, i) for i in want} == want
+
+
+def test_lines_that_share_but_a_template_do_not_meet(spark):
+    rnd = random.Random(4)
+    text = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    for common, own in ((100, 40), (100, 60), (60, 30)):
+        template = text(common)
+        texts = spark.createDataFrame([(i, template + text(own)) for i in range(400)], "id long, line string")
+        told = ld._told(texts.select(F.lit(0).cast("long").alias("big"), "id", F.col("id").alias("c")), lambda ids: texts.join(ids, "id"))
+        assert told.where("80 * h <= 20 * kept and 160 * h <= 20 * kept and id <> 0").count() == 0
+        keys = ld._rare_keys(told, 80)
+        pairs = keys.groupBy("key").count().agg(F.sum(F.expr("count * (count - 1)"))).first()[0] or 0
+        assert pairs <= 400  # of 159,600
