@@ -149,16 +149,24 @@ def _in_blocks(outside: DataFrame, members: DataFrame, on: str, percent: int) ->
 def _rare_keys(told: DataFrame, percent: int) -> DataFrame:
     """(key, id): for each member the rarest elements that the centre doesn't have, as many as any link needs.
 
-    Two linked lines share percent / 100 of each one's elements at least.  What the centre can't give of that has to be
-    among those besides, so one of the rarest ``h - need + 1`` of these is in both.  Elements that no other member has make no key.
+    What the centre can't give of the elements that a link needs has to be among those besides: ``need`` of them for members of a
+    class of ``h`` (a quarter of a power of two, from ``low``), so one of the rarest ``h - need + 1`` is in both and makes a key for these two classes.
+    Elements that no other member has make no key.
     """
-    rows = told.select("big", "id", F.explode("has").alias("e"))
-    often = rows.groupBy("big", "e").agg(F.count("*").alias("df")).where("df > 1")
-    shared = rows.join(often, ["big", "e"]).groupBy("big", "id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("s"))
-    need = f"greatest(1, ({percent}L * n + 99) div 100 - kept)"
-    first = F.expr(f"slice(s, 1, cast(greatest(0, size(s) - {need} + 1) as int))")
-    keys = shared.join(told.select("big", "id", "n", "kept"), ["big", "id"]).select("big", "id", F.explode(first).alias("s"))
-    return keys.select(F.xxhash64("big", "s.e").alias("key"), "id").distinct()
+    step = "cast(greatest(0, length(bin(h)) - 3) as int)"
+    rows = told.withColumn("low", F.expr(f"shiftleft(shiftright(h, {step}), {step})"))
+    classes = rows.where("h > 0").groupBy("big").agg(F.collect_set("low").alias("classes"))
+    elements = rows.select("big", "id", F.explode("has").alias("e"))
+    often = elements.groupBy("big", "e").agg(F.count("*").alias("df")).where("df > 1")
+    shared = elements.join(often, ["big", "e"]).groupBy("big", "id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("s"))
+    of = rows.select("big", "id", "n", "kept", "h", "low").join(classes, "big")
+    of = of.select("big", "id", "n", "kept", "h", "low", F.explode("classes").alias("other"))
+    by_class = f"({percent}L * (h + other) - (100 - {percent}) * kept + 99 + {percent}) div (100 + {percent})"
+    of = of.withColumn("need", F.expr(f"greatest(1, ({percent}L * n + 99) div 100 - kept, {by_class})"))
+    of = of.where(f"need <= h and need < 2 * other and other * {percent}L <= n * 100L")
+    first = F.explode(F.expr("slice(s, 1, cast(greatest(0, size(s) - need + 1) as int))")).alias("s")
+    keys = shared.join(of, ["big", "id"]).select("big", "id", F.least("low", "other").alias("a"), F.greatest("low", "other").alias("b"), first)
+    return keys.select(F.xxhash64("big", "s.e", "a", "b").alias("key"), "id").distinct()
 
 
 def _group_edges(members: DataFrame, texts, percent: int, open_limit: int) -> DataFrame:
