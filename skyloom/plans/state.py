@@ -1,9 +1,9 @@
 """Durable state without a table format: versioned Parquet snapshots behind one pointer.
 
-A commit writes new versions of all changed tables and then adds one row to the pointer's log,
+A commit writes new versions of all changed tables and then one pointer file with the next number,
 so several tables move together or not at all.  Tables with hours are kept by hour: the pointer
-names the version and revision of each, and a commit writes only the hours that it touches.  One
-writer at a time is assumed.
+names the version and revision of each, and a commit writes only the hours that it touches.  Of
+two writers that start from one state the second to commit gets a ``Conflict``, and its state stays unseen.
 """
 
 from __future__ import annotations
@@ -11,11 +11,17 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SCHEMA_VERSION = "2"
+KEPT_STATES = 10  # pointer files that ``vacuum`` leaves
+
+
+class Conflict(RuntimeError):
+    """Another writer has committed since the state was read that this commit builds on."""
 
 
 class Store:
@@ -23,24 +29,41 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self._log, self._last = [], None
+        self._seen, self._last, self._based = None, None, {}
         state = self._load()
         if state.get("schema_version", SCHEMA_VERSION) != SCHEMA_VERSION:
             raise ValueError(f"{root} has schema version {state['schema_version']}; this build writes {SCHEMA_VERSION}")
 
+    def _pointers(self) -> list[str]:
+        return sorted(name for name in self._list(f"{self.root}/pointer") if name.startswith("state-"))
+
     def _load(self) -> dict:
-        """The pointer's last state; its log is only read again if files were added to it (a listing, no job)."""
-        log = sorted(name for name in self._list(f"{self.root}/pointer") if name.startswith("part-"))
-        if log != self._log:
-            rows = self.spark.read.schema("version long, state string").json(f"{self.root}/pointer")
-            self._last = rows.agg(F.max_by("state", "version").alias("s")).first().s
-            self._log = log
+        """The state of the last pointer file, which alone is read, once (after that a listing, no job)."""
+        last = max(self._pointers(), default=None)
+        if last != self._seen:
+            rows = self.spark.read.schema("version long, state string").json(f"{self.root}/pointer/{last}")
+            self._last, self._seen = rows.first().state, last
         return json.loads(self._last) if self._last else {"tables": {}, "revision": 0, "schema_version": SCHEMA_VERSION, "version": 0}
 
     def _point(self, state: dict) -> None:
-        """Append one row to the pointer's log; the highest version counts, so this is the commit."""
-        row = [(state["version"], json.dumps(state, sort_keys=True))]
-        self.spark.createDataFrame(row, "version long, state string").coalesce(1).write.mode("append").json(f"{self.root}/pointer")
+        """The commit: a whole file is renamed to the next number, which fails if another writer has taken that."""
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        line = json.dumps({"version": state["version"], "state": json.dumps(state, sort_keys=True)}) + "\n"
+        fs, draft = self._fs(f"{self.root}/pointer/_draft-{uuid.uuid4().hex}")
+        _, target = self._fs(f"{self.root}/pointer/state-{state['version']:012d}.json")
+        with_line = fs.create(draft, False)
+        try:
+            with_line.write(bytearray(line.encode()))
+        finally:
+            with_line.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        try:
+            context.rename(draft, target, gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        except Py4JJavaError as e:
+            fs.delete(draft, False)
+            if "FileAlreadyExists" in e.java_exception.getClass().getName():
+                raise Conflict(f"version {state['version']} of {self.root} has been taken by another writer") from e
+            raise
 
     @property
     def state(self) -> dict:
@@ -65,14 +88,18 @@ class Store:
     def stage(self, table: str, df: DataFrame, touched: list[str] | None, revision: int) -> dict[str, list]:
         """Write the hours ``touched`` (all: None) anew; the table's hours as they are once committed.
 
-        An hour that has no rows in ``df`` goes.  Nothing is visible before ``commit``.
+        An hour that has no rows in ``df`` goes.  Nothing is visible before ``commit``, which fails if
+        another writer commits in between.
         """
+        current = self._load()
+        self._based[table] = current["version"]
         version = f"v={uuid.uuid4().hex}"
         folder = f"{self.root}/{table}/{version}"
         hours = df.withColumn("part", hour_key(F.col("observation_hour")))
         hours.hint("rebalance", "part").write.option("compression", "zstd").partitionBy("part").parquet(folder)
         written = [name.removeprefix("part=") for name in self._list(folder) if name.startswith("part=")]
-        kept = {} if touched is None else {k: v for k, v in self.parts(table).items() if k not in set(touched)}
+        before = current["tables"].get(table) or {}
+        kept = {} if touched is None else {k: v for k, v in before.items() if k not in set(touched)}
         return kept | {k: [version, revision] for k in written}
 
     def _fs(self, path: str):
@@ -89,6 +116,9 @@ class Store:
         On failure the old state stays visible.
         """
         state = self._load()
+        for table in staged or {}:
+            if self._based.get(table, state["version"]) != state["version"]:
+                raise Conflict(f"{table} was staged on version {self._based[table]}, {self.root} is at {state['version']}")
         if revision is not None and revision <= state["revision"]:
             raise ValueError("revisions must grow")
         for table, df in changes.items():
@@ -111,6 +141,9 @@ class Store:
                 if name.startswith("v=") and name not in named:
                     fs, path = self._fs(f"{self.root}/{table}/{name}")
                     gone += bool(fs.delete(path, True))
+        for name in self._pointers()[:-KEPT_STATES]:
+            fs, path = self._fs(f"{self.root}/pointer/{name}")
+            fs.delete(path, False)
         return gone
 
 

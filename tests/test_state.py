@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from skyloom import schemas
 from skyloom.operators.checks import relation_report, unequal
 from skyloom.plans import models, pipeline
-from skyloom.plans.state import Store, merge_discovered, one_hour, prunable, upsert
+from skyloom.plans.state import Conflict, Store, merge_discovered, one_hour, prunable, upsert
 from skyloom.sources import discovery
 from skyloom.streaming.ingest import ingest_stream
 
@@ -155,3 +155,27 @@ def test_a_scan_that_moves_leaves_its_old_hour(spark, tmp_path):
         one_hour(scan(spark, "a", 0, 1.0).union(scan(spark, "b", 1, 1.0)))
     with pytest.raises(ValueError, match="needs rows"):
         one_hour(scan(spark, "a", 0, 1.0).limit(0))
+
+
+def test_of_two_writers_the_second_gets_a_conflict(spark, tmp_path):
+    first, second = Store(spark, str(tmp_path)), Store(spark, str(tmp_path))
+    first.commit({"a": spark.range(1)}, revision=1)
+    hours = spark.createDataFrame([(HOUR, 1.0)], "observation_hour timestamp_ntz, v double")
+    staged = second.stage("h", hours, None, 2)
+    first.commit({"a": spark.range(2)}, revision=2)
+    with pytest.raises(Conflict):
+        second.commit({}, revision=3, staged={"h": staged})
+    with pytest.raises(Conflict):
+        second._point(first.state)  # the number that the other writer has just taken
+    assert first.state["revision"] == second.state["revision"] == 2 and not second.parts("h")
+    assert second.read("a", "id long").count() == 2
+    second.commit({}, revision=3, staged={"h": second.stage("h", hours, None, 3)})
+    assert first.read("h", hours.schema).count() == 1 and not [n for n in first._list(f"{tmp_path}/pointer") if n.startswith("_draft")]
+
+
+def test_old_states_go_with_vacuum(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    for k in range(13):
+        store.commit({}, note=k)
+    store.vacuum()
+    assert len(store._pointers()) == 10 and Store(spark, str(tmp_path)).state["note"] == 12
