@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_LONG = 2**63 - 1
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BROADCAST_IDS = 2_000_000  # 16 MB of longs
 HEAVY_SHARE, HEAVY_ROWS = 100_000, 2_000
 
@@ -29,15 +29,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/skyloom/{name}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame, name: str = "table") -> DataFrame:
+def durable(df: DataFrame, name: str = "table", free: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs only the tasks that ran on it, and what
     was computed (also by non-deterministic steps) stays the same for every later reader.
+    With ``free`` Spark deletes the write's shuffle files as soon as it has ended: the table takes their place.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true" if free else before)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     table = spark.read.schema(df.schema).parquet(path)
     table.durable_path = path
     return table
@@ -50,12 +56,6 @@ def drop_table(*tables: DataFrame) -> None:
         path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that are no longer referenced (it does so after a garbage collection)."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def rows_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows whose ``id`` is among ``ids`` (id long, distinct).
 
@@ -220,8 +220,7 @@ def link_components(
     ``verify(pairs)`` gives the linked ones of the pairs (a, b); by default it compares ``sets_of``.  ``known``: edges (u, v) found before.
     """
     verify = verify or (lambda pairs: verify_pairs(pairs, sets_of, percent))
-    members = durable(_members(keys), "members")
-    free_shuffles(keys.sparkSession)
+    members = durable(_members(keys), "members", free=True)
     stars = durable(members.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b")).distinct(), "stars")
     linked = verify(stars).select(F.col("a").alias("u"), F.col("b").alias("v"))
     found = components(linked if known is None else linked.union(known))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import MAX_LONG, drop_table, durable, free_shuffles, link_components, rows_of
+from skyloom.llm.common import MAX_LONG, drop_table, durable, link_components, rows_of
 
 SHINGLE = 8
 PERCENT = 80
@@ -48,7 +48,7 @@ def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def _apart(lines: DataFrame) -> DataFrame:
     """The lines with an id of its own for each text, as told by 128 bits: where two share a 64-bit id, all but one get another."""
     shared = lines.groupBy("id").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high")
-    shared = durable(shared.select("id", "low"), "shared-ids")
+    shared = durable(shared.select("id", "low"), "shared-ids", free=True)
     if shared.isEmpty():
         return lines
     own = F.when(F.col("check") > F.col("low"), F.xxhash64("check", "id")).otherwise(F.col("id"))
@@ -103,7 +103,7 @@ def _similar(x: str, y: str, percent: int) -> Column:
 
 def _both(pairs: DataFrame, texts) -> DataFrame:
     """The pairs (a, b, ...) with x and y, the hashes of both lines' shingles (repeats included)."""
-    own = durable(texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()), "texts")
+    own = durable(texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()), "texts", free=True)
     own = _coded(own, "id")
     both = pairs.join(own.select(F.col("id").alias("a"), F.col("b").alias("bx"), F.col("n").alias("nx")), "a")
     both = both.join(own.select(F.col("id").alias("b"), F.col("b").alias("by"), F.col("n").alias("ny")), "b")
@@ -177,7 +177,7 @@ def _group_edges(members: DataFrame, texts, percent: int, open_limit: int) -> Da
     that h at most, are compared in blocks.  All others share one of their rarest elements, which
     become keys of their own, handled as bands are: lines that share but a template don't meet at all.
     """
-    told = durable(_told(members, texts), "differences")
+    told = durable(_told(members, texts), "differences", free=True)
     near = F.expr(f"kept * (100L + {percent}) >= (centre + n) * {percent}L")
     told = told.withColumn("c", F.when(near, F.col("big")).otherwise(F.col("c")))
     known = members.select(F.col("id").alias("u"), F.col("c").alias("v")).union(told.select("id", "c")).where("u <> v").distinct()
@@ -206,8 +206,7 @@ def _group_edges(members: DataFrame, texts, percent: int, open_limit: int) -> Da
 def _decisions(docs: DataFrame, percent: int, open_limit: int = 500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``line_components`` with text_id; doc_id is MAX_LONG where it is null."""
     lines = _apart(durable(split_lines(docs, id_col, text_col), "lines"))
-    keys = durable(_keys(lines.select("id", "line").dropDuplicates(["id"])), "bands")
-    free_shuffles(lines.sparkSession)
+    keys = durable(_keys(lines.select("id", "line").dropDuplicates(["id"])), "bands", free=True)
 
     def texts(ids: DataFrame) -> DataFrame:
         return rows_of(lines.select("id", "line"), ids).dropDuplicates(["id"])
