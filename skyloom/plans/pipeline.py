@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from skyloom import schemas
 from skyloom.operators.kernel import LIMIT, latest_batch, newest, region_hours
 from skyloom.plans import models
-from skyloom.plans.state import Store, hour_key, mark, merge_discovered, one_hour, prunable, upsert
+from skyloom.plans.state import Store, band_key, hour_key, mark, merge_discovered, one_hour, prunable, upsert
 from skyloom.sources.files import locate
 
 HOURLY = "canonical_region_id string, country_code string, region_type string, observation_hour timestamp_ntz, timezone string, no2_mean double, no2_median double, no2_p90 double, valid_pixel_count bigint, total_pixel_count bigint, valid_area_km2 double, total_area_km2 double, coverage_fraction double, quality_flag_accepted boolean, source_granule_count int, all_granules_validated boolean, revision bigint, geometry_version string, ingested_at timestamp_ntz, contract_version string, local_observation_hour timestamp_ntz, is_analysis_ready boolean"
@@ -30,7 +30,8 @@ def ingest(store: Store, cells: DataFrame, weights: DataFrame, registry: DataFra
     """Take newly decoded scans in: their whole hours are recomputed from all scans of the hour.
 
     Raw cells are kept by hour, so a late scan pools with its siblings, and only touched hours are
-    read and written (also the hour that an earlier version of a scan stood in).  Region-hours, latest
+    read and written (also the hour that an earlier version of a scan stood in).  Latest cells are kept by
+    band of grid rows, and only bands with cells of the scans are read and written.  Region-hours, latest
     cells and the ledger move in one commit.  Replaying a scan gives the same hours again.
     ``limit``: rows of a region's hour that one task sorts, see ``weighted_stats``.
     """
@@ -40,8 +41,10 @@ def ingest(store: Store, cells: DataFrame, weights: DataFrame, registry: DataFra
     scans = cells.groupBy("granule_id").agg(F.max("observation_time").alias("observation_time"), F.max("observation_hour").alias("observation_hour"))
     inventory = store.read("granule_inventory", schemas.GRANULE_INVENTORY)
     before = inventory.join(scans.select("granule_id"), "granule_id", "left_semi").where("observation_hour is not null").select("observation_hour")
-    # One row an hour of the micro-batch.
-    touched = [r.k for r in cells.select("observation_hour").unionByName(before).select(hour_key(F.col("observation_hour")).alias("k")).distinct().collect()]
+    # One entry an hour of the micro-batch, and one a band of the grid.
+    met = cells.agg(F.collect_set(hour_key(F.col("observation_hour"))).alias("hours"), F.collect_set(band_key(F.col("grid_row"))).alias("bands")).first()
+    touched = sorted({*met.hours, *(r.k for r in before.select(hour_key(F.col("observation_hour")).alias("k")).distinct().collect())})
+    bands = None if store.is_whole("grid_latest") else sorted(met.bands)
     old = store.read("cells", schemas.GRID_CELLS, touched)
     siblings = old.join(scans.select("granule_id"), "granule_id", "left_anti")
     revision = store.state["revision"] + 1
@@ -51,9 +54,10 @@ def ingest(store: Store, cells: DataFrame, weights: DataFrame, registry: DataFra
     batch = region_hours(hours, weights, registry, flags, limit).withColumns({"geometry_version": F.lit(version), "ingested_at": at, "revision": F.lit(revision).cast("long")})
     columns = store.read("region_hour_aggregates", schemas.REGION_HOURS, []).columns
     aggregates = store.stage("region_hour_aggregates", batch.select(*columns), touched, revision)
-    latest = newest(store.read("grid_latest", schemas.GRID_LATEST), latest_batch(cells, weights, registry, flags, at), ["grid_row", "grid_col"], ["observation_time", "ingested_at"])
+    newer = newest(store.read("grid_latest", schemas.GRID_LATEST, bands), latest_batch(cells, weights, registry, flags, at), ["grid_row", "grid_col"], ["observation_time", "ingested_at"])
+    latest = store.stage("grid_latest", newer, bands, revision, band_key(F.col("grid_row")))
     ledger = mark(inventory, scans, at, clear_error=True, download_status="downloaded", validation_status="validated", processing_status="processed")
-    store.commit({"grid_latest": latest, "granule_inventory": ledger}, revision, {"cells": kept, "region_hour_aggregates": aggregates})
+    store.commit({"granule_inventory": ledger}, revision, {"cells": kept, "region_hour_aggregates": aggregates, "grid_latest": latest})
     return revision
 
 

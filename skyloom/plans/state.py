@@ -1,8 +1,9 @@
 """Durable state without a table format: versioned Parquet snapshots behind one pointer.
 
 A commit writes new versions of all changed tables and then one pointer file with the next number,
-so several tables move together or not at all.  Tables with hours are kept by hour: the pointer
-names the version and revision of each, and a commit writes only the hours that it touches.  Of
+so several tables move together or not at all.  Tables with hours are kept by hour, that of the latest
+cells by band of grid rows: the pointer names the version and revision of each such part, and a commit
+writes only the parts that it touches.  Of
 two writers that start from one state the second to commit gets a ``Conflict``, and its state stays unseen.
 """
 
@@ -18,6 +19,7 @@ from pyspark.sql.types import StructType
 
 SCHEMA_VERSION = "2"
 KEPT_STATES = 10  # pointer files that ``vacuum`` leaves
+BAND_ROWS = 64  # rows of the grid in a part of the latest cells: half a million cells where the grid has 7,750 columns
 
 
 class Conflict(RuntimeError):
@@ -70,11 +72,19 @@ class Store:
         return self._load()
 
     def parts(self, table: str) -> dict[str, list]:
-        """Hour (yyyyMMddHH) -> [version, revision] of a table that is kept by hour; one entry an hour, no data."""
-        return self._load()["tables"].get(table) or {}
+        """Part (an hour as yyyyMMddHH, or a band) -> [version, revision] of a table that is kept in parts; one entry a part, no data.
+
+        Empty for a table that is kept whole.
+        """
+        found = self._load()["tables"].get(table)
+        return found if isinstance(found, dict) else {}
+
+    def is_whole(self, table: str) -> bool:
+        """Whether the pointer names one version for all of the table, so that parts of it can't be told apart yet."""
+        return isinstance(self._load()["tables"].get(table), str)
 
     def read(self, table: str, schema: StructType | str, parts: list[str] | None = None, staged: dict | None = None) -> DataFrame:
-        """The current version of a table, or of some of its hours; empty if it was never written.
+        """The current version of a table, or of some of its parts; empty if it was never written.
 
         ``staged`` (of ``stage``) takes the place of what the pointer names.
         """
@@ -85,20 +95,20 @@ class Store:
             return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
         return self.spark.createDataFrame([], schema) if version is None else self.spark.read.schema(schema).parquet(f"{self.root}/{table}/{version}")
 
-    def stage(self, table: str, df: DataFrame, touched: list[str] | None, revision: int) -> dict[str, list]:
-        """Write the hours ``touched`` (all: None) anew; the table's hours as they are once committed.
+    def stage(self, table: str, df: DataFrame, touched: list[str] | None, revision: int, part: Column | None = None) -> dict[str, list]:
+        """Write the parts ``touched`` (all: None) anew; the table's parts as they are once committed.
 
-        An hour that has no rows in ``df`` goes.  Nothing is visible before ``commit``, which fails if
-        another writer commits in between.
+        ``part`` names the part of a row, by default its hour.  A part that has no rows in ``df`` goes.  Nothing is
+        visible before ``commit``, which fails if another writer commits in between.
         """
         current = self._load()
         self._based[table] = current["version"]
         version = f"v={uuid.uuid4().hex}"
         folder = f"{self.root}/{table}/{version}"
-        hours = df.withColumn("part", hour_key(F.col("observation_hour")))
-        hours.hint("rebalance", "part").write.option("compression", "zstd").partitionBy("part").parquet(folder)
+        named = df.withColumn("part", hour_key(F.col("observation_hour")) if part is None else part)
+        named.hint("rebalance", "part").write.option("compression", "zstd").partitionBy("part").parquet(folder)
         written = [name.removeprefix("part=") for name in self._list(folder) if name.startswith("part=")]
-        before = current["tables"].get(table) or {}
+        before = self.parts(table)
         kept = {} if touched is None else {k: v for k, v in before.items() if k not in set(touched)}
         return kept | {k: [version, revision] for k in written}
 
@@ -151,6 +161,11 @@ def hour_key(hour: Column) -> Column:
     return F.date_format(hour, "yyyyMMddHH")
 
 
+def band_key(row: Column) -> Column:
+    """The band of ``BAND_ROWS`` grid rows that a row is in."""
+    return F.lpad(F.floor(row / BAND_ROWS).cast("string"), 6, "0")
+
+
 def one_hour(batch: DataFrame) -> DataFrame:
     """The batch, if it has rows and all are of one hour; else an error."""
     first, last = batch.agg(F.min("observation_hour"), F.max("observation_hour")).first()

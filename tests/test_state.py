@@ -179,3 +179,32 @@ def test_old_states_go_with_vacuum(spark, tmp_path):
         store.commit({}, note=k)
     store.vacuum()
     assert len(store._pointers()) == 10 and Store(spark, str(tmp_path)).state["note"] == 12
+
+
+def test_latest_cells_are_written_by_band(spark, tmp_path):
+    store, contract = Store(spark, str(tmp_path)), schemas.Contract()
+    rows = (0, 63, 64, 200)  # three bands
+    grid = spark.createDataFrame([(r, 0, i, 1.0, "v1") for r in rows for i in ("US", "US-CA", "US-CA-037")], schemas.GRID_WEIGHTS)
+
+    def take(granule, minute, *cells):
+        at = HOUR + dt.timedelta(minutes=minute)
+        batch = spark.createDataFrame([(granule, at, HOUR, r, 0, v, 0, 34.0, -118.0) for r, v in cells], schemas.GRID_CELLS)
+        pipeline.ingest(store, batch, grid, registry(spark), contract, NOW)
+        return store.parts("grid_latest")
+
+    def latest():
+        return {r.grid_row: (r.no2, r.granule_id) for r in store.read("grid_latest", schemas.GRID_LATEST).collect()}
+
+    first = take("a", 10, *[(r, 1.0) for r in rows])
+    assert sorted(first) == ["000000", "000001", "000003"]
+    second = take("b", 20, (63, 2.0), (0, float("nan")), (500, 3.0))
+    assert {k for k in second if second[k] != first[k]} == {"000000"} and set(second) == set(first)  # row 500 lies in no country
+    assert latest() == {0: (None, "b"), 63: (2.0, "b"), 64: (1.0, "a"), 200: (1.0, "a")}
+    take("c", 5, (64, 9.0))  # an older scan that comes late
+    assert latest()[64] == (1.0, "a")
+    # A table of a store that was written whole is split at the next scan.
+    whole = store.read("grid_latest", schemas.GRID_LATEST)
+    store.commit({"grid_latest": spark.createDataFrame(whole.collect(), schemas.GRID_LATEST)})
+    assert store.is_whole("grid_latest") and not store.parts("grid_latest")
+    assert sorted(take("d", 30, (200, 7.0))) == ["000000", "000001", "000003"]
+    assert latest() == {0: (None, "b"), 63: (2.0, "b"), 64: (1.0, "a"), 200: (7.0, "d")} and not store.is_whole("grid_latest")
