@@ -595,4 +595,4 @@ def country_history(spark, sf_dir):
     return relations.country_history(rounded(models.mart_country_hourly(hourly), **DIGITS), "C1")
 
 
-from skyloom.plans import geo_queries  # noqa: E402, F401  (registers its queries)
+from skyloom.plans import geo_queries, store_queries  # noqa: E402, F401  (register their queries)
