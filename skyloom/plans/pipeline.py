@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from skyloom import schemas
 from skyloom.operators.kernel import LIMIT, latest_batch, newest, region_hours
 from skyloom.plans import models
-from skyloom.plans.state import Store, band_key, hour_key, mark, merge_discovered, one_hour, prunable, upsert
+from skyloom.plans.state import BANDS, Store, band_key, hour_key, mark, merge_discovered, one_hour, prunable, upsert
 from skyloom.sources.files import locate
 
 HOURLY = "canonical_region_id string, country_code string, region_type string, observation_hour timestamp_ntz, timezone string, no2_mean double, no2_median double, no2_p90 double, valid_pixel_count bigint, total_pixel_count bigint, valid_area_km2 double, total_area_km2 double, coverage_fraction double, quality_flag_accepted boolean, source_granule_count int, all_granules_validated boolean, revision bigint, geometry_version string, ingested_at timestamp_ntz, contract_version string, local_observation_hour timestamp_ntz, is_analysis_ready boolean"
@@ -44,7 +44,8 @@ def ingest(store: Store, cells: DataFrame, weights: DataFrame, registry: DataFra
     # One entry an hour of the micro-batch, and one a band of the grid.
     met = cells.agg(F.collect_set(hour_key(F.col("observation_hour"))).alias("hours"), F.collect_set(band_key(F.col("grid_row"))).alias("bands")).first()
     touched = sorted({*met.hours, *(r.k for r in before.select(hour_key(F.col("observation_hour")).alias("k")).distinct().collect())})
-    bands = None if store.is_whole("grid_latest") else sorted(met.bands)
+    # Bands that an earlier build didn't count anew are written once in whole, as one version for all of the table is.
+    bands = None if store.is_whole("grid_latest") or any(int(k) >= BANDS for k in store.parts("grid_latest")) else sorted(met.bands)
     old = store.read("cells", schemas.GRID_CELLS, touched)
     siblings = old.join(scans.select("granule_id"), "granule_id", "left_anti")
     revision = store.state["revision"] + 1

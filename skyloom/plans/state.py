@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 SCHEMA_VERSION = "2"
 KEPT_STATES = 10  # pointer files that ``vacuum`` leaves
 BAND_ROWS = 64  # rows of the grid in a part of the latest cells: half a million cells where the grid has 7,750 columns
+BANDS = 64  # parts of the latest cells at most: bands of a grid of more than 4,096 rows share them, so that files don't grow in number
 
 
 class Conflict(RuntimeError):
@@ -162,8 +163,8 @@ def hour_key(hour: Column) -> Column:
 
 
 def band_key(row: Column) -> Column:
-    """The band of ``BAND_ROWS`` grid rows that a row is in."""
-    return F.lpad(F.floor(row / BAND_ROWS).cast("string"), 6, "0")
+    """The band of ``BAND_ROWS`` grid rows that a row is in, counted anew after ``BANDS`` of them."""
+    return F.lpad(F.pmod(F.floor(row / BAND_ROWS), F.lit(BANDS)).cast("string"), 6, "0")
 
 
 def one_hour(batch: DataFrame) -> DataFrame:

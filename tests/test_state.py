@@ -208,3 +208,27 @@ def test_latest_cells_are_written_by_band(spark, tmp_path):
     assert store.is_whole("grid_latest") and not store.parts("grid_latest")
     assert sorted(take("d", 30, (200, 7.0))) == ["000000", "000001", "000003"]
     assert latest() == {0: (None, "b"), 63: (2.0, "b"), 64: (1.0, "a"), 200: (7.0, "d")} and not store.is_whole("grid_latest")
+
+
+def test_parts_of_latest_cells_are_bounded(spark, tmp_path):
+    store, contract = Store(spark, str(tmp_path)), schemas.Contract()
+    rows = [64 * k for k in range(200)]
+    grid = spark.createDataFrame([(r, 0, i, 1.0, "v1") for r in rows for i in ("US", "US-CA", "US-CA-037")], schemas.GRID_WEIGHTS)
+
+    def take(granule, minute, value, some):
+        at = HOUR + dt.timedelta(minutes=minute)
+        batch = spark.createDataFrame([(granule, at, HOUR, r, 0, value, 0, 34.0, -118.0) for r in some], schemas.GRID_CELLS)
+        pipeline.ingest(store, batch, grid, registry(spark), contract, NOW)
+        return store.parts("grid_latest")
+
+    first = take("a", 10, 1.0, rows)
+    assert len(first) == 64
+    second = take("b", 20, 2.0, [64 * 70])
+    assert {k for k in second if second[k] != first[k]} == {"000006"} and set(second) == set(first)
+    # A band that an earlier build named by its number alone is found again, and named anew.
+    old = store.stage("grid_latest", store.read("grid_latest", schemas.GRID_LATEST), None, 3, F.lpad(F.floor(F.col("grid_row") / 64).cast("string"), 6, "0"))
+    assert len(old) == 200
+    store.commit({}, None, {"grid_latest": old})
+    assert set(take("c", 30, 3.0, [64 * 71])) == set(first)
+    values = {r.grid_row: r.no2 for r in store.read("grid_latest", schemas.GRID_LATEST).collect()}
+    assert values == {r: 1.0 for r in rows} | {64 * 70: 2.0, 64 * 71: 3.0}
