@@ -1,10 +1,10 @@
 """Embedding near-dedup: int8 tile products with rigorous error bounds, exact cosine where needed.
 
-Vectors are dealt to cells around pivot vectors and cells are cut into blocks.  A vector
-goes to the tiles of those blocks only that can hold a partner: the angle to a cell's pivot
-is at most the cell's radius plus the angle of the threshold (triangle inequality on the
-sphere).  A tile multiplies int8 values and bounds each product's error by the vectors' own
-quantisation errors; only pairs possibly above the threshold are computed in full precision.
+Vectors are dealt to cells around pivot vectors, cells are cut into blocks, and neighbouring blocks make
+``GROUPS`` groups (more where a group would outgrow a task's memory).  A vector goes to the tiles of those groups only that
+can hold a partner: the angle to a cell's pivot is at most the cell's radius plus the angle of the threshold (triangle inequality on the
+sphere).  Within a tile the same inequality holds between centres of blocks.  Blocks multiply int8 values and bound the products'
+errors by the vectors' own quantisation errors; only pairs possibly above the threshold are computed in full precision.
 """
 
 from __future__ import annotations
@@ -24,6 +24,9 @@ THRESHOLD = 0.95
 BLOCK = 2048
 MAX_PIVOTS = 1024
 SLACK = 1e-9
+GROUPS = 16  # so many copies of a vector at most, as long as groups fit
+GROUP_ROWS, GROUP_VALUES = 32768, 1 << 22  # vectors of a group, and numbers in them, at most
+SENT = 16384  # rows of a batch that a task sends on
 
 
 def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -38,12 +41,12 @@ def close_pairs(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
     """Boolean matrix of the row pairs with cosine >= threshold in double precision."""
     nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
     (qx, sx, ex), (qy, sy, ey) = quantise(x / nx[:, None]), quantise(y / ny[:, None])
-    exact = np.float32 if x.shape[1] * 127 * 127 < 1 << 24 else np.float64  # sums of int8 products stay exact
-    product = (qx.astype(exact) @ qy.astype(exact).T) * sx[:, None] * sy
-    # x = sx qx + dx: <x, y> differs by <sx qx, dy> + <dx, y>, at most |sx qx| ey + ex
-    error = np.outer(np.linalg.norm(qx * sx[:, None], axis=1), ey) + ex[:, None] + SLACK
-    linked = product - error >= threshold
-    a, b = np.nonzero((product + error >= threshold) & ~linked)
+    product = (qx * sx[:, None]).astype(np.float32) @ (qy * sy[:, None]).astype(np.float32).T
+    # x = sx qx + dx: <x, y> differs by <sx qx, dy> + <dx, y>, at most |sx qx| ey + ex; the rest is what single precision may lose.
+    longest = 1 + float(ex.max()), 1 + float(ey.max())
+    error = longest[0] * float(ey.max()) + float(ex.max()) + SLACK + (x.shape[1] + 8) * 2.0**-23 * longest[0] * longest[1]
+    linked = product >= threshold + error
+    a, b = np.nonzero((product >= threshold - error) & ~linked)
     for k in range(0, len(a), 65536):
         i, j = a[k : k + 65536], b[k : k + 65536]
         linked[i, j] = np.einsum("ij,ij->i", x[i], y[j]) / (nx[i] * ny[j]) >= threshold
@@ -79,56 +82,102 @@ def _cells(pivots: dict[int, np.ndarray]):
     return run
 
 
-def _deal(pivots: dict[int, np.ndarray], cells: dict[tuple[int, int], tuple[float, int]], reach: float):
-    """Sends each vector, as bytes, to the tiles (own block, other block) where it can have a partner; blocks are numbered."""
-    ends = np.cumsum([blocks for _, blocks in cells.values()])
-    start = {k: int(end) - blocks for (k, (_, blocks)), end in zip(cells.items(), ends, strict=True)}
+def _grouped(pivots: dict[int, np.ndarray], sizes: dict[tuple[int, int], tuple[float, int]], block: int) -> dict[int, tuple[np.ndarray, ...]]:
+    """For each length the cells, their radius and number of blocks, and the first block and group of each block; ``sizes`` has radius and rows of cells.
+
+    Cells stand in the order of the angle to the first pivot, so that neighbours share a group more often.
+    """
+    out, first = {}, 0
+    for d in sorted(pivots):
+        near = np.argsort(-(pivots[d] @ pivots[d][0]), kind="stable")
+        cells = np.array([c for c in near if (d, int(c)) in sizes], dtype=np.int64)
+        radius, rows = (np.array(v) for v in zip(*(sizes[d, int(c)] for c in cells), strict=True))
+        blocks = -(-rows // block)
+        most = max(block, min(GROUP_ROWS, GROUP_VALUES // d))
+        size = max(block, min(most, -(-int(rows.sum()) // GROUPS)))
+        ahead = np.cumsum(np.repeat(rows / blocks, blocks)) - np.repeat(rows / blocks, blocks)
+        group = first + np.unique((ahead // size).astype(np.int64), return_inverse=True)[1]
+        out[d] = cells, radius, blocks, np.cumsum(blocks) - blocks, group
+        first = int(group[-1]) + 1
+    return out
+
+
+def _deal(pivots: dict[int, np.ndarray], grouped: dict[int, tuple[np.ndarray, ...]], reach: float):
+    """Sends each vector, as bytes, to the tiles (own group, other group) where it can have a partner, in batches of ``SENT`` rows."""
 
     def run(batches):
         for batch in batches:
-            index, lows, highs, sides = [], [], [], []
-            rows = zip(*(batch.column(c).to_pylist() for c in ("dims", "cell", "block")), strict=True)
-            dims, raw = batch.column("dims").to_numpy(), [b""] * len(batch)
-            angles = {}
+            dims = batch.column("dims").to_numpy()
             for d in np.unique(dims):
+                cells, radius, blocks, start, group = grouped[int(d)]
+                place = np.zeros(len(pivots[int(d)]), np.int64)
+                place[cells] = np.arange(len(cells))
+                starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
                 at = np.flatnonzero(dims == d)
-                vectors = batch.column("embedding").take(pa.array(at))
-                angles[int(d)] = dict(zip(at.tolist(), np.arccos(np.clip(_units(vectors) @ pivots[int(d)].T, -1, 1)), strict=True))
-                for k, x in zip(at.tolist(), vectors.flatten().to_numpy().reshape(len(at), -1), strict=True):
-                    raw[k] = x.tobytes()
-            for k, (d, cell, block) in enumerate(rows):
-                own, angle = start[d, cell] + block, angles[d][k]
-                for c in range(len(angle)):
-                    radius, blocks = cells.get((d, c), (0.0, 0))
-                    if blocks and (c == cell or angle[c] <= radius + reach):
-                        for other in range(start[d, c], start[d, c] + blocks):
-                            index.append(k), lows.append(min(own, other)), highs.append(max(own, other)), sides.append(0 if own <= other else 1)
-            keep = pa.array(index, pa.int64())
-            sent = [batch.column("id").take(keep), batch.column("copies").take(keep), pa.array(raw, pa.binary()).take(keep)]
-            yield pa.RecordBatch.from_arrays([*sent, pa.array(lows, pa.int64()), pa.array(highs, pa.int64()), pa.array(sides, pa.int32())], names=["id", "copies", "embedding", "low", "high", "side"])
+                for part in np.array_split(at, -(-len(at) // 1024)):
+                    rows = batch.take(pa.array(part))
+                    cell = place[rows.column("cell").to_numpy()]
+                    own = group[start[cell] + rows.column("block").to_numpy()]
+                    met = np.arccos(np.clip(_units(rows.column("embedding")) @ pivots[int(d)][cells].T, -1, 1)) <= radius + reach
+                    met[np.arange(len(part)), cell] = True
+                    met = np.logical_or.reduceat(np.repeat(met, blocks, axis=1), starts, axis=1)
+                    index, other = np.nonzero(met)
+                    other = group[starts][other]
+                    vectors = rows.column("embedding").flatten().to_numpy().reshape(len(part), -1)
+                    raw = pa.array([x.tobytes() for x in vectors], pa.binary())
+                    for k in range(0, len(index), SENT):
+                        i, o = index[k : k + SENT], other[k : k + SENT]
+                        keep = pa.array(i)
+                        sides = (own[i] > o).astype(np.int32)
+                        sent = [rows.column("id").take(keep), rows.column("copies").take(keep), raw.take(keep), pa.array(cell[i])]
+                        yield pa.RecordBatch.from_arrays([*sent, *map(pa.array, (np.minimum(own[i], o), np.maximum(own[i], o), sides))], names=["id", "copies", "embedding", "cell", "low", "high", "side"])
 
     return run
 
 
-def _tile(threshold: float, kind: type):
+def _ball(x: np.ndarray) -> tuple[np.ndarray, float]:
+    """A unit vector and the largest angle to it of rows."""
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    centre = unit.sum(axis=0)
+    length = float(np.linalg.norm(centre))
+    if length == 0:
+        return unit[0], math.pi
+    return centre / length, float(np.arccos(np.clip(unit @ (centre / length), -1, 1)).max())
+
+
+def _tile(threshold: float, kind: type, block: int):
+    reach = math.acos(threshold) + 1e-6
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
         same = pdf.low.iloc[0] == pdf.high.iloc[0]
-        left, right = (pdf, pdf) if same else (pdf[pdf.side == 0], pdf[pdf.side == 1])
-        out = []
-        if len(left) and len(right):
-            x, y = (np.frombuffer(b"".join(p.embedding), dtype=kind).reshape(len(p), -1).astype(np.float64) for p in (left, right))
-            linked = close_pairs(x, y, threshold)
-            if same:
-                linked |= linked.T
-                np.fill_diagonal(linked, False)
-            ids = np.concatenate((left.id.to_numpy(), right.id.to_numpy()))
-            count = linked @ right.copies.to_numpy()
-            out += [(int(i), None, int(c)) for i, c in zip(left.id, count, strict=True) if c]
-            if not same:
-                count = linked.T @ left.copies.to_numpy()
-                out += [(int(i), None, int(c)) for i, c in zip(right.id, count, strict=True) if c]
-            out += [(int(ids[a]), int(ids[b]), 0) for a, b in spanning_edges(linked) if ids[a] != ids[b]]
+        pdf = pdf.sort_values(["cell", "id"])
+        sides = [pdf, pdf] if same else [pdf[pdf.side == 0], pdf[pdf.side == 1]]
+        x, ids, copies, balls = [], [], [], []
+        for p in sides:
+            values = np.frombuffer(b"".join(p.embedding), dtype=kind).reshape(len(p), -1) if len(p) else np.empty((0, 1))
+            x.append(values), ids.append(p.id.to_numpy()), copies.append(p.copies.to_numpy())
+            balls.append([_ball(values[k : k + block].astype(np.float64)) for k in range(0, len(p), block)])
+        count, edges = [np.zeros(len(p), np.int64) for p in sides], []
+        for i, (cx, rx) in enumerate(balls[0]):
+            a = slice(i * block, (i + 1) * block)
+            for j in range(i if same else 0, len(balls[1])):
+                cy, ry = balls[1][j]
+                if math.acos(min(1.0, max(-1.0, float(cx @ cy)))) > rx + ry + reach:
+                    continue
+                b = slice(j * block, (j + 1) * block)
+                linked = close_pairs(x[0][a].astype(np.float64), x[1][b].astype(np.float64), threshold)
+                if same and i == j:
+                    linked |= linked.T
+                    np.fill_diagonal(linked, False)
+                p, q = np.nonzero(linked)
+                if not len(p):
+                    continue
+                np.add.at(count[0][a], p, copies[1][b][q])
+                if not (same and i == j):
+                    np.add.at(count[0 if same else 1][b], q, copies[0][a][p])
+                both = np.concatenate((ids[0][a], ids[1][b]))
+                edges += [(int(both[u]), int(both[v]), 0) for u, v in spanning_edges(linked) if both[u] != both[v]]
+        out = [(int(i), None, int(c)) for s in range(1 if same else 2) for i, c in zip(ids[s], count[s], strict=True) if c] + edges
         return pd.DataFrame(out, columns=["u", "v", "links"]).astype({"u": "int64", "v": "Int64", "links": "int64"})
 
     return run
@@ -162,11 +211,11 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block
     placed = durable(placed, "placed")
     # One row a pivot: bounded by max_pivots times the number of vector lengths.
     sizes = placed.groupBy("dims", "cell").agg(F.max("angle").alias("r"), F.count("*").alias("n")).collect()
-    cells = {(r.dims, r.cell): (r.r + SLACK, -(-r.n // block)) for r in sizes}
-    counts = vectors.sparkSession.createDataFrame([(d, c, b) for (d, c), (_, b) in cells.items()], "dims int, cell int, blocks int")
+    sizes = {(r.dims, r.cell): (r.r + SLACK, r.n) for r in sizes}
+    counts = vectors.sparkSession.createDataFrame([(d, c, -(-n // block)) for (d, c), (_, n) in sizes.items()], "dims int, cell int, blocks int")
     placed = placed.join(F.broadcast(counts), ["dims", "cell"]).withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
-    dealt = placed.mapInArrow(_deal(pivots, cells, math.acos(threshold) + 1e-7), "id long, copies long, embedding binary, low long, high long, side int")
-    found = durable(dealt.groupBy("low", "high").applyInPandas(_tile(threshold, np.float32 if kind == "array<float>" else np.float64), "u long, v long, links long"), "tiles")
+    dealt = placed.mapInArrow(_deal(pivots, _grouped(pivots, sizes, block), math.acos(threshold) + 1e-6), "id long, copies long, embedding binary, cell long, low long, high long, side int")
+    found = durable(dealt.groupBy("low", "high").applyInPandas(_tile(threshold, np.float32 if kind == "array<float>" else np.float64, block), "u long, v long, links long"), "tiles")
     links = found.where("v is null").groupBy(F.col("u").alias("id")).agg(F.sum("links").alias("links"))
     found_components = components(found.where("v is not null").select("u", "v"))
     labelled = classes.join(links, "id", "left").join(found_components, "id", "left")

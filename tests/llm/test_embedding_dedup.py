@@ -55,3 +55,21 @@ def test_bounds_are_rigorous():
     x /= np.linalg.norm(x, axis=1)[:, None]
     q, s, e = ed.quantise(x)
     assert (np.linalg.norm(x - q * s[:, None], axis=1) <= e + 1e-15).all() and e.max() < 0.03
+
+
+def test_tasks_send_bounded_batches():
+    """Of 2 million vectors that no pivot prunes each meets 61 groups; a task holds few of those rows at a time."""
+    import pyarrow as pa
+
+    x = vectors()
+    grouped = ed._grouped({16: x[:2].astype(float)}, {(16, 0): (math.pi, 1_000_000), (16, 1): (math.pi, 1_000_000)}, 2048)
+    groups = len(set(grouped[16][4]))
+    assert groups == 61
+    n = 2000
+    few = ed._grouped({16: x[:2].astype(float)}, {(16, 0): (math.pi, 50_000), (16, 1): (math.pi, 50_000)}, 2048)
+    assert len(set(few[16][4])) <= ed.GROUPS
+    unit = x[np.arange(n) % len(x)] / np.linalg.norm(x[np.arange(n) % len(x)], axis=1)[:, None]
+    columns = {"id": pa.array(range(n)), "copies": pa.array([1] * n), "embedding": pa.array(unit.tolist(), pa.list_(pa.float32())), "dims": pa.array([16] * n, pa.int32())}
+    columns |= {"cell": pa.array([0] * n, pa.int32()), "block": pa.array([3] * n, pa.int32())}
+    sent = list(ed._deal({16: x[:2].astype(float) / np.linalg.norm(x[:2].astype(float), axis=1)[:, None]}, grouped, 0.4)([pa.RecordBatch.from_pydict(columns)]))
+    assert sum(len(b) for b in sent) == n * groups and max(len(b) for b in sent) <= ed.SENT
