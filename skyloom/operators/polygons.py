@@ -187,6 +187,45 @@ def cover(edges: DataFrame, key: str, grid: Grid = WORLD, coarse: int = COARSE)
     return cells.join(whole, [key, "top"], "left_anti").unionByName(whole.select(key, "top", F.lit(None).cast("int").alias("cell"), F.lit(True).alias("full")))
 
 
+def _classes(edges: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The edges of one shape (the one with the least key) of each set of equal ones, and (key, _as): which shape stands for which.
+
+    Shapes are told apart by the number of their edges and 128 bits of hashes, summed up, so none is put together.
+    """
+    own = [c for c in ("ring", *EDGE) if c in edges.columns]
+    e = F.xxhash64(F.lit(1), *own).cast("decimal(20,0)"), F.xxhash64(F.lit(2), *own)
+    signs = settled(edges.groupBy(key).agg(F.count("*").alias("_n"), F.sum(e[0]).alias("_sum"), F.bit_xor(e[1]).alias("_xor")))
+    same = ["_n", "_sum", "_xor"]
+    stands = settled(signs.join(signs.groupBy(*same).agg(F.min(key).alias("_as")), same).select(key, "_as"))
+    return edges.join(stands.where(F.col(key) == F.col("_as")).select(key), key, "left_semi"), stands
+
+
+def _expanded(found: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """What was found for shapes that stand for others, for all of these; ``a`` and ``b`` are (key, _as)."""
+    of = lambda c, key: c.select(F.col(key).alias(f"_{key}"), F.col("_as").alias(key))
+    rest = [c for c in found.columns if c not in ("a", "b")]
+    return found.join(of(a, "a"), "a").join(of(b, "b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"), *rest)
+
+
+def _met(pairs: DataFrame, a: DataFrame, b: DataFrame, on: str, part: int = 4096) -> DataFrame:
+    """Rows of a and b that a pair (a, b, and ``on`` where pairs have it) brings together in equal ``on``.
+
+    The smaller side meets the pairs first.  The larger one is dealt to parts of some ``part`` rows where it has many in one
+    place, and the pairs go to every part: rows of a large shape never stand in one task, and only the last join multiplies.
+    """
+    keys, sides = ["a", "b"], {"a": a, "b": b}
+    if a.count() < b.count():
+        keys.reverse()
+    large, small = keys
+    first = pairs.join(sides[small], [small, *({on} & {*pairs.columns})])
+    places = sides[large].groupBy(large, on).agg(F.ceil(F.count("*") / part).cast("int").alias("_parts"))
+    first = first.join(places, [large, on]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    many = sides[large].join(places, [large, on]).withColumn("_part", F.pmod(F.xxhash64(*sides[large].columns), F.col("_parts")).cast("int")).drop("_parts")
+    tasks = 4 * sides[large].sparkSession.sparkContext.defaultParallelism  # as a number, so that parts that are small before they meet stay apart
+    on_part = [large, on, "_part"]
+    return first.repartition(tasks, *on_part).join(many.repartition(tasks, *on_part), on_part).drop("_part")
+
+
 def _dealt(a: DataFrame, b: DataFrame, on: str, b_key: str, hot: int) -> DataFrame:
     """a and b joined on a cell; where many of b stand in one cell they are dealt to parts, and each of a goes to every part."""
     sizes = b.groupBy(on).agg(F.ceil(F.count("*") / hot).cast("int").alias("parts"))
@@ -213,9 +252,12 @@ def segments_meet() -> Column:
 def _ring_inside(pairs: DataFrame, inner: DataFrame, outer: DataFrame, inner_key: str, outer_key: str, grid: Grid) -> DataFrame:
     """The pairs where a point of one of inner's rings lies in outer."""
     point = inner.groupBy(inner_key, "ring").agg(F.min(F.struct("x1", "y1")).alias("p"))
-    point = pairs.join(point, inner_key).select(inner_key, outer_key, "ring", F.col("p.x1").alias("px"), F.col("p.y1").alias("py"))
+    point = pairs.select(inner_key).distinct().join(point, inner_key).select(inner_key, "ring", F.col("p.x1").alias("px"), F.col("p.y1").alias("py"))
     at = F.least(F.greatest(grid.index(F.col("py"), grid.south), F.lit(0)), F.lit(grid.rows - 1))
-    met = point.withColumn("grid_row", at).join(row_pieces(outer, grid).drop("ring", *EDGE), [outer_key, "grid_row"])
+    point = point.withColumn("grid_row", at)
+    pieces = settled(row_pieces(outer, grid).drop("ring", *EDGE))
+    points = settled(point)
+    met = _met(pairs, *((points, pieces) if inner_key == "a" else (pieces, points)), "grid_row")
     x = F.col("x_low") + (F.col("py") - F.col("low")) * (F.col("x_high") - F.col("x_low")) / (F.col("high") - F.col("low"))
     met = met.where((F.col("low") <= F.col("py")) & (F.col("py") < F.col("high")) & (x > F.col("px")))
     return met.groupBy(inner_key, outer_key, "ring").agg(F.sum("sign").alias("turns")).where("turns <> 0").select("a", "b")
@@ -227,7 +269,9 @@ def intersecting(a: DataFrame, b: DataFrame, grid: Grid = WORLD, coarse: int = C
     Cells of two levels are the join key.  Where one shape fills a cell that holds the other they meet; of shapes that
     only share cells of their borders the edges in those cells are compared; and where none cross, one point of each ring
     tells whether it lies within the other shape.  There is no product, and cells with many shapes are dealt to parts.
+    Equal shapes are compared once.
     """
+    (a, as_a), (b, as_b) = _classes(settled(a), "a"), _classes(settled(b), "b")
     a, b = settled(a), settled(b)
     ca, cb = settled(cover(a, "a", grid, coarse)), settled(cover(b, "b", grid, coarse))
     tops = lambda c, key: c.select(key, "top").distinct()
@@ -238,12 +282,12 @@ def intersecting(a: DataFrame, b: DataFrame, grid: Grid = WORLD, coarse: int = C
     sure = settled(sure)
     open_ = settled(met.where("not sure").join(sure, ["a", "b"], "left_anti").select("a", "b", "cell"))
     cell = (F.col("grid_row") * grid.cols + F.col("grid_col")).alias("cell")
-    ea = _edge_cells(a, grid).select("a", cell, *EDGE)
-    eb = _edge_cells(b, grid).select("b", cell, *[F.col(c).alias(n) for c, n in zip(EDGE, ("u1", "v1", "u2", "v2"), strict=True)])
-    crossed = settled(open_.join(ea, ["a", "cell"]).join(eb, ["b", "cell"]).where(segments_meet()).select("a", "b").distinct())
-    left = open_.select("a", "b").distinct().join(crossed, ["a", "b"], "left_anti")
+    ea = settled(_edge_cells(a, grid).select("a", cell, *EDGE))
+    eb = settled(_edge_cells(b, grid).select("b", cell, *[F.col(c).alias(n) for c, n in zip(EDGE, ("u1", "v1", "u2", "v2"), strict=True)]))
+    crossed = settled(_met(open_, ea, eb, "cell").where(segments_meet()).select("a", "b").distinct())
+    left = settled(open_.select("a", "b").distinct().join(crossed, ["a", "b"], "left_anti"))
     within = _ring_inside(left, a, b, "a", "b", grid).unionByName(_ring_inside(left, b, a, "b", "a", grid))
-    return sure.unionByName(crossed).unionByName(within.distinct())
+    return _expanded(settled(sure.unionByName(crossed).unionByName(within.distinct())), as_a, as_b)
 
 
 def intersection_areas(a: DataFrame, b: DataFrame, pairs: DataFrame, grid: Grid = WORLD) -> DataFrame:
@@ -252,19 +296,26 @@ def intersection_areas(a: DataFrame, b: DataFrame, pairs: DataFrame, grid: Grid
     A shape is what lies west of its northward edges less what lies west of its southward ones.  So the common area is a sum
     over two edges, one of each shape, of the area west of both: pieces of the same row meet, and the smaller longitude counts.
     """
-    pa = row_pieces(a, grid).select("a", "grid_row", "low", "high", "x_low", "x_high", "sign")
-    pb = row_pieces(b, grid).select("b", "grid_row", *[F.col(c).alias(f"_{c}") for c in ("low", "high", "x_low", "x_high", "sign")])
-    p = pairs.select("a", "b").join(pa, "a").join(pb, ["b", "grid_row"])
-    p = p.withColumns({"s": F.greatest("low", "_low"), "n": F.least("high", "_high")}).where("n > s")
+    (a, as_a), (b, as_b) = _classes(settled(a), "a"), _classes(settled(b), "b")
+    ends = {"y_low": equal_area_y(F.col("low")), "y_high": equal_area_y(F.col("high"))}
+    names = ("low", "high", "x_low", "x_high", "y_low", "y_high", "sign")
+    pa = settled(row_pieces(a, grid).withColumns(ends).select("a", "grid_row", *names))
+    pb = settled(row_pieces(b, grid).withColumns(ends).select("b", "grid_row", *[F.col(c).alias(f"_{c}") for c in names]))
+    of = lambda c, key: c.select(key, F.col("_as").alias(f"_{key}"))
+    pairs = pairs.select("a", "b").join(of(as_a, "a"), "a").join(of(as_b, "b"), "b")
+    # pairs may name some of the equal shapes only
+    once = settled(pairs.select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct())
+    p = _met(once, pa, pb, "grid_row").withColumns({"s": F.greatest("low", "_low"), "n": F.least("high", "_high")}).where("n > s")
     x = lambda at, m: equal_area_x(F.col(f"{m}x_low") + (F.col(at) - F.col(f"{m}low")) * (F.col(f"{m}x_high") - F.col(f"{m}x_low")) / (F.col(f"{m}high") - F.col(f"{m}low")))
-    p = p.withColumns({"xs": x("s", ""), "xn": x("n", ""), "us": x("s", "_"), "un": x("n", "_"), "h": equal_area_y(F.col("n")) - equal_area_y(F.col("s"))})
+    p = p.withColumns({"xs": x("s", ""), "xn": x("n", ""), "us": x("s", "_"), "un": x("n", "_"), "h": F.least("y_high", "_y_high") - F.greatest("y_low", "_y_low")})
     ds, dn = F.col("xs") - F.col("us"), F.col("xn") - F.col("un")
     t = F.when(ds * dn < 0, ds / (ds - dn)).otherwise(F.lit(0.0))
     middle = F.col("xs") + t * (F.col("xn") - F.col("xs"))
     low, high = F.least("xs", "us"), F.least("xn", "un")
     west = F.when(ds * dn < 0, (low + middle) / 2 * t + (middle + high) / 2 * (1 - t)).otherwise((low + high) / 2)
     out = p.groupBy("a", "b").agg((F.sum(west * F.col("h") * F.col("sign") * F.col("_sign")) / 1e6).alias("area_km2"))
-    return out.where(F.col("area_km2") > LEAST_SHARE)
+    out = out.where(F.col("area_km2") > LEAST_SHARE).select(F.col("a").alias("_a"), F.col("b").alias("_b"), "area_km2")
+    return pairs.join(out, ["_a", "_b"]).select("a", "b", "area_km2")
 
 
 # --- unions by key ----------------------------------------------------------------------------

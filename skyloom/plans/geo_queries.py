@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyloom.operators import geography, polygons
+from skyloom.operators.steps import settled
 from skyloom.plans.registry import query, table
 
 STARS = """corners as (select 'N' || c_nationkey as a, c_nationkey as k, c_custkey % 97 as m, row_number() over (partition by c_nationkey order by c_custkey) - 1 as i, count(*) over (partition by c_nationkey) as n from customer),
@@ -110,7 +111,7 @@ _COMMON = f"""{pieces_sql("stars", "a", "x1 y1 x2 y2", 0.25, -90.0, "sp")}, {pie
 @query(f"with {STARS}, {DIAMONDS}, {INTERSECTS}, {_COMMON} select b, a, round(area_km2, 3) as area_km2 from common qualify row_number() over (partition by b order by area_km2 desc, a) = 1")
 def dominant_zone(spark, sf_dir):
     """The star that holds most of each supplier's diamond, by the area of what both hold."""
-    a, b = star_edges(spark, sf_dir), diamond_edges(spark, sf_dir)
+    a, b = settled(star_edges(spark, sf_dir)), settled(diamond_edges(spark, sf_dir))
     found = polygons.intersection_areas(a, b, polygons.intersecting(a, b)).where("area_km2 > 1e-3")
     return geography.dominant(found, "b", "a", "area_km2").select("b", "a", F.round("area_km2", 3).alias("area_km2"))
 

@@ -203,3 +203,25 @@ def test_dissolve_cuts_edges_at_vertices_and_removes_spikes(spark):
 def test_rings_report_open_chains(spark):
     edges = spark.createDataFrame([("a", 0.0, 0.0, 1.0, 0.0), ("a", 1.0, 0.0, 1.0, 1.0)], "id string, x1 double, y1 double, x2 double, y2 double")
     assert {r.closed for r in pg.rings(edges, "id").collect()} == {False}
+
+
+def test_equal_shapes_are_compared_once(spark):
+    square = lambda x, y, d: [[(x - d, y - d), (x + d, y - d), (x + d, y + d), (x - d, y + d)]]
+    a = pg.edges_of(spark, {f"a{k}": square(10.0 + 5 * (k % 2), 50.0, 1.0) for k in range(6)}, "a")
+    b = pg.edges_of(spark, {f"b{k}": square(10.9, 50.2, 0.5 + 0.1 * (k % 3)) for k in range(9)}, "b")
+    assert pg._classes(a, "a")[0].select("a").distinct().count() == 2 and pg._classes(b, "b")[0].select("b").distinct().count() == 3
+    pairs = pg.intersecting(a, b)
+    assert sorted(map(tuple, pairs.collect())) == sorted((f"a{i}", f"b{j}") for i in (0, 2, 4) for j in range(9))
+    some = pairs.where("not (a = 'a0' and b = 'b0') and b <> 'b1'")
+    found = {(r.a, r.b): round(r.area_km2, 6) for r in pg.intersection_areas(a, b, some).collect()}
+    assert set(found) == {tuple(r) for r in some.collect()}
+    assert len({v for (_, j), v in found.items() if int(j[1]) % 3 == 2}) == 1 and len(set(found.values())) == 3
+
+
+def test_pieces_of_a_large_shape_are_dealt_to_parts(spark):
+    a = spark.createDataFrame([("s", k % 2, k) for k in range(100)], "a string, grid_row int, x int")
+    b = spark.createDataFrame([(f"d{k}", k % 2, k) for k in range(4)], "b string, grid_row int, y int")
+    pairs = spark.createDataFrame([("s", "d0"), ("s", "d1"), ("s", "d2")], "a string, b string")
+    got = pg._met(pairs, a, b, "grid_row", part=8)
+    assert sorted((r.b, r.x, r.y) for r in got.collect()) == sorted((f"d{k}", x, k) for k in range(3) for x in range(100) if x % 2 == k % 2)
+    assert sorted((r.b, r.x) for r in pg._met(pairs, a.limit(1), b, "grid_row", part=8).collect()) == [("d0", 0), ("d2", 0)]
