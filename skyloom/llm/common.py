@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +15,7 @@ MAX_LONG = 2**63 - 1
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BROADCAST_IDS = 2_000_000  # 16 MB of longs
 HEAVY_SHARE, HEAVY_ROWS = 100_000, 2_000
+PASS_ROWS, PASSES = 2_000_000, 8  # keys that meet at once, as long as there are no more passes
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,21 +32,28 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/skyloom/{name}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame, name: str = "table", free: bool = False) -> DataFrame:
+@contextmanager
+def freed(spark: SparkSession):
+    """Within it Spark deletes the shuffle files of what it runs as soon as that has ended, not at a garbage collection."""
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+
+
+def durable(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs only the tasks that ran on it, and what
     was computed (also by non-deterministic steps) stays the same for every later reader.
-    With ``free`` Spark deletes the write's shuffle files as soon as it has ended: the table takes their place.
+    The write's shuffle files go as soon as it has ended: the table takes their place.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    before = spark.conf.get(FREE_SHUFFLES, "false")
-    spark.conf.set(FREE_SHUFFLES, "true" if free else before)
-    try:
+    with freed(spark):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(FREE_SHUFFLES, before)
     table = spark.read.schema(df.schema).parquet(path)
     table.durable_path = path
     return table
@@ -51,7 +61,7 @@ def durable(df: DataFrame, name: str = "table", free: bool = False) -> DataFrame
 
 def drop_table(*tables: DataFrame) -> None:
     """Delete tables of ``durable`` that nothing reads any more."""
-    for table in tables:
+    for table in (t for t in tables if hasattr(t, "durable_path")):
         path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.durable_path)
         path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -68,7 +78,8 @@ def rows_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+    with freed(edges.sparkSession):
+        return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -139,22 +150,30 @@ def verify_pairs(pairs: DataFrame, sets_of, percent: int) -> DataFrame:
     return both.where(similar_enough(inter, F.size("sa"), F.size("sb"), percent)).select("a", "b")
 
 
-def _members(keys: DataFrame) -> DataFrame:
-    """(key, id, p) for the keys of several ids, p the smallest of them; ``keys``: durable, distinct (key, id).
+def _members(keys: DataFrame) -> list[DataFrame]:
+    """Tables (key, id, p) of the keys of several ids, p the smallest of them; ``keys``: durable, distinct (key, id).
 
-    Keys meet in one shuffle, used twice.  Those that a sample shows to hold more than 1 / ``HEAVY_SHARE`` of the
+    Most keys have one id, so what is shuffled is far more than what stays: keys of many rows meet in up to ``PASSES`` passes,
+    a part of them each, and the shuffle files of a pass go before the next.
+    Those that a sample shows to hold more than 1 / ``HEAVY_SHARE`` of the
     rows, ``HEAVY_SHARE`` at most, are broadcast instead, so their rows stay where they are.
     The sample decides on the way only, the rows are the same either way.
     """
+    rows = keys.count()
     sampled = keys.sample(0.01, seed=1).groupBy("key").agg(F.count("*").alias("k")).where(f"k >= {HEAVY_ROWS // 100}")
-    heavy = durable(sampled.where(F.col("k") * HEAVY_SHARE >= keys.count() * 0.01).select("key"), "heavy")
+    heavy = durable(sampled.where(F.col("k") * HEAVY_SHARE >= rows * 0.01).select("key"), "heavy")
     smallest = lambda rows: rows.groupBy("key").agg(F.min("id").alias("p"), F.max("id").alias("q")).where("p < q").select("key", "p")
-    if heavy.isEmpty():
-        dealt = keys.select("key", "id").repartition("key")
-        return dealt.join(smallest(dealt).hint("shuffle_hash"), "key")
-    dealt = keys.select("key", "id").join(F.broadcast(heavy), "key", "left_anti").repartition("key")
-    hot = keys.select("key", "id").join(F.broadcast(heavy), "key", "left_semi")
-    return dealt.join(smallest(dealt).hint("shuffle_hash"), "key").unionByName(hot.join(F.broadcast(smallest(hot)), "key"))
+    light = heavy.isEmpty()
+    passes = max(1, min(PASSES, -(-rows // PASS_ROWS)))
+    out = []
+    for k in range(passes):
+        some = keys.select("key", "id") if passes == 1 else keys.select("key", "id").where(f"pmod(key, {passes}) = {k}")
+        dealt = (some if light else some.join(F.broadcast(heavy), "key", "left_anti")).repartition("key")
+        out.append(durable(dealt.join(smallest(dealt).hint("shuffle_hash"), "key"), "members"))
+    if not light:
+        hot = keys.select("key", "id").join(F.broadcast(heavy), "key", "left_semi")
+        out.append(durable(hot.join(F.broadcast(smallest(hot)), "key"), "members"))
+    return out
 
 
 def _open_keys(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -208,7 +227,7 @@ def link_components(
 ) -> DataFrame:
     """Components (id, component) of items linked by exact set similarity; items without links have no row.
 
-    ``keys``: durable (key, id) of distinct sets.
+    ``keys``: durable (key, id) of distinct sets; the table goes when its keys have met.
 
     1. Every band key links its members to its smallest one (a star, never all pairs of a group).
     2. Keys that still hold several components, with up to ``open_limit`` open pairs, give those pairs.
@@ -220,12 +239,14 @@ def link_components(
     ``verify(pairs)`` gives the linked ones of the pairs (a, b); by default it compares ``sets_of``.  ``known``: edges (u, v) found before.
     """
     verify = verify or (lambda pairs: verify_pairs(pairs, sets_of, percent))
-    members = durable(_members(keys), "members", free=True)
+    parts = _members(keys)
+    drop_table(keys)
+    members = reduce(DataFrame.unionByName, parts)
     stars = durable(members.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b")).distinct(), "stars")
     linked = verify(stars).select(F.col("a").alias("u"), F.col("b").alias("v"))
     found = components(linked if known is None else linked.union(known))
     held = _open_keys(members.select("key", "id"), found)
-    drop_table(members)
+    drop_table(*parts)
     pairs, tested, tiled = _cross_pairs(held.where(F.col("open") <= open_limit)), stars, False
     edges = found.select(F.col("id").alias("u"), F.col("component").alias("v"))
     wide = held.where(F.col("open") > open_limit)

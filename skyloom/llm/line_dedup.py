@@ -45,14 +45,19 @@ def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def _apart(lines: DataFrame) -> DataFrame:
-    """The lines with an id of its own for each text, as told by 128 bits: where two share a 64-bit id, all but one get another."""
-    shared = lines.groupBy("id").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high")
-    shared = durable(shared.select("id", "low"), "shared-ids", free=True)
+def _shared(places: DataFrame) -> DataFrame:
+    """(id, low) of the ids that several texts share, as told by 128 bits."""
+    shared = places.groupBy("id").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high")
+    return durable(shared.select("id", "low"), "shared-ids")
+
+
+def _apart(lines: DataFrame, shared: DataFrame | None = None) -> DataFrame:
+    """The lines with an id of its own for each text: where two share a 64-bit id, all but one get another."""
+    shared = _shared(lines) if shared is None else shared
     if shared.isEmpty():
         return lines
     own = F.when(F.col("check") > F.col("low"), F.xxhash64("check", "id")).otherwise(F.col("id"))
-    return durable(lines.join(shared, "id", "left").withColumn("id", own).drop("low"), "lines")
+    return lines.join(F.broadcast(shared), "id", "left").withColumn("id", own).drop("low")
 
 
 def _hashes(units: str, places: str, most: str = _ALL) -> str:
@@ -103,7 +108,7 @@ def _similar(x: str, y: str, percent: int) -> Column:
 
 def _both(pairs: DataFrame, texts) -> DataFrame:
     """The pairs (a, b, ...) with x and y, the hashes of both lines' shingles (repeats included)."""
-    own = durable(texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()), "texts", free=True)
+    own = durable(texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()), "texts")
     own = _coded(own, "id")
     both = pairs.join(own.select(F.col("id").alias("a"), F.col("b").alias("bx"), F.col("n").alias("nx")), "a")
     both = both.join(own.select(F.col("id").alias("b"), F.col("b").alias("by"), F.col("n").alias("ny")), "b")
@@ -160,10 +165,10 @@ def _rare_keys(told: DataFrame, percent: int) -> DataFrame:
     often = elements.groupBy("big", "e").agg(F.count("*").alias("df")).where("df > 1")
     shared = elements.join(often, ["big", "e"]).groupBy("big", "id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("s"))
     of = rows.select("big", "id", "n", "kept", "h", "low").join(classes, "big")
-    of = of.select("big", "id", "n", "kept", "h", "low", F.explode("classes").alias("other"))
-    by_class = f"({percent}L * (h + other) - (100 - {percent}) * kept + 99 + {percent}) div (100 + {percent})"
-    of = of.withColumn("need", F.expr(f"greatest(1, ({percent}L * n + 99) div 100 - kept, {by_class})"))
-    of = of.where(f"need <= h and need < 2 * other and other * {percent}L <= n * 100L")
+    need = f"greatest(1, ({percent}L * n + 99) div 100 - kept, ({percent}L * (h + other) - (100 - {percent}) * kept + 99 + {percent}) div (100 + {percent}))"
+    # Classes that no link can reach are left out before there is a row for each.
+    fits = f"filter(classes, other -> {need} <= h and {need} < 2 * other and other * {percent}L <= n * 100L)"
+    of = of.select("big", "id", "n", "kept", "h", "low", F.explode(F.expr(fits)).alias("other")).withColumn("need", F.expr(need))
     first = F.explode(F.expr("slice(s, 1, cast(greatest(0, size(s) - need + 1) as int))")).alias("s")
     keys = shared.join(of, ["big", "id"]).select("big", "id", F.least("low", "other").alias("a"), F.greatest("low", "other").alias("b"), first)
     return keys.select(F.xxhash64("big", "s.e", "a", "b").alias("key"), "id").distinct()
@@ -177,7 +182,7 @@ def _group_edges(members: DataFrame, texts, percent: int, open_limit: int) -> Da
     that h at most, are compared in blocks.  All others share one of their rarest elements, which
     become keys of their own, handled as bands are: lines that share but a template don't meet at all.
     """
-    told = durable(_told(members, texts), "differences", free=True)
+    told = durable(_told(members, texts), "differences")
     near = F.expr(f"kept * (100L + {percent}) >= (centre + n) * {percent}L")
     told = told.withColumn("c", F.when(near, F.col("big")).otherwise(F.col("c")))
     known = members.select(F.col("id").alias("u"), F.col("c").alias("v")).union(told.select("id", "c")).where("u <> v").distinct()
@@ -203,23 +208,27 @@ def _group_edges(members: DataFrame, texts, percent: int, open_limit: int) -> Da
     return found.select(F.col("id").alias("u"), F.col("component").alias("v"))
 
 
-def _decisions(docs: DataFrame, percent: int, open_limit: int = 500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``line_components`` with text_id; doc_id is MAX_LONG where it is null."""
-    lines = _apart(durable(split_lines(docs, id_col, text_col), "lines"))
-    keys = durable(_keys(lines.select("id", "line").dropDuplicates(["id"])), "bands", free=True)
+def _decisions(docs: DataFrame, percent: int, open_limit: int = 500, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``line_components`` with text_id (doc_id is MAX_LONG where it is null), and the table of places that it reads."""
+    split = split_lines(docs, id_col, text_col)
+    # Texts are kept once a distinct line, places without them.
+    places = durable(split.drop("line"), "places")
+    shared = _shared(places)
+    distinct = durable(_apart(split, shared).select("id", "line").dropDuplicates(["id"]), "lines")
+    keys = durable(_keys(distinct), "bands")
 
     def texts(ids: DataFrame) -> DataFrame:
-        return rows_of(lines.select("id", "line"), ids).dropDuplicates(["id"])
+        return rows_of(distinct, ids)
 
     def verify(pairs: DataFrame) -> DataFrame:
         return _both(pairs, texts).where(_similar("x", "y", percent)).select("a", "b")
 
     found = link_components(keys, None, percent, open_limit, lambda wide: _group_edges(wide, texts, percent, open_limit), verify, rule_out=False)
-    drop_table(keys)
-    labelled = lines.select("doc_id", "text_id", "line_no", "row", "id").join(found, "id", "left")
+    drop_table(distinct)
+    labelled = _apart(places, shared).select("doc_id", "text_id", "line_no", "row", "id").join(found, "id", "left")
     labelled = labelled.select("doc_id", "text_id", "line_no", "row", F.coalesce("component", "id").alias("component"))
     first = labelled.groupBy("component").agg(F.min(F.struct("doc_id", "line_no", "text_id", "row")).alias("first"))
-    return labelled.join(first, "component").select(
+    out = labelled.join(first, "component").select(
         "doc_id",
         "text_id",
         "line_no",
@@ -227,6 +236,7 @@ def _decisions(docs: DataFrame, percent: int, open_limit: int = 500, id_col: str
         F.col("first.line_no").alias("keep_line_no"),
         F.expr("row = first.row").alias("kept"),
     )
+    return out, places
 
 
 def line_components(docs: DataFrame, percent: int = PERCENT, open_limit: int = 500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,7 +250,7 @@ def line_components(docs: DataFrame, percent: int = PERCENT, open_limit: int = 5
     by a hash of the text.  Lines of any length are used whole.  Other columns are ignored; an
     empty table gives an empty result.
     """
-    out = _decisions(docs, percent, open_limit, id_col, text_col)
+    out, _ = _decisions(docs, percent, open_limit, id_col, text_col)
     return out.select(
         F.nullif("doc_id", F.lit(MAX_LONG)).alias("doc_id"),
         "line_no",
@@ -259,7 +269,9 @@ def drop_repeated_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "
     repeats but for one row, one is left.  n_chars follows the text where that column exists; all other
     columns are carried.  Null and empty texts stay as they are; an empty table gives an empty result.
     """
-    result = durable(_decisions(docs, percent, id_col=id_col, text_col=text_col), "decisions")
+    found, places = _decisions(docs, percent, id_col=id_col, text_col=text_col)
+    result = durable(found, "decisions")
+    drop_table(places)
     key = [F.col("doc_id").alias("_key"), F.col("text_id").alias("_text_id")]
     # A document's lines fit one row, as its text does.  A place of which any row is kept is no repeat.
     places = result.groupBy("doc_id", "text_id", "line_no").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))

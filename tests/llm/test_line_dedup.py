@@ -208,3 +208,19 @@ def test_lines_that_share_but_a_template_do_not_meet(spark):
         keys = ld._rare_keys(told, 80)
         pairs = keys.groupBy("key").count().agg(F.sum(F.expr("count * (count - 1)"))).first()[0] or 0
         assert pairs <= 400  # of 159,600
+
+
+def test_tables_go_when_they_are_used_and_passes_change_nothing(spark, monkeypatch):
+    import os
+
+    from skyloom.llm import common
+
+    rows = [(k, "\n".join(f"a line of some length that is much like others, number {(k * j) % 37}" for j in range(5))) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, ld.drop_repeated_lines(docs).collect()))
+    monkeypatch.setattr(common, "PASS_ROWS", 50)
+    folder = common.shared_folder(spark).removeprefix("file://") + "/skyloom"
+    before = set(os.listdir(folder))
+    assert sorted(map(tuple, ld.drop_repeated_lines(docs).collect())) == want
+    left = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
+    assert "decisions" in left and not left & {"lines", "places", "bands", "members"}
