@@ -9,10 +9,12 @@ enough.  Of each component the first line (smallest doc_id, then line number) st
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import MAX_LONG, drop_table, durable, link_components, rows_of
+from skyloom.llm.common import MAX_LONG, PASSES, drop_table, durable, link_components, rows_of
 
 SHINGLE = 8
 PERCENT = 80
@@ -21,6 +23,9 @@ RUN = 4
 BANDS = 20  # runs that a line of more shingles takes as bands, on average
 BLOCK = 4096  # places hashed at once, so that very long lines need little memory
 GROUP_ROWS = 512
+PASS_PAIRS = 100_000  # pairs that meet their differences at once, as long as there are no more passes
+WORDS = 16  # of 64 bits each, in a bitmap of differences
+BROADCAST_BITMAPS = 100_000  # members whose bitmaps (16 MB) are broadcast
 
 _ALL = "9223372036854775807L"
 
@@ -31,9 +36,9 @@ def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(MAX_LONG)).alias("doc_id"),
         F.xxhash64(text_col).alias("text_id"),
-        F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"),
+        F.posexplode(F.split(F.lower(text_col), "\n")).alias("line_no", "line"),  # in lower case at once: a line's end ends a word
     )
-    rows = rows.select("doc_id", "text_id", "line_no", F.lower(F.btrim("line", F.lit(" \t\r "))).alias("line"))
+    rows = rows.select("doc_id", "text_id", "line_no", F.btrim("line", F.lit(" \t\r ")).alias("line"))
     return rows.where("line <> ''").select(
         "doc_id",
         "text_id",
@@ -67,7 +72,10 @@ def _hashes(units: str, places: str, most: str = _ALL) -> str:
     if most != _ALL:
         hashed = f"filter({hashed}, h -> h <= {most})"
     # As a variable of a lambda the line is passed on, as a column it would be copied for every place.
-    return f"transform(array({units}), t -> flatten(transform(sequence(0, {places} - 1, {BLOCK}), s -> {hashed})))[0]"
+    blocks = f"flatten(transform(sequence(0, {places} - 1, {BLOCK}), s -> {hashed}))"
+    if most == _ALL:
+        blocks = f"case when {places} <= {BLOCK} then transform(sequence(1, 2 * {places} - 1, 2), i -> xxhash64(substring(t, i, {2 * SHINGLE}))) else {blocks} end"
+    return f"transform(array({units}), t -> {blocks})[0]"
 
 
 def _coded(lines: DataFrame, *others: str) -> DataFrame:
@@ -87,14 +95,18 @@ def _keys(lines: DataFrame) -> DataFrame:
     Bands are functions of a line's set of shingles alone.  Sets of up to ``SKETCH`` shingles have a run at
     each element, around the end to the beginning; at a similarity of 0.8 one run at least is in
     both.  Larger ones have their smallest ``SKETCH``; which runs become bands is drawn by other bits of the
-    first hash, so that similar lines draw alike.  For long lines only hashes up to a bound are
+    first hash, so that similar lines draw alike.  For lines of more than ``BLOCK`` places only hashes up to a bound are
     sorted; if repeats leave too few, all of them are.
     """
-    bound = f"case when n <= {2 * SKETCH} then {_ALL} else cast({2 * SKETCH} / cast(n as double) * 18446744073709551616D - 9223372036854775808D as bigint) end"
-    smallest = f"slice(sort_array(array_distinct({{}})), 1, {SKETCH + 1})"
+    bound = f"case when n <= {BLOCK} then {_ALL} else cast({2 * SKETCH} / cast(n as double) * 18446744073709551616D - 9223372036854775808D as bigint) end"
+    smallest = f"slice(array_distinct({{}}), 1, {SKETCH + 1})"
     rows = _once(_coded(lines, "id"), ["id"], b="b", n="n", most=bound)
-    rows = _once(rows, ["id", "b", "n"], s=smallest.format(_hashes("b", "n", "most")))
-    rows = _once(rows, ["id"], s=f"case when n > {2 * SKETCH} and size(s) < {SKETCH} then {smallest.format(_hashes('b', 'n'))} else s end")
+    # Lambdas are interpreted, and so is what stands around them: sorting has a step of its own, which is compiled.
+    rows = _once(rows, ["id", "b", "n"], h=f"case when n <= {BLOCK} then {_hashes('b', 'n')} else {_hashes('b', 'n', 'most')} end")
+    rows = _once(rows, ["id", "b", "n"], h="sort_array(h)")
+    rows = _once(rows, ["id", "b", "n", "h"], s=smallest.format(f"slice(h, 1, {3 * SKETCH})"))
+    rows = _once(rows, ["id", "b", "n"], s=f"case when size(s) <= {SKETCH} and size(h) > {3 * SKETCH} then {smallest.format('h')} else s end")
+    rows = _once(rows, ["id"], s=f"case when n > {BLOCK} and size(s) <= {SKETCH} then {smallest.format('sort_array(' + _hashes('b', 'n') + ')')} else s end")
     rows = rows.select("id", "s", F.expr(f"least(size(s), {SKETCH})").alias("m"), F.expr(f"size(s) > {SKETCH}").alias("more"))
     starts = F.expr(f"sequence(0, case when more then m - {RUN} else m - 1 end)")
     rows = rows.select("id", "s", "m", F.explode(starts).alias("i")).where(f"(get(s, i) & 4294967295) < {BANDS} * 4294967296L / m")
@@ -131,24 +143,56 @@ def _told(members: DataFrame, texts) -> DataFrame:
     return told.withColumns({"kept": F.expr("centre - size(lacks)"), "h": F.size("has")})
 
 
-_DESCRIBED = ("id", "c", "n", "kept", "h", "lacks", "has")
+def _bitmaps(told: DataFrame) -> DataFrame:
+    """(big, id, bits): a bitmap of all elements in which a member and its centre differ.
 
+    The sets x and y differ in the elements that only one of x's and y's differences has, so in as many at least as the bitmaps have
+    different bits: most pairs are ruled out, exactly, by rows of a bounded size.
+    """
+    elements = told.select("big", "id", F.explode(F.concat("lacks", "has")).alias("e"))
+    words = [F.expr(f"bit_or(case when e & {WORDS - 1} = {k} then shiftleft(1L, cast(shiftright(e, 8) & 63 as int)) else 0L end)") for k in range(WORDS)]
+    return elements.groupBy("big", "id").agg(*[w.alias(f"w{k}") for k, w in enumerate(words)]).select("big", "id", F.array(*[f"w{k}" for k in range(WORDS)]).alias("bits"))
 
-def _close(percent: int) -> str:
-    """SQL that tells if a member and another one (columns with _) of the same centre are similar: bounds by size first."""
-    inter = "(centre - size(array_union(lacks, _lacks)) + size(array_intersect(has, _has)))"
-    most = "(least(kept, _kept) + least(h, _h))"
-    return " and ".join(f"{x} * (100L + {percent}) >= (n + _n) * {percent}L" for x in ("least(n, _n)", most, inter))
+
+def _may_link(percent: int) -> str:
+    """SQL that tells if two members may be similar by their bitmaps: x and y are if (100 + percent) * what they differ in <= (100 - percent) * (n of x + n of y)."""
+    differ = " + ".join(f"bit_count(get(bits, {k}) ^ get(_bits, {k}))" for k in range(WORDS))
+    return f"({differ}) * (100L + {percent}) <= (n + _n) * (100L - {percent})"
+
+
+_DESCRIBED = ("id", "c", "n", "kept", "h", "bits")
+
+
+def _bounds(percent: int) -> str:
+    """SQL that tells if a member and another one (columns with _) of the same centre may be similar, by their sizes and bitmaps."""
+    sizes = " and ".join(f"{x} * (100L + {percent}) >= (n + _n) * {percent}L" for x in ("least(n, _n)", "(least(kept, _kept) + least(h, _h))"))
+    return f"{sizes} and {_may_link(percent)}"
 
 
 def _in_blocks(outside: DataFrame, members: DataFrame, on: str, percent: int) -> DataFrame:
-    """Edges (u, v) between similar lines of ``outside`` and ``members`` with equal ``on``, compared in blocks of ``GROUP_ROWS``."""
+    """Pairs (big, a, b) of lines of ``outside`` and ``members`` with equal ``on`` that may be similar, met in blocks of ``GROUP_ROWS``."""
     parts = members.groupBy(on).agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("parts"))
-    dealt = members.join(parts, on).withColumn("part", F.expr("cast(pmod(xxhash64(id), parts) as int)")).drop("parts")
+    dealt = members.select(*{on, "big"}, *_DESCRIBED).join(parts, on).withColumn("part", F.expr("cast(pmod(xxhash64(id), parts) as int)")).drop("parts")
     other = [F.col(k).alias(f"_{k}") for k in _DESCRIBED]
     every = F.explode(F.expr("sequence(0, parts - 1)")).alias("part")
-    met = outside.join(parts, on).select(*{on, "big"}, every, *other).join(dealt, [*{on, "big", "part"}])
-    return met.where(f"_c <> c and {_close(percent)}").select(F.col("_id").alias("u"), F.col("id").alias("v"))
+    met = outside.select(*{on, "big"}, *_DESCRIBED).join(parts, on).select(*{on, "big"}, every, *other).join(dealt, [*{on, "big", "part"}])
+    return met.where(f"_c <> c and {_bounds(percent)}").select("big", F.greatest("id", "_id").alias("a"), F.least("id", "_id").alias("b")).distinct()
+
+
+def _exact(pairs: DataFrame, told: DataFrame, percent: int) -> DataFrame:
+    """The similar ones (a, b) of the pairs (big, a, b), by what both differ in from their centre; in up to ``PASSES`` passes."""
+    pairs = durable(pairs, "pairs")
+    arrays = told.select("big", F.col("id").alias("a"), "centre", "n", "lacks", "has")
+    others = told.select("big", F.col("id").alias("b"), *[F.col(k).alias(f"_{k}") for k in ("n", "lacks", "has")])
+    inter = "(centre - size(array_union(lacks, _lacks)) + size(array_intersect(has, _has)))"
+    passes = max(1, min(PASSES, -(-pairs.count() // PASS_PAIRS)))
+    out = []
+    for k in range(passes):
+        some = pairs if passes == 1 else pairs.where(f"pmod(xxhash64(a), {passes}) = {k}")
+        both = arrays.join(some, ["big", "a"]).join(others, ["big", "b"])
+        out.append(durable(both.where(f"{inter} * (100L + {percent}) >= (n + _n) * {percent}L").select("a", "b").distinct(), "edges"))
+    drop_table(pairs)
+    return reduce(DataFrame.unionByName, out)
 
 
 def _rare_keys(told: DataFrame, percent: int) -> DataFrame:
@@ -162,8 +206,8 @@ def _rare_keys(told: DataFrame, percent: int) -> DataFrame:
     rows = told.withColumn("low", F.expr(f"shiftleft(shiftright(h, {step}), {step})"))
     classes = rows.where("h > 0").groupBy("big").agg(F.collect_set("low").alias("classes"))
     elements = rows.select("big", "id", F.explode("has").alias("e"))
-    often = elements.groupBy("big", "e").agg(F.count("*").alias("df")).where("df > 1")
-    shared = elements.join(often, ["big", "e"]).groupBy("big", "id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("s"))
+    often = elements.withColumn("df", F.count("*").over(Window.partitionBy("big", "e"))).where("df > 1")
+    shared = often.groupBy("big", "id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("s"))
     of = rows.select("big", "id", "n", "kept", "h", "low").join(classes, "big")
     need = f"greatest(1, ({percent}L * n + 99) div 100 - kept, ({percent}L * (h + other) - (100 - {percent}) * kept + 99 + {percent}) div (100 + {percent}))"
     # Classes that no link can reach are left out before there is a row for each.
@@ -188,20 +232,25 @@ def _group_edges(members: DataFrame, texts, percent: int, open_limit: int) -> Da
     known = members.select(F.col("id").alias("u"), F.col("c").alias("v")).union(told.select("id", "c")).where("u <> v").distinct()
     open_groups = told.where("c <> big").select("big").distinct()
     told = durable(told.join(open_groups, "big", "left_semi"), "differences")
+    bits = told.join(durable(_bitmaps(told), "bitmaps"), ["big", "id"], "left")
+    told = durable(bits.withColumn("bits", F.coalesce("bits", F.expr(f"array_repeat(0L, {WORDS})"))), "differences")
+    few = told.count() <= BROADCAST_BITMAPS
     light = told.where(f"{percent}L * h <= (100 - {percent}) * kept")
     half = f"2 * {percent}L * h <= (100 - {percent}) * kept"
     outside = light.where("c <> big")
-    edges = _in_blocks(outside.where(half), light, "big", percent).union(_in_blocks(outside.where(f"not ({half})"), light.where(half), "big", percent))
-    known = durable(known.union(edges), "edges")
+    close = _in_blocks(outside.where(half), light, "big", percent).union(_in_blocks(outside.where(f"not ({half})"), light.where(half), "big", percent))
+    known = durable(known.union(_exact(close, told, percent)), "edges")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        other = told.select("big", F.col("id").alias("b"), *[F.col(k).alias(f"_{k}") for k in _DESCRIBED if k != "id"])
-        both = told.withColumnRenamed("id", "a").join(pairs, "a").join(other, ["big", "b"])
-        return both.where(_close(percent)).select("a", "b").distinct()
+        # Pairs meet the bitmaps first, and those that these leave meet the differences.
+        maps = told.select("big", F.col("id").alias("a"), "n", "bits")
+        others = maps.toDF("big", "b", "_n", "_bits")
+        met = pairs.join(F.broadcast(maps) if few else maps, "a").join(F.broadcast(others) if few else others, ["big", "b"])
+        return _exact(met.where(f"least(n, _n) * (100L + {percent}) >= (n + _n) * {percent}L and {_may_link(percent)}").select("big", "a", "b"), told, percent)
 
     def wide_edges(wide: DataFrame) -> DataFrame:
-        rows = wide.select("key", "id", F.col("c").alias("now"), F.col("big").alias("largest")).join(told, "id").withColumn("c", F.col("now"))
-        return _in_blocks(rows.where("c <> largest"), rows.select("key", "big", "centre", *_DESCRIBED), "key", percent)
+        rows = wide.select("key", "id", "c", F.col("big").alias("largest")).join(told.drop("c", "lacks", "has"), "id")
+        return _exact(_in_blocks(rows.where("c <> largest"), rows, "key", percent), told, percent)
 
     keys = durable(_rare_keys(told, percent), "bands")
     found = link_components(keys, None, percent, open_limit, wide_edges, verify, rule_out=False, known=known)

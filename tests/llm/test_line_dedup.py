@@ -224,3 +224,31 @@ def test_tables_go_when_they_are_used_and_passes_change_nothing(spark, monkeypat
     assert sorted(map(tuple, ld.drop_repeated_lines(docs).collect())) == want
     left = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
     assert "decisions" in left and not left & {"lines", "places", "bands", "members"}
+
+
+def test_bitmaps_rule_out_most_pairs_and_none_that_is_similar(spark, monkeypatch):
+    import re
+
+    rnd = random.Random(13)
+    text = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    base, lines = text(300), []
+    for k in range(160):  # edits at random, and pairs of near copies of each other
+        line = list(lines[-1] if k % 4 == 3 else base)
+        for _ in range(1 if k % 4 == 3 else rnd.randint(2, 9)):
+            line[rnd.randrange(len(line))] = text(rnd.randint(0, 2))
+        lines.append("".join(line))
+    sets = [shingles(x) for x in lines]
+    similar = {(a, b) for a in range(160) for b in range(a) if len(sets[a] & sets[b]) * 100 >= 80 * len(sets[a] | sets[b])}
+    texts = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    told = ld._told(texts.select(F.lit(0).cast("long").alias("big"), "id", F.col("id").alias("c")), lambda ids: texts.join(ids, "id"))
+    told = told.join(ld._bitmaps(told), ["big", "id"]).persist()
+    assert told.count() >= 159 and "lacks" not in ld._DESCRIBED and "has" not in ld._DESCRIBED
+    here = {r.id for r in told.select("id").collect()}
+    pairs = ld._in_blocks(told, told, "big", 80).persist()
+    met = {(r.a, r.b) for r in pairs.collect()}
+    want = {x for x in similar if here >= set(x)}
+    assert want and want <= met and len(met) - len(want) < 0.1 * 160 * 159 / 2
+    for most in (ld.PASS_PAIRS, 10):
+        monkeypatch.setattr(ld, "PASS_PAIRS", most)
+        assert {(r.a, r.b) for r in ld._exact(pairs, told, 80).collect()} == want
+    assert not re.search(r"Join.*\be#\d+L? = e#", ld._rare_keys(told, 80)._jdf.queryExecution().optimizedPlan().toString())
