@@ -16,6 +16,7 @@ FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BROADCAST_IDS = 2_000_000  # 16 MB of longs
 HEAVY_SHARE, HEAVY_ROWS = 100_000, 2_000
 PASS_ROWS, PASSES = 2_000_000, 8  # keys that meet at once, as long as there are no more passes
+TASK_ROWS, LEAST_TASKS = 50_000, 8  # rows of a small table that a task takes, tasks that it has all the same
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -77,6 +78,11 @@ def rows_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(ids) if few else ids.hint("merge"), "id", "left_semi")
 
 
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of some ``rows`` rows, in no more partitions than these need: each shuffle partition costs a task and a file, however small."""
+    return df.coalesce(max(LEAST_TASKS, -(-rows // TASK_ROWS)))
+
+
 def _state(edges: DataFrame) -> tuple:
     with freed(edges.sparkSession):
         return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
@@ -98,10 +104,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = gathered(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), state[0])
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        before, e = e, durable(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        # Gathered before the last shuffle too: a union has the partitions of both its sides.
+        stars = gathered(small.unionByName(low.select("u", F.col("m").alias("v"))), state[0])
+        before, e = e, durable(gathered(stars.distinct(), state[0]), "edges")
         drop_table(before)
         last, state = state, _state(e)
         if last == state:

@@ -118,13 +118,13 @@ def _similar(x: str, y: str, percent: int) -> Column:
     return F.expr(f"size(array_intersect({x}, {y})) * 100L >= size(array_union({x}, {y})) * {percent}L")
 
 
-def _both(pairs: DataFrame, texts) -> DataFrame:
-    """The pairs (a, b, ...) with x and y, the hashes of both lines' shingles (repeats included)."""
-    own = durable(texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()), "texts")
-    own = _coded(own, "id")
+def _both(pairs: DataFrame, texts) -> tuple[DataFrame, DataFrame]:
+    """The pairs (a, b, ...) with x and y, the hashes of both lines' shingles (repeats included), and the table of texts that they read."""
+    kept = durable(texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()), "texts")
+    own = _coded(kept, "id")
     both = pairs.join(own.select(F.col("id").alias("a"), F.col("b").alias("bx"), F.col("n").alias("nx")), "a")
     both = both.join(own.select(F.col("id").alias("b"), F.col("b").alias("by"), F.col("n").alias("ny")), "b")
-    return _once(both, pairs.columns, x=_hashes("bx", "nx"), y=_hashes("by", "ny"))
+    return _once(both, pairs.columns, x=_hashes("bx", "nx"), y=_hashes("by", "ny")), kept
 
 
 def _told(members: DataFrame, texts) -> DataFrame:
@@ -137,10 +137,13 @@ def _told(members: DataFrame, texts) -> DataFrame:
     once = members.select("big", "id", "c").distinct()
     pairs = once.select(F.col("big").alias("a"), F.col("id").alias("b"), "c")
     sets = [F.expr("array_distinct(x)").alias("x"), F.expr("array_distinct(y)").alias("y")]
-    full = _both(pairs, texts).select(F.col("a").alias("big"), F.col("b").alias("id"), "c", *sets)
+    both, kept = _both(pairs, texts)
+    full = both.select(F.col("a").alias("big"), F.col("b").alias("id"), "c", *sets)
     sides = [F.array_except("x", "y").alias("lacks"), F.array_except("y", "x").alias("has")]
     told = full.select("big", "id", "c", F.size("x").alias("centre"), F.size("y").alias("n"), *sides)
-    return told.withColumns({"kept": F.expr("centre - size(lacks)"), "h": F.size("has")})
+    told = durable(told.withColumns({"kept": F.expr("centre - size(lacks)"), "h": F.size("has")}), "differences")
+    drop_table(kept)
+    return told
 
 
 def _bitmaps(told: DataFrame) -> DataFrame:
@@ -190,7 +193,7 @@ def _exact(pairs: DataFrame, told: DataFrame, percent: int) -> DataFrame:
     for k in range(passes):
         some = pairs if passes == 1 else pairs.where(f"pmod(xxhash64(a), {passes}) = {k}")
         both = arrays.join(some, ["big", "a"]).join(others, ["big", "b"])
-        out.append(durable(both.where(f"{inter} * (100L + {percent}) >= (n + _n) * {percent}L").select("a", "b").distinct(), "edges"))
+        out.append(durable(both.where(f"{inter} * (100L + {percent}) >= (n + _n) * {percent}L").select("a", "b"), "edges"))
     drop_table(pairs)
     return reduce(DataFrame.unionByName, out)
 
@@ -226,14 +229,18 @@ def _group_edges(members: DataFrame, texts, percent: int, open_limit: int) -> Da
     that h at most, are compared in blocks.  All others share one of their rarest elements, which
     become keys of their own, handled as bands are: lines that share but a template don't meet at all.
     """
-    told = durable(_told(members, texts), "differences")
+    first = _told(members, texts)
     near = F.expr(f"kept * (100L + {percent}) >= (centre + n) * {percent}L")
-    told = told.withColumn("c", F.when(near, F.col("big")).otherwise(F.col("c")))
+    told = first.withColumn("c", F.when(near, F.col("big")).otherwise(F.col("c")))
     known = members.select(F.col("id").alias("u"), F.col("c").alias("v")).union(told.select("id", "c")).where("u <> v").distinct()
+    known = durable(known, "edges")
     open_groups = told.where("c <> big").select("big").distinct()
-    told = durable(told.join(open_groups, "big", "left_semi"), "differences")
-    bits = told.join(durable(_bitmaps(told), "bitmaps"), ["big", "id"], "left")
-    told = durable(bits.withColumn("bits", F.coalesce("bits", F.expr(f"array_repeat(0L, {WORDS})"))), "differences")
+    all_told, told = first, durable(told.join(open_groups, "big", "left_semi"), "differences")
+    drop_table(all_told)
+    maps = durable(_bitmaps(told), "bitmaps")
+    bits = told.join(maps, ["big", "id"], "left")
+    no_bits, told = told, durable(bits.withColumn("bits", F.coalesce("bits", F.expr(f"array_repeat(0L, {WORDS})"))), "differences")
+    drop_table(no_bits, maps)
     few = told.count() <= BROADCAST_BITMAPS
     light = told.where(f"{percent}L * h <= (100 - {percent}) * kept")
     half = f"2 * {percent}L * h <= (100 - {percent}) * kept"
@@ -254,6 +261,7 @@ def _group_edges(members: DataFrame, texts, percent: int, open_limit: int) -> Da
 
     keys = durable(_rare_keys(told, percent), "bands")
     found = link_components(keys, None, percent, open_limit, wide_edges, verify, rule_out=False, known=known)
+    drop_table(told)
     return found.select(F.col("id").alias("u"), F.col("component").alias("v"))
 
 
@@ -270,7 +278,10 @@ def _decisions(docs: DataFrame, percent: int, open_limit: int = 500, id_col: str
         return rows_of(distinct, ids)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        return _both(pairs, texts).where(_similar("x", "y", percent)).select("a", "b")
+        both, kept = _both(pairs, texts)
+        linked = durable(both.where(_similar("x", "y", percent)).select("a", "b"), "linked")
+        drop_table(kept)
+        return linked
 
     found = link_components(keys, None, percent, open_limit, lambda wide: _group_edges(wide, texts, percent, open_limit), verify, rule_out=False)
     drop_table(distinct)

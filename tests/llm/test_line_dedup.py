@@ -252,3 +252,17 @@ def test_bitmaps_rule_out_most_pairs_and_none_that_is_similar(spark, monkeypatch
         monkeypatch.setattr(ld, "PASS_PAIRS", most)
         assert {(r.a, r.b) for r in ld._exact(pairs, told, 80).collect()} == want
     assert not re.search(r"Join.*\be#\d+L? = e#", ld._rare_keys(told, 80)._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_small_tables_take_few_tasks(spark):
+    from skyloom.llm.common import components
+
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = components(spark.range(400).selectExpr("2 * id + 1 as u", "2 * id as v"))
+        assert len(found.inputFiles()) <= 8 and found.where("component = id").count() == 400
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
