@@ -25,6 +25,7 @@ BLOCK = 4096  # places hashed at once, so that very long lines need little memor
 GROUP_ROWS = 512
 PASS_PAIRS = 100_000  # pairs that meet their differences at once, as long as there are no more passes
 WORDS = 16  # of 64 bits each, in a bitmap of differences
+PAIRS_A_LINE = 2  # from which on bitmaps of lines cost less than they spare
 BROADCAST_BITMAPS = 100_000  # members whose bitmaps (16 MB) are broadcast
 
 _ALL = "9223372036854775807L"
@@ -118,13 +119,39 @@ def _similar(x: str, y: str, percent: int) -> Column:
     return F.expr(f"size(array_intersect({x}, {y})) * 100L >= size(array_union({x}, {y})) * {percent}L")
 
 
-def _both(pairs: DataFrame, texts) -> tuple[DataFrame, DataFrame]:
-    """The pairs (a, b, ...) with x and y, the hashes of both lines' shingles (repeats included), and the table of texts that they read."""
-    kept = durable(texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()), "texts")
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+
+
+def _both(pairs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) with x and y, the hashes of both lines' shingles (repeats included); ``kept``: (id, line) of all of them."""
     own = _coded(kept, "id")
     both = pairs.join(own.select(F.col("id").alias("a"), F.col("b").alias("bx"), F.col("n").alias("nx")), "a")
     both = both.join(own.select(F.col("id").alias("b"), F.col("b").alias("by"), F.col("n").alias("ny")), "b")
-    return _once(both, pairs.columns, x=_hashes("bx", "nx"), y=_hashes("by", "ny")), kept
+    return _once(both, pairs.columns, x=_hashes("bx", "nx"), y=_hashes("by", "ny"))
+
+
+def _line_bitmaps(lines: DataFrame) -> DataFrame:
+    """(id, n, bits) of the lines (id, line): n distinct shingles and their bitmap."""
+    sets = _once(_once(_coded(lines, "id"), ["id"], h=_hashes("b", "n")), ["id"], s="array_distinct(h)")
+    return _bitmaps_of(sets.select("id", F.size("s").alias("n"), F.explode("s").alias("e")), "id", "n")
+
+
+def _similar_pairs(pairs: DataFrame, texts, percent: int) -> DataFrame:
+    """The similar ones of the pairs (a, b), exactly.
+
+    Where lines are in many pairs, bitmaps, made once a line, rule most others out; the pairs left meet their shingles.
+    """
+    kept = durable(texts(_ids(pairs)), "texts")
+    left = pairs.select("a", "b")
+    if left.count() >= PAIRS_A_LINE * kept.count():
+        maps = durable(_line_bitmaps(kept), "bitmaps")
+        met = left.join(maps.withColumnRenamed("id", "a"), "a").join(maps.toDF("b", "_n", "_bits"), "b")
+        left = durable(met.where(_may_link(percent)).select("a", "b"), "left")
+        drop_table(maps)
+    linked = durable(_both(left, kept).where(_similar("x", "y", percent)).select("a", "b"), "linked")
+    drop_table(kept, left)
+    return linked
 
 
 def _told(members: DataFrame, texts) -> DataFrame:
@@ -137,7 +164,8 @@ def _told(members: DataFrame, texts) -> DataFrame:
     once = members.select("big", "id", "c").distinct()
     pairs = once.select(F.col("big").alias("a"), F.col("id").alias("b"), "c")
     sets = [F.expr("array_distinct(x)").alias("x"), F.expr("array_distinct(y)").alias("y")]
-    both, kept = _both(pairs, texts)
+    kept = durable(texts(_ids(pairs)), "texts")
+    both = _both(pairs, kept)
     full = both.select(F.col("a").alias("big"), F.col("b").alias("id"), "c", *sets)
     sides = [F.array_except("x", "y").alias("lacks"), F.array_except("y", "x").alias("has")]
     told = full.select("big", "id", "c", F.size("x").alias("centre"), F.size("y").alias("n"), *sides)
@@ -147,14 +175,19 @@ def _told(members: DataFrame, texts) -> DataFrame:
 
 
 def _bitmaps(told: DataFrame) -> DataFrame:
-    """(big, id, bits): a bitmap of all elements in which a member and its centre differ.
+    """(big, id, bits): a bitmap of all elements in which a member and its centre differ; two members differ in those that only one of them has."""
+    return _bitmaps_of(told.select("big", "id", F.explode(F.concat("lacks", "has")).alias("e")), "big", "id")
+
+
+def _bitmaps_of(elements: DataFrame, *by: str) -> DataFrame:
+    """(*by, bits) of the elements (*by, e), each of which is there once: a bit tells if an odd number of them fall on it.
 
-    The sets x and y differ in the elements that only one of x's and y's differences has, so in as many at least as the bitmaps have
-    different bits: most pairs are ruled out, exactly, by rows of a bounded size.
+    Common elements cancel out, so two sets differ in as many elements at least as their bitmaps have different bits, and hardly more as long as
+    they differ in fewer than there are bits: most pairs are ruled out, exactly, by rows of a bounded size.
     """
-    elements = told.select("big", "id", F.explode(F.concat("lacks", "has")).alias("e"))
-    words = [F.expr(f"bit_or(case when e & {WORDS - 1} = {k} then shiftleft(1L, cast(shiftright(e, 8) & 63 as int)) else 0L end)") for k in range(WORDS)]
-    return elements.groupBy("big", "id").agg(*[w.alias(f"w{k}") for k, w in enumerate(words)]).select("big", "id", F.array(*[f"w{k}" for k in range(WORDS)]).alias("bits"))
+    words = elements.groupBy(*by, F.expr(f"cast(e & {WORDS - 1} as int)").alias("w")).agg(F.expr("bit_xor(shiftleft(1L, cast(shiftright(e, 8) & 63 as int)))").alias("x"))
+    columns = [F.expr(f"bit_or(case when w = {k} then x else 0L end)") for k in range(WORDS)]
+    return words.groupBy(*by).agg(*[c.alias(f"w{k}") for k, c in enumerate(columns)]).select(*by, F.array(*[f"w{k}" for k in range(WORDS)]).alias("bits"))
 
 
 def _may_link(percent: int) -> str:
@@ -278,10 +311,7 @@ def _decisions(docs: DataFrame, percent: int, open_limit: int = 500, id_col: str
         return rows_of(distinct, ids)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        both, kept = _both(pairs, texts)
-        linked = durable(both.where(_similar("x", "y", percent)).select("a", "b"), "linked")
-        drop_table(kept)
-        return linked
+        return _similar_pairs(pairs, texts, percent)
 
     found = link_components(keys, None, percent, open_limit, lambda wide: _group_edges(wide, texts, percent, open_limit), verify, rule_out=False)
     drop_table(distinct)

@@ -266,3 +266,22 @@ def test_small_tables_take_few_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_pairs_meet_bitmaps_before_their_shingles(spark, monkeypatch):
+    rnd = random.Random(17)
+    text = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    lines = ["-" * 80, "-" * 200, "short", "shorter"]
+    for size in (60, 300, 1500):
+        for k in range(30):  # half of a line in common with the next, none to many edits, repeats
+            line = text(size)
+            lines += [line, line[: size // 2] + text(size // 2), line + text((k * size) // 60), line * 2, line[: -size // 10] + text(size // 12)]
+    sets = [shingles(x) for x in lines]
+    pairs = [(a, b) for a in range(len(lines)) for b in range(max(0, a - 6), a)]
+    want = {(a, b) for a, b in pairs if len(sets[a] & sets[b]) * 100 >= 80 * len(sets[a] | sets[b])}
+    met, both = [], ld._both
+    monkeypatch.setattr(ld, "_both", lambda p, kept: met.append(p.count()) or both(p, kept))
+    texts = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    found = ld._similar_pairs(spark.createDataFrame(pairs, "a long, b long"), lambda ids: texts.join(ids, "id"), 80)
+    assert {(r.a, r.b) for r in found.collect()} == want and len(want) > 100
+    assert len(want) <= sum(met) < len(want) + 0.1 * (len(pairs) - len(want))
